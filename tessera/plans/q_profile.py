@@ -351,8 +351,9 @@ def agg20_group_counts(spark, sf):
 
 def _hist_bin_sql(x: str, lo: str, hi: str, bins: int) -> str:
     """NumPy-equivalent bin of x over [lo, hi] with ``bins`` bins (SQL twin of bin_index)."""
-    step = f"(({hi}) - ({lo})) / {float(bins)}"
-    raw = f"CAST(FLOOR((({x}) - ({lo})) * ({float(bins)} / (({hi}) - ({lo})))) AS INTEGER)"
+    nb = f"CAST({bins} AS DOUBLE)"
+    step = f"((({hi}) - ({lo})) / {nb})"
+    raw = f"CAST(FLOOR((({x}) - ({lo})) * ({nb} / (({hi}) - ({lo})))) AS INTEGER)"
     b0 = f"(CASE WHEN {raw} = {bins} THEN {bins - 1} ELSE {raw} END)"
     b1 = f"(CASE WHEN ({x}) < ({lo}) + CAST({b0} AS DOUBLE) * {step} THEN {b0} - 1 ELSE {b0} END)"
     b2 = (f"(CASE WHEN ({x}) >= ({lo}) + CAST({b1} + 1 AS DOUBLE) * {step} AND {b1} <> {bins - 1} "
