@@ -91,9 +91,11 @@ def classification_report(scored: DataFrame, label: str = "label", pred: str = "
         F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), acc.alias("f1_score"),
                  F.col("n").cast("bigint").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n").cast("bigint")),
-        F.struct(F.lit("weighted avg"), F.try_divide(F.col("wp"), n), F.try_divide(F.col("wr"), n),
-                 F.try_divide(F.col("wf"), n), F.col("n").cast("bigint"))))).alias("r")).select("r.*")
+        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1_score"), F.col("n").cast("bigint").alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), F.try_divide(F.col("wp"), n).alias("precision"),
+                 F.try_divide(F.col("wr"), n).alias("recall"), F.try_divide(F.col("wf"), n).alias("f1_score"),
+                 F.col("n").cast("bigint").alias("support")))).alias("r")).select("r.*")
     return rows.unionByName(summary)
 
 
