@@ -52,13 +52,18 @@ def percent_lenient(c: str | Column) -> Column:
     return F.nanvl(v, F.lit(None).cast("double")) / F.lit(100.0)
 
 
+def percent_number(c: str | Column) -> Column:
+    """SC4 for text: the number in a percent text (``'13.56%'`` -> 13.56), NULL if not a number."""
+    v = strip_ws(rstrip_chars(_c(c).cast("string"))).try_cast("double")
+    return F.nanvl(v, F.lit(None).cast("double"))
+
+
 def numeric_if_text(df: DataFrame, name: str) -> Column:
     """SC4: percent text to a number (no scaling) only if the column is text; numbers pass.
 
     Decided at plan time from the schema, like the source's runtime dtype test."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        v = strip_ws(rstrip_chars(F.col(name))).try_cast("double")
-        return F.nanvl(v, F.lit(None).cast("double")).alias(name)
+        return percent_number(name).alias(name)
     return F.col(name).cast("double").alias(name)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.misc import pct
-from ..functions.parse import percent_lenient
+from ..functions.parse import percent_lenient, percent_number
 from ..sources.tables import head_rows
 from .histogram import count_peaks, histogram
 
@@ -120,7 +120,7 @@ def loan_amount_check(df: DataFrame, col: str = "loan_amnt") -> DataFrame:
 def interest_rate_check(df: DataFrame, col: str = "int_rate") -> DataFrame:
     """DQ2 with the rate limits in percent units (text rates are parsed, not scaled)."""
     t = df.schema[col].dataType
-    v = (percent_lenient(col) * F.lit(100.0)) if isinstance(t, T.StringType) else F.col(col).cast("double")
+    v = percent_number(col) if isinstance(t, T.StringType) else F.col(col).cast("double")
     return range_check(df, v, "interest_rate_distribution", **RATE_RULES_PCT)
 
 

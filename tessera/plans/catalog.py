@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parse import binary_target, parse_emp_length, percent_lenient, percent_strict
+from ..functions.parse import binary_target, parse_emp_length, percent_lenient, percent_number, percent_strict
 from ..sources.loans import LOANS_SQL_CTE, loans
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,7 @@ def prepared(df: DataFrame) -> DataFrame:
         parse_emp_length("emp_length").alias("emp_length_numeric"),
         percent_strict("int_rate").alias("int_rate_frac"),
         percent_lenient("revol_util").alias("revol_util_frac"),
-        (percent_lenient("int_rate") * F.lit(100.0)).alias("rate_pct"))
+        percent_number("int_rate").alias("rate_pct"))
 
 
 # --- SQL building blocks (DuckDB dialect) -----------------------------------------------------
@@ -60,7 +60,8 @@ EMP_SQL = """CASE WHEN emp_length IS NULL OR emp_length = 'n/a' THEN NULL
   ELSE TRY_CAST(trim(replace(replace(lower(emp_length), 'years', ''), 'year', '')) AS DOUBLE) END"""
 RATE_STRICT_SQL = "CAST(rtrim(CAST(int_rate AS VARCHAR), '%') AS DOUBLE) / 100.0"
 REVOL_LENIENT_SQL = "TRY_CAST(trim(rtrim(CAST(revol_util AS VARCHAR), '%')) AS DOUBLE) / 100.0"
-RATE_PCT_SQL = "(TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE) / 100.0) * 100.0"
+RATE_PCT_SQL = "TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE)"
+RATE_FRAC_SQL = f"({RATE_PCT_SQL} / 100.0)"
 
 PREP_SQL = f""", prep AS (
   SELECT *, CASE WHEN loan_status = 'Charged Off' THEN 1 ELSE 0 END AS target,

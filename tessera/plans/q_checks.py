@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..sources.loans import ORDER_KEY
-from .catalog import RATE_PCT_SQL, loans_df, register, with_loans
+from .catalog import RATE_FRAC_SQL, RATE_PCT_SQL, loans_df, register, with_loans
 
 
 def flatten(report: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def dq2_interest_rate_check(spark, sf):
 
 
 _SCAN_SQL = f""", s AS (SELECT loan_status AS status, COUNT(*) AS cnt,
-    MIN({RATE_PCT_SQL} / 100.0) AS mn, MAX({RATE_PCT_SQL} / 100.0) AS mx FROM loans GROUP BY loan_status),
+    MIN({RATE_FRAC_SQL}) AS mn, MAX({RATE_FRAC_SQL}) AS mx FROM loans GROUP BY loan_status),
 t AS (SELECT SUM(cnt) FILTER (WHERE status IS NOT NULL) AS n, MIN(mn) AS min_rate, MAX(mx) AS max_rate FROM s),
 ok3 AS (SELECT COALESCE((SELECT COUNT(*) FROM s WHERE status = 'Fully Paid') > 0
           AND (SELECT COUNT(*) FROM s WHERE status = 'Charged Off') > 0 AND (SELECT n FROM t) > 0, false) AS passed),

@@ -253,7 +253,7 @@ def _ab_sql() -> str:
     head = f""", ix AS (SELECT *, ROW_NUMBER() OVER (ORDER BY issue_d, id) - 1 AS idx, COUNT(*) OVER () AS n FROM loans),
 tail AS (SELECT * FROM ix WHERE FLOOR(idx / {CHUNK}) >= CEIL(n / {float(CHUNK)}) - {AB_CHUNKS}),
 prep AS (SELECT *, CASE WHEN loan_status = 'Charged Off' THEN 1 ELSE 0 END AS target,
-   (TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE) / 100.0) * 100.0 AS rate_pct FROM tail),
+   TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE) AS rate_pct FROM tail),
 sc AS (SELECT id, target, {arm_sql(2)} AS arm, {SCORE_SQL} AS score FROM prep WHERE rate_pct IS NOT NULL AND dti IS NOT NULL),
 sz AS (SELECT arm, COUNT(*) AS test_data_size FROM sc GROUP BY arm)"""
     body = auc_sql("sc", "arm").replace(

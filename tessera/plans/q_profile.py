@@ -12,7 +12,7 @@ from ..operators import profile as P
 from ..operators.checks import REQUIRED_STATUSES
 from ..sources.loans import ORDER_KEY
 from ..sources.tables import filtered_head, head_rows, select_strict, select_tolerant
-from .catalog import RATE_PCT_SQL, loans_df, prepared, r6, register, sql_prep, with_loans
+from .catalog import RATE_FRAC_SQL, RATE_PCT_SQL, loans_df, prepared, r6, register, sql_prep, with_loans
 
 NUMERIC = ["loan_amnt", "installment", "annual_inc", "dti", "delinq_2yrs", "inq_last_6mths",
            "open_acc", "pub_rec", "revol_bal", "total_acc"]
@@ -52,7 +52,7 @@ def src5_filtered_head(spark, sf):
 
 
 @register("src6_chunk_accumulators", with_loans(f""", s AS (
-  SELECT loan_status AS status, COUNT(*) AS cnt, MIN({RATE_PCT_SQL} / 100.0) AS mn, MAX({RATE_PCT_SQL} / 100.0) AS mx
+  SELECT loan_status AS status, COUNT(*) AS cnt, MIN({RATE_FRAC_SQL}) AS mn, MAX({RATE_FRAC_SQL}) AS mx
   FROM loans GROUP BY loan_status)
 SELECT status, cnt, (SELECT MIN(mn) FROM s) AS min_rate, (SELECT MAX(mx) FROM s) AS max_rate
 FROM s WHERE status IS NOT NULL"""))
