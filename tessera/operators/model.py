@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -109,14 +110,20 @@ def build_pipeline(consts: dict[str, tuple[float, float, float]], categorical: S
 
 def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
         categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100) -> PipelineModel:
-    """ML1-ML8: fit the pipeline on ``train`` (which should be persisted by the caller: it is
-    read for the constants, the weights and every optimizer pass)."""
+    """ML1-ML8: fit the pipeline on ``train``; the projected, weighted training frame is
+    persisted for the duration of the fit."""
     numeric = [x for x in numeric if x in train.columns]
     categorical = [x for x in categorical if x in train.columns]
-    consts = fitted_constants(train, numeric)
-    weighted = with_class_weights(train, label)
-    n = train.count()
-    return build_pipeline(consts, categorical, c, float(n), label, max_iter).fit(weighted)
+    cols = list(dict.fromkeys([label, *numeric, *categorical]))
+    # every pass below (constants, indexer, optimizer iterations) reads this frame: keep it
+    # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
+    weighted = with_class_weights(train.select(*cols), label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = weighted.count()
+        consts = fitted_constants(weighted, numeric)
+        return build_pipeline(consts, categorical, c, float(n), label, max_iter).fit(weighted)
+    finally:
+        weighted.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "target")) -> DataFrame:

@@ -14,18 +14,23 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key, md5_mod
 from .prefix import row_index
+from .topn import first_rows
 
-# Samples up to this size use a per-task top-k (each task keeps at most n rows); larger ones
-# use the distributed row index so that no task ever holds the merged candidates.
-TOP_K_MAX = 10000
+# Samples up to this size are cut from a narrowed candidate set (``topn.first_rows``); larger
+# ones use the distributed row index so that no task ever holds the merged candidates.
+TOP_K_MAX = 1_000_000
 
 
 def exact_sample(df: DataFrame, n: int, seed: int = 42, key: str = "id") -> DataFrame:
-    """SMP1: exactly ``min(n, rows)`` rows without replacement, chosen by the seeded hash."""
+    """SMP1: exactly ``min(n, rows)`` rows without replacement: the first ``n`` in the order
+    of the seeded md5 of the id (ties by id). The 60-bit numeric prefix of the digest orders
+    like the hex text and is uniform, which keeps the candidate cutoffs tight."""
     h = hash_key(seed, key)
+    d = df.withColumn("_h", h).withColumn(
+        "_h60", F.conv(F.substr(F.col("_h"), F.lit(1), F.lit(15)), 16, 10).cast("bigint"))
     if n <= TOP_K_MAX:
-        return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
-    ix = row_index(df.withColumn("_h", h), ["_h", key], name="_i")
+        return first_rows(d, n, ["_h60", "_h", key]).drop("_h", "_h60")
+    ix = row_index(d.drop("_h60"), ["_h", key], name="_i")
     return ix.filter(F.col("_i") < n).drop("_h", "_i")
 
 

@@ -88,8 +88,9 @@ def dr1_ks_drift_fraction(spark, sf):
     return _ks_out(D.ks_drift(ref, cur))
 
 
-@register("dr5_drift_overall_status", _KS_CHUNKS + """
-SELECT CASE WHEN BOOL_OR(p < 0.05) THEN 'DRIFT_DETECTED' ELSE 'NO_DRIFT' END AS overall_drift_status,
+@register("dr5_drift_overall_status", _KS_CHUNKS + f"""
+SELECT CASE WHEN (SELECT CEIL(COUNT(*) / {float(CHUNK)}) FROM loans) < 4 THEN 'SKIPPED_TOO_SMALL'
+  WHEN BOOL_OR(p < 0.05) THEN 'DRIFT_DETECTED' ELSE 'NO_DRIFT' END AS overall_drift_status,
   COUNT(*) AS features_checked FROM r""")
 def dr5_drift_overall_status(spark, sf):
     ref, cur, st = POS.slices(drift_input(loans_df(spark, sf)), ORDER_KEY, "chunks", 2, CHUNK)

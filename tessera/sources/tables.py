@@ -82,8 +82,10 @@ def order_columns(order_by: Iterable[str | Column]) -> list[Column]:
 
 def head_rows(df: DataFrame, n: int, order_by: Iterable[str | Column]) -> DataFrame:
     """SRC2 / SLC7: first ``n`` rows in file order. Row order is explicit (a total order key);
-    ``n`` is the feature here (a head sample), so the limit stays."""
-    return df.orderBy(*order_columns(order_by)).limit(n)
+    ``n`` is the feature here (a head sample). Exact, without a single-task merge of
+    partitions x n rows (``operators.topn``)."""
+    from ..operators.topn import first_rows
+    return first_rows(df, n, order_columns(order_by))
 
 
 def filtered_head(df: DataFrame, status_col: str, allowed: Iterable[str], n: int | None,
@@ -95,4 +97,4 @@ def filtered_head(df: DataFrame, status_col: str, allowed: Iterable[str], n: int
     out = df.filter(F.col(status_col).isin(list(allowed)))
     if n is None:
         return out
-    return out.orderBy(*order_columns(order_by)).limit(n)
+    return head_rows(out, n, order_by)

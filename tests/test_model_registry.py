@@ -12,7 +12,7 @@ from tessera.plans import jobs as J
 from tessera.sources import registry as REG
 from tessera.sources.loans import ORDER_KEY
 
-from .conftest import SF01
+SF01 = "/root/testdata/sf0.01"
 
 
 def _scratch():
@@ -71,7 +71,7 @@ def test_registry_last_write_wins_and_failures(spark):
     REG.register_model(spark, path, "v2", "file:/m/2", "r2", ["a"], ["b"])
     REG.register_model(spark, path, "v1", "file:/m/3", "r3", ["a"], ["b"])
     REG.record_failure(spark, path, "v2", "boom")
-    REG.append_registry(spark, path, [dict(model_version_name="v3", run_id="r4", numeric_features=["a"],
+    REG.append_registry(spark, path, [dict(model_version_name="v3", run_id="r4", model_name=REG.MODEL_NAME, numeric_features=["a"],
                                            categorical_features=["b"], status="REGISTERED")])
     latest = {r["model_version_name"]: r for r in REG.validate(REG.latest(REG.read_registry(spark, path))).collect()}
     assert latest["v1"]["model_uri"] == "file:/m/3" and latest["v1"]["readiness"] == "READY"

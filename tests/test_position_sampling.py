@@ -75,3 +75,16 @@ def test_arms_partition_rows(spark):
     df = spark.range(0, 3000)
     arms = S.assign_arm(df, 3)
     assert arms.count() == 3000 and set(r.arm for r in arms.select("arm").distinct().collect()) == {0, 1, 2}
+
+
+def test_first_rows_cutoff_path_is_exact(spark, monkeypatch):
+    """Force the candidate-cutoff plan (the one used when partitions x n is large)."""
+    from tessera.operators import topn
+    monkeypatch.setattr(topn, "DIRECT_MERGE_MAX", 0)
+    df = spark.range(0, 50000).select("id", (F.col("id") * 7919 % 1000).alias("k"))
+    for n in (1, 777, 20000):
+        got = [tuple(r) for r in topn.first_rows(df, n, ["k", "id"]).collect()]
+        want = [tuple(r) for r in df.orderBy("k", "id").limit(n).collect()]
+        assert got == want
+    s = S.exact_sample(df, 500, seed=3)
+    assert s.count() == 500
