@@ -50,7 +50,11 @@ def grouped_histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()
     x = F.col(col).cast("double")
     vals = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     rng = vals.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    j = vals.join(rng, by) if by else vals.join(F.broadcast(rng))  # one-row range table
+    if by:
+        j = vals.join(rng, by)
+    else:  # global range: two scalar subqueries, no join
+        j = vals.withColumn("lo", vals.select(F.min("_x")).scalar()).withColumn(
+            "hi", vals.select(F.max("_x")).scalar())
     counts = (j.select(*by, bin_index(F.col("_x"), F.col("lo"), F.col("hi"), bins).alias("bin"),
                        F.when(F.col("hi") == F.col("lo"), F.lit(True)).alias("_flat"))
               .select(*by, F.when(F.col("_flat"), F.lit(bins // 2)).otherwise(F.col("bin")).alias("bin"))

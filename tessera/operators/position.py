@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prefix import row_index
+from .topn import first_rows, last_rows
+
+# Chunk slices up to this many rows are cut from narrowed candidates (``topn``); larger ones
+# (and fraction slices) use the distributed row index.
+BOUNDED_SLICE_MAX = 1_000_000
 
 
 def with_index(df: DataFrame, order_by: Sequence[str], name: str = "row_idx") -> DataFrame:
@@ -58,10 +63,20 @@ def too_small(n_rows: F.Column, k: int, chunk: int) -> F.Column:
 def slices(df: DataFrame, order_by: Sequence[str], mode: str = "chunks", k: int = 2,
            chunk: int = 50000, fraction: float = 0.1) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Reference and current slices plus a one-row status frame (``OK`` or
-    ``SKIPPED_TOO_SMALL``). ``mode='chunks'`` slices as the source does; ``mode='fraction'``
-    takes the first and last ``fraction`` of rows, as its documentation says."""
-    ix = with_index(df, order_by)
+    ``SKIPPED_TOO_SMALL``). ``mode='chunks'`` slices as the source does (first ``k`` chunks,
+    last ``k`` chunks with a short last chunk); ``mode='fraction'`` takes the first and last
+    ``fraction`` of rows, as its documentation says. The row count is one scalar action."""
     n = df.select(F.count(F.lit(1)).alias("n_rows"))
+    if mode == "chunks" and k * chunk <= BOUNDED_SLICE_MAX:
+        # bounded slices: exact first / last rows from narrowed candidates, no full sort
+        total = n.first()["n_rows"]
+        tail = total - chunk * (max(-(-total // chunk), k) - k) if total else 0
+        ref = first_rows(df, k * chunk, order_by)
+        cur = last_rows(df, max(tail, 0), order_by)
+        status = n.select("n_rows", F.when(too_small(F.col("n_rows"), k, chunk), F.lit("SKIPPED_TOO_SMALL"))
+                          .otherwise(F.lit("OK")).alias("status"))
+        return ref, cur, status
+    ix = with_index(df, order_by)
     if mode == "chunks":
         ref, cur = head_chunks(ix, k, chunk), tail_chunks(ix, k, chunk)
         status = n.select("n_rows", F.when(too_small(F.col("n_rows"), k, chunk), F.lit("SKIPPED_TOO_SMALL"))

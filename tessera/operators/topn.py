@@ -49,11 +49,13 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def cutoff(df: DataFrame, key: Column, n: int) -> Column:
-    """Scalar subquery: a value of ``key`` with at least ``n`` rows of ``df`` at or below it,
-    as small as the ladder allows; NULL when no ladder step is safe (keep everything)."""
+def cutoff(df: DataFrame, key: Column, n: int, descending: bool = False) -> Column:
+    """Scalar subquery: a value of ``key`` with at least ``n`` rows of ``df`` at or below it
+    (at or above it when ``descending``), as tight as the ladder allows; NULL when no ladder
+    step is safe (keep everything)."""
+    fractions = [1.0 - f for f in LADDER] if descending else LADDER
     stats = df.agg(F.count(F.lit(1)).alias("_n"),
-                   F.percentile_approx(key, LADDER, ACCURACY).alias("_q"))
+                   F.percentile_approx(key, fractions, ACCURACY).alias("_q"))
     total = F.col("_n").cast("double")
     err = total / F.lit(float(ACCURACY)) + F.lit(float(MARGIN_ROWS))
     pick = None
@@ -64,11 +66,11 @@ def cutoff(df: DataFrame, key: Column, n: int) -> Column:
     return stats.select(pick.alias("_cut")).scalar()
 
 
-def candidates(df: DataFrame, n: int, key: Column, levels: int = LEVELS) -> DataFrame:
+def candidates(df: DataFrame, n: int, key: Column, levels: int = LEVELS, descending: bool = False) -> DataFrame:
     cand = df
     for _ in range(levels):
-        cut = cutoff(cand, key, n)
-        cand = cand.filter(cut.isNull() | (key <= cut))
+        cut = cutoff(cand, key, n, descending)
+        cand = cand.filter(cut.isNull() | ((key >= cut) if descending else (key <= cut)))
     return cand
 
 
@@ -80,3 +82,13 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str | Column], levels:
     if partition_estimate(df) * n <= DIRECT_MERGE_MAX:
         return df.orderBy(*keys).limit(n)
     return candidates(df, n, keys[0], levels).orderBy(*keys).limit(n)
+
+
+def last_rows(df: DataFrame, n: int, order_by: Sequence[str | Column], levels: int = LEVELS) -> DataFrame:
+    """The last ``n`` rows of ``df`` in ``order_by`` (a total order), exactly: the first ``n``
+    of the descending order, narrowed by upper-quantile cutoffs."""
+    keys = _cols(order_by)
+    desc = [k.desc() for k in keys]
+    if partition_estimate(df) * n <= DIRECT_MERGE_MAX:
+        return df.orderBy(*desc).limit(n)
+    return candidates(df, n, keys[0], levels, descending=True).orderBy(*desc).limit(n)

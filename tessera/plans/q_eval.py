@@ -274,3 +274,19 @@ def ab3_arm_auc(spark, sf):
     s = score_arms(p, [_ab_scorer(0.0), _ab_scorer(0.0)])
     m = arm_metrics(s)
     return m.select("arm", "test_data_size", "positives", "negatives", r6("roc_auc").alias("roc_auc"), "error")
+
+
+@register("rb5_robustness_record", sql_prep("""SELECT 'fixed_scorer' AS run_id, k AS key, v AS value, t AS text FROM (
+  SELECT 'robustness_change_percentage' AS k, ROUND(pct, 6) AS v, CAST(NULL AS VARCHAR) AS t FROM res
+  UNION ALL SELECT 'robustness_test_passed', CAST(CASE WHEN pct < 15.0 THEN 1 ELSE 0 END AS DOUBLE), NULL FROM res
+  UNION ALL SELECT 'robustness_features_perturbed', NULL, 'annual_inc, dti, revol_util' FROM res
+  UNION ALL SELECT 'robustness_noise_level_std_fraction', 0.05, NULL FROM res
+  UNION ALL SELECT 'robustness_threshold_percentage', 15.0, NULL FROM res
+  UNION ALL SELECT 'robustness_test_status', NULL, 'completed' FROM res)""", _ROBUST_SQL + """,
+res AS (SELECT COUNT(*) FILTER (WHERE a <> b) * 100.0 / COUNT(*) AS pct FROM pa JOIN pb USING (id))"""))
+def rb5_robustness_record(spark, sf):
+    """RB4 + RB5: the robustness result as run-metric rows (status, percentage, parameters)."""
+    res = R.robustness(_robust_sample(spark, sf), _predict)
+    rec = R.robustness_record(res, "fixed_scorer")
+    return rec.select("run_id", "key", F.when(F.col("key") == "robustness_change_percentage", r6("value"))
+                      .otherwise(F.col("value")).alias("value"), "text")
