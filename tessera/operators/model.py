@@ -108,6 +108,18 @@ def build_pipeline(consts: dict[str, tuple[float, float, float]], categorical: S
     return Pipeline(stages=stages)
 
 
+ROW_BYTES_PER_COLUMN = 16
+TARGET_PARTITION_BYTES = 64 * 1024 * 1024
+
+
+def fit_partitions(spark, rows: int, columns: int) -> int:
+    """Partitions of the cached training frame: about 64 MB each, at most the cluster's
+    parallelism. Every optimizer iteration is one ``treeAggregate`` over them, so tiny
+    partitions only add scheduling rounds while large data still spreads over all cores."""
+    size = rows * columns * ROW_BYTES_PER_COLUMN
+    return max(1, min(spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES)))
+
+
 def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
         categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100) -> PipelineModel:
     """ML1-ML8: fit the pipeline on ``train``; the projected, weighted training frame is
@@ -117,9 +129,11 @@ def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
     cols = list(dict.fromkeys([label, *numeric, *categorical]))
     # every pass below (constants, indexer, optimizer iterations) reads this frame: keep it
     # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
-    weighted = with_class_weights(train.select(*cols), label).persist(StorageLevel.MEMORY_AND_DISK)
+    n = train.count()
+    weighted = with_class_weights(train.select(*cols), label).repartition(
+        fit_partitions(train.sparkSession, n, len(cols))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = weighted.count()
+        weighted.count()
         consts = fitted_constants(weighted, numeric)
         return build_pipeline(consts, categorical, c, float(n), label, max_iter).fit(weighted)
     finally:

@@ -6,9 +6,13 @@ one task. Both are avoided here:
 
 1. range-partition the rows on ``(group, order)`` so that each partition holds one contiguous
    slice of the total order; sort within partitions;
-2. freeze partition membership with a reliable ``checkpoint()`` (range bounds are sampled, so a
-   second evaluation could draw other bounds; the checkpoint lives in the shared
-   ``spark.checkpoint.dir`` and survives executor loss);
+2. freeze partition membership: range bounds are sampled when a physical plan is built, so
+   two separately planned evaluations could draw different bounds. The range-partitioned
+   frame is persisted (MEMORY_AND_DISK): every later use reads the one cached plan, whose
+   shuffle dependency (and so its bounds) is fixed; a block lost with an executor is
+   recomputed through that same dependency and gets the same rows. ``FREEZE = "checkpoint"``
+   writes a reliable checkpoint to the shared ``spark.checkpoint.dir`` instead (cuts lineage,
+   costs a write). ``release()`` drops the frames frozen so far;
 3. compute per-(partition, group) totals: at most ``P + G`` rows, a proven bound, broadcast;
 4. add the exclusive prefix of those totals to the in-partition position / running sum.
 
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +44,28 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+FREEZE = "persist"
+_FROZEN: list[DataFrame] = []
+
+
 def _frozen_range(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    p = _partitions(df, num_partitions)
-    r = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    return r.checkpoint(eager=True)
+    # without an explicit count the range exchange uses the shuffle partitions and AQE may
+    # coalesce them for small inputs
+    rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    r = rp.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    if FREEZE == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return r.checkpoint(eager=True)
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    _FROZEN.append(r)
+    return r
+
+
+def release() -> None:
+    """Unpersist the range-partitioned frames frozen by this module (call when the results
+    built on them are no longer needed)."""
+    while _FROZEN:
+        _FROZEN.pop().unpersist()
 
 
 def row_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str] = (),

@@ -7,6 +7,7 @@ index over the hash order, never from collecting rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -34,12 +35,71 @@ def exact_sample(df: DataFrame, n: int, seed: int = 42, key: str = "id") -> Data
     return ix.filter(F.col("_i") < n).drop("_h", "_i")
 
 
+def _h60(h: "F.Column") -> "F.Column":
+    """The first 15 hex digits of a hex md5 as a non-negative 60-bit integer (orders like the
+    text, uniform over [0, 2^60))."""
+    return F.conv(F.substr(h, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
+
+
+TWO_60 = float(2 ** 60)
+
+
+def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: int, key: str,
+                    flag: str) -> DataFrame:
+    """Mark, in every class, the ``test_rows`` rows that come first in seeded-hash order
+    (``quotas``: one row per class with ``class_rows`` and ``test_rows``; labels non-null).
+
+    The hash prefix is uniform, so a class threshold lies near ``(q / n) * 2^60``. One pass
+    counts, per class, the rows below a band around that point (must be at most ``q``) and
+    below its top (at least ``q``); only the band rows, O(sqrt(n)) per class, are ranked to
+    find the exact threshold row. No shuffle of the table, and a class holding most of the
+    rows costs the same as a small one. A missed band (probability ~1e-9) is widened and the
+    pass repeated."""
+    spark = df.sparkSession
+    g = label or "_g"
+    base = df if label else df.withColumn("_g", F.lit(0))
+    q = quotas if label else quotas.withColumn("_g", F.lit(0))
+    gtype = base.schema[g].dataType.simpleString()
+    d = base.withColumn("_h", hash_key(seed, key)).withColumn("_h60", _h60(F.col("_h")))
+    classes = [(r[g], int(r["class_rows"]), int(r["test_rows"])) for r in q.collect()]
+    widen = 1.0
+    for _ in range(6):
+        bands = []
+        for cls, n, t in classes:
+            f = t / n if n else 0.0
+            delta = widen * (8.0 * math.sqrt(max(f * (1 - f), 1.0 / n) / n) + 64.0 / n) if n else 1.0
+            lo = int((f - delta) * TWO_60) if f - delta > 0 else -1
+            hi = int((f + delta) * TWO_60) if f + delta < 1 else 2 ** 62
+            bands.append((cls, n, t, lo, hi))
+        bt = spark.createDataFrame(bands, f"{g} {gtype}, _n long, _t long, _lo long, _hi long")
+        tagged = d.join(F.broadcast(bt), g)
+        cnt = {r[g]: (r["below"], r["upto"]) for r in tagged.groupBy(g).agg(
+            F.count_if(F.col("_h60") < F.col("_lo")).alias("below"),
+            F.count_if(F.col("_h60") < F.col("_hi")).alias("upto")).collect()}
+        if all(cnt.get(c, (0, 0))[0] <= t <= cnt.get(c, (0, 0))[1] for c, _, t, _, _ in bands):
+            break
+        widen *= 4.0
+    else:
+        raise RuntimeError("hash band did not converge")
+    need = spark.createDataFrame([(c, t - cnt.get(c, (0, 0))[0]) for c, _, t, _, _ in bands],
+                                 f"{g} {gtype}, _need long")
+    band = tagged.filter((F.col("_h60") >= F.col("_lo")) & (F.col("_h60") < F.col("_hi")))
+    w = Window.partitionBy(g).orderBy("_h60", "_h", key)
+    thr = (band.select(g, "_h60", "_h", F.col(key).alias("_k"), F.row_number().over(w).alias("_r"))
+           .join(F.broadcast(need), g).filter(F.col("_r") == F.col("_need"))
+           .select(g, F.struct("_h60", "_h", "_k").alias("_thr")))
+    mine = F.struct("_h60", "_h", F.col(key).alias("_k"))
+    out = (d.join(F.broadcast(thr), g, "left")
+           .withColumn(flag, F.coalesce(mine <= F.col("_thr"), F.lit(False))).drop("_h", "_h60", "_thr"))
+    return out if label else out.drop("_g")
+
+
 def random_split(df: DataFrame, test_fraction: float, seed: int = 42, key: str = "id",
                  flag: str = "is_test") -> DataFrame:
-    """SMP2: exact ``ceil(test_fraction * n)`` test rows by hash rank; the rest is train."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    ix = row_index(df.withColumn("_h", hash_key(seed, key)), ["_h", key], name="_i")
-    return ix.withColumn(flag, F.col("_i") < F.ceil(F.lit(float(test_fraction)) * n)).drop("_h", "_i")
+    """SMP2: exactly ``ceil(test_fraction * n)`` test rows: the first ones in seeded-hash order."""
+    q = df.agg(F.count(F.lit(1)).alias("class_rows")).withColumn(
+        "test_rows", F.ceil(F.lit(float(test_fraction)) * F.col("class_rows")).cast("bigint"))
+    return hash_rank_split(df, q, None, seed, key, flag)
 
 
 def stratified_quotas(df: DataFrame, label: str, test_fraction: float) -> DataFrame:
@@ -65,12 +125,9 @@ def stratified_quotas(df: DataFrame, label: str, test_fraction: float) -> DataFr
 def stratified_split(df: DataFrame, label: str, test_fraction: float, seed: int = 42,
                      key: str = "id", flag: str = "is_test") -> DataFrame:
     """SMP3: stratified split with exact sizes; within each class the test rows are the first
-    ``test_rows`` in seeded-hash order. A class holding most rows is spread over many range
-    partitions by the row index, never one task."""
-    quotas = stratified_quotas(df, label, test_fraction).select(label, "test_rows")
-    ix = row_index(df.withColumn("_h", hash_key(seed, key)), ["_h", key], group_by=[label], name="_i")
-    return (ix.join(F.broadcast(quotas), label)
-            .withColumn(flag, F.col("_i") < F.col("test_rows")).drop("_h", "_i", "test_rows"))
+    ``test_rows`` in seeded-hash order (``hash_rank_split``: no shuffle of the table)."""
+    quotas = stratified_quotas(df, label, test_fraction)
+    return hash_rank_split(df, quotas, label, seed, key, flag)
 
 
 def assign_arm(df: DataFrame, n_arms: int, key: str = "id", name: str = "arm") -> DataFrame:

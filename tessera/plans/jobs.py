@@ -19,6 +19,7 @@ from ..operators import model as ML
 from ..operators import position as POS
 from ..operators import robust as R
 from ..operators.abtest import ab_report, arm_metrics, score_arms
+from ..operators.prefix import release
 from ..operators.sampling import exact_sample, stratified_split
 from ..sources import registry as REG
 
@@ -55,11 +56,15 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
     run_id = REG.new_run_id()
     params: dict[str, object] = {"regularization_c": c, "test_set_prop": test_fraction, "min_records": min_records,
                                  "model_version_name": version_name, "sample_size": sample_size}
-    split = None
+    split = d = None
     try:
         d = ML.prepare(df, "binary")
+        keep = [c for c in dict.fromkeys([key, "target", *ML.NUMERIC, *ML.CATEGORICAL]) if c in d.columns]
         if sample_size:
             d = exact_sample(d, sample_size, seed=seed, key=key)
+        # the split and every fit pass read the prepared rows: compute them once
+        # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
+        d = d.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         n = d.count()
         if n < min_records:
             raise ValueError(f"Data size ({n}) after NaN handling is less than minimum ({min_records}).")
@@ -93,8 +98,10 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         REG.record_failure(spark, registry_path, version_name, str(e)[:1000], run_id)
         return {"run_id": run_id, "status": "failed", "error": str(e)}
     finally:
-        if split is not None:
-            split.unpersist()
+        for frame in (split, d):
+            if frame is not None:
+                frame.unpersist()
+        release()
 
 
 def _model_row(spark: SparkSession, registry_path: str, version_name: str):
