@@ -88,3 +88,20 @@ def slices(df: DataFrame, order_by: Sequence[str], mode: str = "chunks", k: int
     else:
         raise ValueError(f"unknown slice mode {mode!r}")
     return ref.drop("row_idx", "n_rows"), cur.drop("row_idx", "n_rows"), status
+
+
+def head_slice(df: DataFrame, order_by: Sequence[str], k: int, chunk: int) -> DataFrame:
+    """SLC1 / SLC3: rows of the first ``k`` chunks (bounded: narrowed candidates; else index)."""
+    if k * chunk <= BOUNDED_SLICE_MAX:
+        return first_rows(df, k * chunk, order_by)
+    return head_chunks(with_index(df, order_by), k, chunk).drop("row_idx", "n_rows")
+
+
+def tail_slice(df: DataFrame, order_by: Sequence[str], k: int, chunk: int) -> DataFrame:
+    """SLC2: rows of the last ``k`` chunks, the last chunk possibly short (one count action
+    for the bounded path; the row index otherwise)."""
+    if k * chunk <= BOUNDED_SLICE_MAX:
+        total = df.count()
+        tail = total - chunk * (max(-(-total // chunk), k) - k) if total else 0
+        return last_rows(df, max(tail, 0), order_by)
+    return tail_chunks(with_index(df, order_by), k, chunk).drop("row_idx", "n_rows")

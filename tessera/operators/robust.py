@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import gaussian
 from ..functions.misc import clip
+from ..session import checkpoint_dir
 from .metrics import flip_rate
 from .sampling import exact_sample
 
@@ -35,12 +36,16 @@ def perturb(sample: DataFrame, features: Sequence[str], noise_fraction: float =
     The source's default upper clip of ``max(1.5, max(column))`` never clips, so ``upper`` is
     only applied where given."""
     upper = upper or {}
+    feats = [c for c in sample.columns if c in features]
+    # all sample stds in one scalar subquery (one pass over the sample)
+    stds = sample.select(F.struct(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in feats])).scalar() \
+        if feats else None
     cols = []
     for c in sample.columns:
         if c not in features:
             cols.append(F.col(c))
             continue
-        std = sample.select(F.stddev_samp(F.col(c).cast("double"))).scalar()
+        std = stds.getField(c)
         noisy = F.col(c).cast("double") + gaussian(seed, c, key) * std * F.lit(float(noise_fraction))
         moved = clip(noisy, lower, upper.get(c))
         cols.append(F.when(std.isNotNull() & (std > 0), moved).otherwise(F.col(c).cast("double")).alias(c))
@@ -54,7 +59,10 @@ def robustness(clean: DataFrame, predict: Callable[[DataFrame], DataFrame],
     """RB3 + RB4: flip rate of ``predict`` between a seeded sample of ``min(n, rows)`` rows and
     its perturbed copy; ``passed = change_pct < threshold`` (strict). ``predict`` maps a frame
     to ``(key, prediction)``. An empty input gives ``status = skipped_no_data_post_clean``."""
-    sample = exact_sample(clean, n, seed=sample_seed, key=key)
+    # the sample is bounded (n rows) and read four times: materialise it once in the shared
+    # checkpoint folder (cuts the lineage back to the full table)
+    checkpoint_dir(clean.sparkSession)
+    sample = exact_sample(clean, n, seed=sample_seed, key=key).checkpoint(eager=True)
     noisy = perturb(sample, [f for f in features if f in clean.columns], noise_fraction, noise_seed, key)
     a = predict(sample).select(key, F.col("prediction").alias("_a"))
     b = predict(noisy).select(key, F.col("prediction").alias("_b"))

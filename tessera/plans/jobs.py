@@ -124,8 +124,7 @@ def robustness_job(spark: SparkSession, df: DataFrame, order_by: Sequence[str],
         return spark.createDataFrame([(0, 0, 0.0, None, f"skipped_{m['readiness'].lower()}")],
                                      "rows long, changed long, change_pct double, passed boolean, status string")
     model = PipelineModel.load(m["model_uri"])
-    ix = POS.with_index(df, order_by)
-    head = POS.head_chunks(ix, chunks, chunk).drop("row_idx", "n_rows")
+    head = POS.head_slice(df, order_by, chunks, chunk)
     clean = ML.prepare(head, "binary", numeric=list(m["numeric_features"]),
                        categorical=list(m["categorical_features"]))
     res = R.robustness(clean, lambda d: ML.score(model, d, keep=[key]), key=key)
@@ -152,8 +151,7 @@ def ab_job(spark: SparkSession, df: DataFrame, order_by: Sequence[str], registry
            names: Sequence[str], test_id: str, k: int = 4, chunk: int = 50000, key: str = "id") -> DataFrame:
     """AB*: the last ``k`` chunks, labelled over every status; arm i scored by the i-th
     requested model (missing or unusable models give error rows)."""
-    ix = POS.with_index(df, order_by)
-    tail = POS.tail_chunks(ix, k, chunk).drop("row_idx", "n_rows")
+    tail = POS.tail_slice(df, order_by, k, chunk)
     d = ML.prepare(tail, "all")
     reg = REG.latest(REG.read_registry(spark, registry_path))
     wanted = {r["model_version_name"]: r for r in reg.filter(F.col("model_version_name").isin(list(names))).collect()}

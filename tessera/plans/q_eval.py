@@ -267,9 +267,7 @@ sz AS (SELECT arm, COUNT(*) AS test_data_size FROM sc GROUP BY arm)"""
 def ab3_arm_auc(spark, sf):
     """AB1-AB3 on the tail slice (last 4 chunks, label over every status as the source does):
     arm by md5 of the id, each arm scored by its own scorer, exact AUC and size per arm."""
-    df = loans_df(spark, sf)
-    ix = POS.with_index(df, ORDER_KEY)
-    tail = POS.tail_chunks(ix, AB_CHUNKS, CHUNK).drop("row_idx", "n_rows")
+    tail = POS.tail_slice(loans_df(spark, sf), ORDER_KEY, AB_CHUNKS, CHUNK)
     p = prepared(tail).filter(F.col("rate_pct").isNotNull() & F.col("dti").isNotNull())
     s = score_arms(p, [_ab_scorer(0.0), _ab_scorer(0.0)])
     m = arm_metrics(s)

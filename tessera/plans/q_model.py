@@ -4,6 +4,7 @@ oracle and are checked by row count plus the numeric pytest against a Newton sol
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.misc import join_names, split_names, status_text
@@ -24,8 +25,9 @@ _ML_CLEAN = """, mlc AS (SELECT * FROM prep WHERE loan_status IN ('Fully Paid',
   AND emp_length_numeric IS NOT NULL)"""
 
 
-def ml_clean(spark, sf):
-    return ML.prepare(loans_df(spark, sf), "binary")
+def ml_clean(spark, sf, persist: bool = False):
+    d = ML.prepare(loans_df(spark, sf), "binary")
+    return d.persist(StorageLevel.MEMORY_AND_DISK) if persist else d
 
 
 @register("ml7_class_weights", sql_prep("""SELECT target, ROUND(CAST(SUM(c) OVER () AS DOUBLE) / (2 * c), 6) AS class_weight, c AS rows
@@ -63,7 +65,7 @@ def ml1_ml2_fitted_constants(spark, sf):
 @register("ml9_fit_and_score")
 def ml9_fit_and_score(spark, sf):
     """ML1-ML9: stratified split, pipeline fit (C = 1.0), scores of the test rows."""
-    sp = stratified_split(ml_clean(spark, sf), "target", 0.2, seed=42)
+    sp = stratified_split(ml_clean(spark, sf, persist=True), "target", 0.2, seed=42)
     train = sp.filter(~F.col("is_test"))
     model = ML.fit(train, 1.0)
     return ML.score(model, sp.filter(F.col("is_test")))
@@ -72,7 +74,7 @@ def ml9_fit_and_score(spark, sf):
 @register("ml10_regularisation_sweep")
 def ml10_regularisation_sweep(spark, sf):
     """ML10: one model per C over one training split; exact AUC and accuracy per model."""
-    sp = stratified_split(ml_clean(spark, sf), "target", 0.2, seed=42)
+    sp = stratified_split(ml_clean(spark, sf, persist=True), "target", 0.2, seed=42)
     train, test = sp.filter(~F.col("is_test")), sp.filter(F.col("is_test"))
     out = None
     for c, model in ML.sweep(train, [1.0, 0.1]).items():
