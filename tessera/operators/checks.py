@@ -251,5 +251,6 @@ def require_passed(report: DataFrame) -> bool:
 
 def assert_passed(report: DataFrame) -> DataFrame:
     """DQ7 inside a plan: ``assert_true`` fails the job at the first failed row."""
-    return report.select("*", F.assert_true(F.col("passed"), F.concat(
-        F.lit("check failed: "), F.col("check_name"))).alias("_assert")).drop("_assert")
+    # a predicate, not a dropped column: a projected-away assertion would be pruned
+    return report.where(F.assert_true(F.col("passed"), F.concat(
+        F.lit("check failed: "), F.col("check_name"))).isNull())

@@ -1,8 +1,9 @@
 """Deterministic sampling and splitting (SMP1-SMP6, AB1).
 
 Randomness is a seeded md5 of the row id: the same row gets the same draw on every run, in
-every partitioning, and after any task retry. Exact sizes come from the distributed row
-index over the hash order, never from collecting rows.
+every partitioning, and after any task retry. Exact sizes come from hash-order thresholds
+(a uniform hash puts each threshold in a narrow band: only the band is ranked) or from the
+narrowed top-n, never from collecting rows or sorting the table.
 """
 
 from __future__ import annotations
