@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.misc import pct
 from ..functions.parse import percent_lenient, percent_number
 from ..sources.tables import head_rows
-from .histogram import count_peaks, histogram
+from .histogram import bin_index, count_peaks
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("check_name", T.StringType(), False),
@@ -75,13 +75,20 @@ def range_check(df: DataFrame, value: Column, name: str, missing_limit: float, l
                 min_peaks: int | None = None, out_limit: float = OUT_OF_RANGE_LIMIT_PCT,
                 in_range_min: float = IN_RANGE_MIN_PCT) -> DataFrame:
     """DQ1 / DQ2: missing share, below-min / above-max shares, normal-range share, and
-    optionally the number of histogram peaks, in one aggregation (+ one histogram pass).
+    optionally the number of histogram peaks in ``bins`` bins over [lo, hi].
+
+    One scan: rows are counted per histogram bin (NULL bin = missing or outside) with the
+    range counters as conditional counts; the totals and the histogram are both read from
+    that small grouped result (its exchange is reused, the table is scanned once).
     Percentages are over all rows for missing values, over non-null values otherwise."""
     x = value
-    a = df.agg(
-        F.count(F.lit(1)).alias("n"), F.count(x).alias("nv"),
-        F.count_if(x.isNull()).alias("miss"), F.count_if(x < lo).alias("below"),
-        F.count_if(x > hi).alias("above"), F.count_if(x.between(normal_lo, normal_hi)).alias("within"))
+    b = bin_index(x, F.lit(float(lo)), F.lit(float(hi)), bins) if bins else F.lit(None).cast("int")
+    g = df.select(x.alias("_v"), b.alias("bin")).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_v").alias("nv"),
+        F.count_if(F.col("_v").isNull()).alias("miss"), F.count_if(F.col("_v") < lo).alias("below"),
+        F.count_if(F.col("_v") > hi).alias("above"),
+        F.count_if(F.col("_v").between(normal_lo, normal_hi)).alias("within"))
+    a = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "nv", "miss", "below", "above", "within")])
     mp = pct(F.col("miss"), F.col("n"))
     bp = pct(F.col("below"), F.col("nv"))
     ap = pct(F.col("above"), F.col("nv"))
@@ -103,7 +110,9 @@ def range_check(df: DataFrame, value: Column, name: str, missing_limit: float, l
     ]
     out = _explode_rows(a, rows)
     if bins:
-        h = histogram(df.select(x.alias("_v")), "_v", lo, hi, bins)
+        allb = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        h = allb.join(g.filter(F.col("bin").isNotNull()).select("bin", F.col("n").alias("count")), "bin", "left") \
+            .select("bin", F.coalesce("count", F.lit(0)).alias("count"))
         pk = count_peaks(h)
         prow = _row(name, "distribution_pattern", F.col("peaks") >= min_peaks,
                     _metrics(peaks_detected=F.col("peaks"), minimum_expected_peaks=F.lit(min_peaks)),

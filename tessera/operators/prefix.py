@@ -18,6 +18,9 @@ one task. Both are avoided here:
 
 Hot groups are harmless: a group holding a third of all rows is split over many range
 partitions like any other contiguous slice.
+
+Inputs that are provably small (leaf relations of at most ``SMALL_INPUT_BYTES``) take the
+plain window instead: same result, one stage.
 """
 
 from __future__ import annotations
@@ -34,6 +37,22 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+# Inputs whose leaf relations total at most this many bytes are provably small: a group of
+# them fits in one task, so the plain window is used (one stage, no freeze). Larger or
+# unknown-size inputs (checkpointed RDDs report no size) take the distributed path.
+SMALL_INPUT_BYTES = 16 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Sum of the size estimates of the plan's leaf relations (files, caches, local rows)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_small(df: DataFrame) -> bool:
+    return input_bytes(df) <= SMALL_INPUT_BYTES
+
+
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -80,6 +99,9 @@ def row_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequenc
     """
     group = list(group_by)
     keys = _cols(group) + _cols(order_by)
+    if is_small(df):
+        w = Window.partitionBy(*group).orderBy(*_cols(order_by))
+        return df.withColumn(name, F.row_number().over(w) - 1)
     r = _frozen_range(df, keys, num_partitions)
     pid = F.shiftright(F.col("_mid"), _POS_BITS).alias("_pid")
     pos = (F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).alias("_pos")
@@ -107,6 +129,12 @@ def running_sums(df: DataFrame, order_by: Sequence[str], values: Sequence[str],
     """
     group = list(group_by)
     keys = _cols(group) + _cols(order_by)
+    if is_small(df):
+        w = Window.partitionBy(*group).orderBy(*_cols(order_by)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        wg = Window.partitionBy(*group)
+        return df.select(*df.columns, *[F.sum(v).over(w).alias(f"{v}{suffix}") for v in values],
+                         *[F.sum(v).over(wg).alias(f"{v}_total") for v in values if totals])
     r = _frozen_range(df, keys, num_partitions)
     r = r.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS)).drop("_mid")
     tot = r.groupBy("_pid", *group).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])

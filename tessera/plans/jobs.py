@@ -4,6 +4,7 @@ fitted constants and registry rows of the requested models reach the driver."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -54,6 +55,14 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
     """Prepare -> (optional exact sample) -> guards -> stratified split -> fit -> evaluate ->
     save -> log metrics -> register. A failure appends a TRAINING_FAILED registry row."""
     run_id = REG.new_run_id()
+    timings: dict[str, float] = {}
+    clock = [time.perf_counter()]
+
+    def lap(step: str) -> None:
+        now = time.perf_counter()
+        timings[step] = round(now - clock[0], 3)
+        clock[0] = now
+
     params: dict[str, object] = {"regularization_c": c, "test_set_prop": test_fraction, "min_records": min_records,
                                  "model_version_name": version_name, "sample_size": sample_size}
     split = d = None
@@ -66,6 +75,7 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
         d = d.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         n = d.count()
+        lap("prepare")
         if n < min_records:
             raise ValueError(f"Data size ({n}) after NaN handling is less than minimum ({min_records}).")
         split = stratified_split(d, "target", test_fraction, seed=seed, key=key).persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,11 +84,14 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         sizes = {r["split"]: r["rows"] for r in split.groupBy(
             F.when(F.col("is_test"), "test").otherwise("train").alias("split")).count()
             .withColumnRenamed("count", "rows").collect()}
+        lap("split")
         model = ML.fit(train, c, max_iter=max_iter)
+        lap("fit")
         scored = ML.score(model, test, keep=[key, "target"])
         acc = M.accuracy(scored, "target", "prediction").first()["accuracy"]
         auc_row = M.roc_auc(scored, "target", "score").first()
         report = M.classification_report(scored, "target", "prediction", {0: "Fully Paid", 1: "Charged Off"})
+        lap("evaluate")
         uri = f"{model_dir.rstrip('/')}/{run_id}"
         model.write().overwrite().save(uri)
         numeric = [x for x in ML.NUMERIC if x in test.columns]
@@ -89,9 +102,10 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
                       training_status="success")
         REG.log_run(spark, runs_path, run_id, {"test_accuracy": acc, "test_roc_auc": auc_row["roc_auc"]}, params)
         REG.register_model(spark, registry_path, version_name, uri, run_id, numeric, categorical, schema, example)
+        lap("save_register")
         return {"run_id": run_id, "model_uri": uri, "accuracy": acc, "roc_auc": auc_row["roc_auc"],
                 "train_rows": sizes.get("train", 0), "test_rows": sizes.get("test", 0), "report": report,
-                "status": "success"}
+                "status": "success", "timings": timings}
     except Exception as e:  # noqa: BLE001  (recorded, then reported to the caller)
         params.update(training_status="failed_exception", error_message=str(e)[:1000])
         REG.log_run(spark, runs_path, run_id, None, params)

@@ -33,7 +33,7 @@ def test_ks_empty_side_gives_no_row(spark):
     assert [r["feature"] for r in rows] == ["x"]
 
 
-def test_ks_matches_brute_force_and_repartition(spark):
+def test_ks_matches_brute_force_and_repartition(spark, both_paths):
     rng = np.random.default_rng(11)
     a = np.round(rng.normal(0, 1, 3000), 2)
     b = np.round(rng.normal(0.1, 1.2, 2500), 2)
@@ -55,7 +55,7 @@ def _scored(spark, pairs):
     return spark.createDataFrame([(int(y), float(s)) for y, s in pairs], "label int, score double")
 
 
-def test_auc_edge_cases(spark):
+def test_auc_edge_cases(spark, both_paths):
     assert M.roc_auc(_scored(spark, [(0, 0.1), (0, 0.2), (1, 0.8), (1, 0.9)])).first()["roc_auc"] == 1.0
     assert M.roc_auc(_scored(spark, [(1, 0.1), (1, 0.2), (0, 0.8), (0, 0.9)])).first()["roc_auc"] == 0.0
     assert M.roc_auc(_scored(spark, [(1, 0.5), (0, 0.5), (1, 0.5), (0, 0.5)])).first()["roc_auc"] == 0.5
@@ -65,7 +65,7 @@ def test_auc_edge_cases(spark):
     assert r["roc_auc"] == 0.5
 
 
-def test_auc_matches_mann_whitney(spark):
+def test_auc_matches_mann_whitney(spark, both_paths):
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 2000)
     s = np.round(rng.normal(y * 0.5, 1.0), 1)

@@ -11,7 +11,7 @@ def _rows(spark, n):
     return spark.createDataFrame([(i, i % 3) for i in range(n)], "id long, g int")
 
 
-def test_slices_chunks(spark):
+def test_slices_chunks(spark, both_paths):
     df = _rows(spark, 10)
     ref, cur, st = POS.slices(df, ["id"], "chunks", k=2, chunk=3)
     assert sorted(r.id for r in ref.collect()) == list(range(6))
@@ -29,13 +29,13 @@ def test_published_tail_size():
     assert n - 50000 * (math.ceil(n / 50000) - 4) == 160701
 
 
-def test_row_index_many_partitions(spark):
+def test_row_index_many_partitions(spark, both_paths):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
     ix = row_index(df, ["k"], num_partitions=13)
     assert ix.filter(F.col("row_idx") != F.col("k")).count() == 0
 
 
-def test_row_index_hot_group(spark):
+def test_row_index_hot_group(spark, both_paths):
     """A group holding most rows is indexed without a single-task window."""
     df = spark.range(0, 4000).select("id", F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 5).alias("g"))
     ix = row_index(df, ["id"], ["g"], num_partitions=9)
@@ -44,7 +44,7 @@ def test_row_index_hot_group(spark):
         assert r["a"] == 0 and r["b"] == r["n"] - 1
 
 
-def test_stratified_split_sizes(spark):
+def test_stratified_split_sizes(spark, both_paths):
     df = spark.createDataFrame([(i, 1 if i % 10 < 3 else 0) for i in range(1001)], "id long, target int")
     sp = S.stratified_split(df, "target", 0.2, seed=42)
     test = sp.filter("is_test")

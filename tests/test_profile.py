@@ -43,7 +43,7 @@ def test_peaks(spark, counts, peaks):
     assert H.count_peaks(h).first()["peaks"] == peaks
 
 
-def test_exact_percentiles_match_numpy(spark):
+def test_exact_percentiles_match_numpy(spark, both_paths):
     rng = np.random.default_rng(5)
     a = rng.integers(0, 50, 3000).astype(float)
     b = rng.normal(size=3000)

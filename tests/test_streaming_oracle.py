@@ -34,8 +34,9 @@ ORACLE = os.environ.get("TESSERA_ORACLE", "1") == "1"
 
 
 @pytest.mark.skipif(not ORACLE, reason="oracle comparison disabled")
-def test_all_queries_match_duckdb(spark):
-    """Every registered query against its DuckDB oracle on sf0.001 (row count, columns, values)."""
+def test_all_queries_match_duckdb(spark, distributed):
+    """Every registered query against its DuckDB oracle on sf0.001 (row count, columns, values),
+    with the distributed paths forced (the adaptive choice is checked by tools/oracle_check.py)."""
     import __spark_entry__ as E
     from tools.oracle_check import check, duck_connect
     con = duck_connect(SF001)
