@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.misc import pct
 from ..functions.parse import percent_lenient, percent_number
 from ..sources.tables import head_rows
-from .histogram import bin_index, count_peaks
+from .histogram import bin_index
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("check_name", T.StringType(), False),
@@ -88,7 +88,10 @@ def range_check(df: DataFrame, value: Column, name: str, missing_limit: float, l
         F.count_if(F.col("_v").isNull()).alias("miss"), F.count_if(F.col("_v") < lo).alias("below"),
         F.count_if(F.col("_v") > hi).alias("above"),
         F.count_if(F.col("_v").between(normal_lo, normal_hi)).alias("within"))
-    a = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "nv", "miss", "below", "above", "within")])
+    # totals and the (at most ``bins``-entry) histogram come out of the same final aggregate
+    a = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "nv", "miss", "below", "above", "within")],
+              F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))))
+              .alias("_hist"))
     mp = pct(F.col("miss"), F.col("n"))
     bp = pct(F.col("below"), F.col("nv"))
     ap = pct(F.col("above"), F.col("nv"))
@@ -108,17 +111,17 @@ def range_check(df: DataFrame, value: Column, name: str, missing_limit: float, l
                       percentage=wp),
              F.format_string("within [%s, %s]: %.2f%%", F.lit(str(normal_lo)), F.lit(str(normal_hi)), wp)),
     ]
-    out = _explode_rows(a, rows)
     if bins:
-        allb = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-        h = allb.join(g.filter(F.col("bin").isNotNull()).select("bin", F.col("n").alias("count")), "bin", "left") \
-            .select("bin", F.coalesce("count", F.lit(0)).alias("count"))
-        pk = count_peaks(h)
-        prow = _row(name, "distribution_pattern", F.col("peaks") >= min_peaks,
-                    _metrics(peaks_detected=F.col("peaks"), minimum_expected_peaks=F.lit(min_peaks)),
-                    F.format_string("%d peaks in %d bins", F.col("peaks"), F.lit(bins)))
-        out = out.unionByName(_explode_rows(pk, [prow]))
-    return out
+        dense = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
+                            lambda i: F.coalesce(F.try_element_at(F.col("_hist"), i), F.lit(0)))
+        # WIN1 on the dense counts: strict interior local maxima
+        peaks = F.size(F.filter(F.sequence(F.lit(1), F.lit(max(bins - 2, 0))), lambda i: (
+            (F.get(dense, i) > F.get(dense, i - 1)) & (F.get(dense, i) > F.get(dense, i + 1))))) \
+            if bins >= 3 else F.lit(0)
+        rows.append(_row(name, "distribution_pattern", peaks >= min_peaks,
+                         _metrics(peaks_detected=peaks, minimum_expected_peaks=F.lit(min_peaks)),
+                         F.format_string("%d peaks in %d bins", peaks, F.lit(bins))))
+    return _explode_rows(a, rows)
 
 
 def loan_amount_check(df: DataFrame, col: str = "loan_amnt") -> DataFrame:
