@@ -53,7 +53,8 @@ def ab_report(spark: SparkSession, metrics: DataFrame, names: Sequence[str], reg
     """AB4 / AB5 / JN1: one row per requested model: run id, AUC, arm size, or an error."""
     req = requested_arms(spark, names)
     reg = registry.select("model_version_name", "model_uri", "run_id", F.lit(True).alias("_found"))
-    j = req.join(F.broadcast(reg), "model_version_name", "left").join(metrics, "arm", "left")
+    # the registry grows with the number of models: its join strategy is left to the planner
+    j = req.join(reg, "model_version_name", "left").join(metrics, "arm", "left")
     err = (F.when(F.col("_found").isNull(), F.lit("Metadata not found"))
            .when(F.col("model_uri").isNull(), F.lit("model_uri not found in metadata"))
            .when(F.col("test_data_size").isNull(), F.lit("SKIPPED_EMPTY_ARM"))

@@ -44,7 +44,9 @@ SMALL_INPUT_BYTES = 16 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Sum of the size estimates of the plan's leaf relations (files, caches, local rows)."""
+    """Sum of the optimizer's size statistics of the plan's leaf relations (file sizes, cached
+    or local relation sizes): the numbers ``explain("cost")`` prints and the broadcast
+    threshold is checked against. Relations without statistics report a huge size."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
