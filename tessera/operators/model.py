@@ -121,20 +121,21 @@ def fit_partitions(spark, rows: int, columns: int) -> int:
 
 
 def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
-        categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100) -> PipelineModel:
+        categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
+        rows: int | None = None) -> PipelineModel:
     """ML1-ML8: fit the pipeline on ``train``; the projected, weighted training frame is
-    persisted for the duration of the fit."""
+    persisted for the duration of the fit. ``rows`` (the training row count) saves a pass
+    when the caller knows it."""
     numeric = [x for x in numeric if x in train.columns]
     categorical = [x for x in categorical if x in train.columns]
     cols = list(dict.fromkeys([label, *numeric, *categorical]))
     # every pass below (constants, indexer, optimizer iterations) reads this frame: keep it
     # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
-    n = train.count()
+    n = rows if rows is not None else train.count()
     weighted = with_class_weights(train.select(*cols), label).repartition(
         fit_partitions(train.sparkSession, n, len(cols))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        weighted.count()
-        consts = fitted_constants(weighted, numeric)
+        consts = fitted_constants(weighted, numeric)  # first pass: materialises the cache
         return build_pipeline(consts, categorical, c, float(n), label, max_iter).fit(weighted)
     finally:
         weighted.unpersist()

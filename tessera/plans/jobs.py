@@ -21,7 +21,7 @@ from ..operators import position as POS
 from ..operators import robust as R
 from ..operators.abtest import ab_report, arm_metrics, score_arms
 from ..operators.prefix import release
-from ..operators.sampling import exact_sample, stratified_split
+from ..operators.sampling import exact_sample, stratified_quotas, stratified_split
 from ..sources import registry as REG
 
 
@@ -78,14 +78,13 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         lap("prepare")
         if n < min_records:
             raise ValueError(f"Data size ({n}) after NaN handling is less than minimum ({min_records}).")
+        quotas = stratified_quotas(d, "target", test_fraction).collect()  # one row per class
+        sizes = {"train": sum(r["train_rows"] for r in quotas), "test": sum(r["test_rows"] for r in quotas)}
         split = stratified_split(d, "target", test_fraction, seed=seed, key=key).persist(StorageLevel.MEMORY_AND_DISK)
         train = split.filter(~F.col("is_test"))
         test = split.filter(F.col("is_test"))
-        sizes = {r["split"]: r["rows"] for r in split.groupBy(
-            F.when(F.col("is_test"), "test").otherwise("train").alias("split")).count()
-            .withColumnRenamed("count", "rows").collect()}
         lap("split")
-        model = ML.fit(train, c, max_iter=max_iter)
+        model = ML.fit(train, c, max_iter=max_iter, rows=sizes["train"])
         lap("fit")
         scored = ML.score(model, test, keep=[key, "target"])
         acc = M.accuracy(scored, "target", "prediction").first()["accuracy"]
