@@ -12,7 +12,7 @@ from ..operators import profile as P
 from ..operators.checks import REQUIRED_STATUSES
 from ..sources.loans import ORDER_KEY
 from ..sources.tables import filtered_head, head_rows, select_strict, select_tolerant
-from .catalog import RATE_FRAC_SQL, RATE_PCT_SQL, loans_df, prepared, r6, register, sql_prep, with_loans
+from .catalog import RATE_FRAC_SQL, loans_df, prepared, r6, register, sql_prep, with_loans
 
 NUMERIC = ["loan_amnt", "installment", "annual_inc", "dti", "delinq_2yrs", "inq_last_6mths",
            "open_acc", "pub_rec", "revol_bal", "total_acc"]
