@@ -88,3 +88,13 @@ def test_first_rows_cutoff_path_is_exact(spark, monkeypatch):
         assert got == want
     s = S.exact_sample(df, 500, seed=3)
     assert s.count() == 500
+
+
+def test_split_extreme_fractions_and_tiny_classes(spark, both_paths):
+    df = spark.createDataFrame([(i, 0 if i < 3 else 1) for i in range(40)], "id long, target int")
+    none = S.stratified_split(df, "target", 0.0, seed=1)
+    assert none.filter("is_test").count() == 0
+    allrows = S.stratified_split(df, "target", 1.0, seed=1)
+    assert allrows.filter("is_test").count() == 40
+    r = S.random_split(df, 0.5, seed=9)
+    assert r.filter("is_test").count() == 20 and r.count() == 40

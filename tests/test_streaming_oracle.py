@@ -54,3 +54,35 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 3 and df.columns == ["check_name", "sub_check", "passed", "metrics", "details"]
+
+
+def test_windowed_counts_drop_late_rows(spark):
+    """ST2: a row older than the watermark arriving in a later micro-batch does not change a
+    finished window; rows within the watermark are counted."""
+    import datetime as dt
+    base = tempfile.mkdtemp(dir="/tmp")
+    src = os.path.join(base, "in")
+    schema = "ts timestamp_ntz, value double"
+    batches = [
+        [(dt.datetime(2024, 1, 1, 10), 10.0), (dt.datetime(2024, 1, 2, 10), 20.0), (dt.datetime(2024, 1, 3, 10), 30.0)],
+        [(dt.datetime(2024, 1, 10, 10), 40.0)],
+        [(dt.datetime(2024, 1, 1, 11), 50.0), (dt.datetime(2024, 1, 10, 12), 60.0)],  # first row is late
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+    # one file per micro-batch, in order
+    files = sorted(os.path.join(r, f) for r, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
+    flat = os.path.join(base, "flat")
+    os.makedirs(flat)
+    for i, f in enumerate(files):
+        os.link(f, os.path.join(flat, f"part-{i:03d}.parquet"))
+        os.utime(os.path.join(flat, f"part-{i:03d}.parquet"), (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = S.read_stream(spark, flat, spark.createDataFrame([], schema).schema, max_files=1)
+    agg = S.window_bin_counts(stream, "ts", "value", 0.0, 100.0, 10, "1 day", "1 day")
+    out = os.path.join(base, "out")
+    S.drain_updates(agg, out)
+    got = {(r["window_start"].day, r["bin"]): r["count"]
+           for r in S.latest_updates(spark, out, ["window_start", "bin"]).collect()}
+    assert got[(1, 1)] == 1          # 10.0 on day 1; the late 50.0 on day 1 was dropped
+    assert (1, 5) not in got
+    assert got[(10, 4)] == 1 and got[(10, 6)] == 1
