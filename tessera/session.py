@@ -16,6 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Wide fused stages (the loan table's derived columns plus the cleaning filter) generate
+    # processNext methods above HotSpot's 8 KB JIT limit; without this flag they run
+    # interpreted (measured: cleaning pass 5.7 s -> 2.8 s at sf0.1). Takes effect for JVMs
+    # started with this configuration (local driver, executors).
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
