@@ -51,5 +51,4 @@ def st2_windowed_binned_drift(spark, sf):
     ev = read_table(spark, sf, "events")
     ref = ev.filter(F.col("ts") < F.lit(REFERENCE_END).cast(ev.schema["ts"].dataType))
     out = S.windowed_drift(spark, path, ev.schema, "ts", "value", ref, LO, HI, BINS, _scratch(spark, "st2"))
-    return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_day"), "rows",
-                      r6("ks_binned").alias("ks_binned"))
+    return out.select(S.window_day().alias("window_day"), "rows", r6("ks_binned").alias("ks_binned"))

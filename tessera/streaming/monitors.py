@@ -73,9 +73,11 @@ def window_bin_counts(stream: DataFrame, ts_col: str, value_col: str, lo: float,
     """Histogram counts per tumbling event-time window; late rows beyond the watermark are
     dropped and finished windows leave the state."""
     b = bin_index(F.col(value_col).cast("double"), F.lit(float(lo)), F.lit(float(hi)), bins)
-    # event time must be TIMESTAMP for watermarks; a local (NTZ) time is read in the session zone
+    # event time must be TIMESTAMP for watermarks; a wall-clock (NTZ) time is taken as UTC, so
+    # windows align with its calendar days whatever the session time zone is
     if isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType):
-        stream = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+        tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+        stream = stream.withColumn(ts_col, F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), tz))
     return (stream.withWatermark(ts_col, watermark)
             .select(F.window(ts_col, window).alias("w"), b.alias("bin"))
             .filter(F.col("bin").isNotNull())
@@ -83,6 +85,12 @@ def window_bin_counts(stream: DataFrame, ts_col: str, value_col: str, lo: float,
             .select(F.col("w.start").alias("window_start"), "bin", "count"))
 
 
+def window_day(window_start: str = "window_start") -> Column:
+    """'yyyy-MM-dd' of a UTC-aligned day window, independent of the session time zone."""
+    days = F.floor(F.unix_timestamp(F.col(window_start)) / F.lit(86400)).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
+
+
 def drain_updates(agg: DataFrame, out_path: str, name: str = "st2") -> None:
     """Update-mode drain: every micro-batch appends the changed (key, count) rows with its
     batch id; the newest row per key is the final count (``latest_updates``)."""
