@@ -59,12 +59,6 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 FREEZE = "persist"
 _FROZEN: list[DataFrame] = []
 
