@@ -48,7 +48,8 @@ def quality_accumulators(stream: DataFrame, status_col: str, value_col: str | Co
 
 
 def drain_complete(agg: DataFrame, out_path: str, name: str = "st1") -> None:
-    """Run a complete-mode aggregation over everything available and keep the last snapshot."""
+    """Run a complete-mode aggregation over everything available and keep the last snapshot
+    (each batch overwrites the table with the full state, so a retried batch is harmless)."""
     spark = agg.sparkSession
 
     def write(batch: DataFrame, _epoch: int) -> None:
@@ -93,7 +94,8 @@ def window_day(window_start: str = "window_start") -> Column:
 
 def drain_updates(agg: DataFrame, out_path: str, name: str = "st2") -> None:
     """Update-mode drain: every micro-batch appends the changed (key, count) rows with its
-    batch id; the newest row per key is the final count (``latest_updates``)."""
+    batch id; the newest row per key is the final count (``latest_updates``). A retried batch
+    appends the same rows under the same id again, which leaves that result unchanged."""
     spark = agg.sparkSession
 
     def write(batch: DataFrame, epoch: int) -> None:
