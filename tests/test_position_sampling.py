@@ -98,3 +98,14 @@ def test_split_extreme_fractions_and_tiny_classes(spark, both_paths):
     assert allrows.filter("is_test").count() == 40
     r = S.random_split(df, 0.5, seed=9)
     assert r.filter("is_test").count() == 20 and r.count() == 40
+
+
+def test_row_index_with_checkpoint_freeze(spark, monkeypatch):
+    """The alternative freeze (reliable checkpoint in spark.checkpoint.dir) gives the same index."""
+    from tessera.operators import prefix
+    monkeypatch.setattr(prefix, "SMALL_INPUT_BYTES", -1)
+    monkeypatch.setattr(prefix, "FREEZE", "checkpoint")
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"), (F.col("id") % 4).alias("g"))
+    ix = row_index(df, ["k"], ["g"], num_partitions=5)
+    got = ix.groupBy("g").agg(F.min("row_idx").alias("a"), F.max("row_idx").alias("b"), F.count("*").alias("n"))
+    assert all(r["a"] == 0 and r["b"] == r["n"] - 1 for r in got.collect())
