@@ -27,3 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                       "sequence_id", "offset")
+
+
+@register
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document at 2 or fewer differing bits."""
+    from .simhash import simhash_groups
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
