@@ -34,3 +34,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document at 2 or fewer differing bits."""
     from .simhash import simhash_groups
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@register
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of 10-word windows of the benchmark items."""
+    from .decontaminate import decontaminate
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
