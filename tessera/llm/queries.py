@@ -44,3 +44,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document: counts and digest of the base kinds, and all spans."""
+    from .secrets import KINDS, scan_secrets, span_digest
+    out = scan_secrets(table(spark, sf_dir, "documents"))
+    count = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS[:3]]
+    return out.select("doc_id", *count, F.sha2(span_digest(KINDS[:3]), 256).alias("base_sha256"),
+                      span_digest(KINDS).alias("spans"))
