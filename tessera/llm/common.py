@@ -17,6 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per context (Spark hands the file out itself), so
+    that queries run wherever the driver can import the package."""
+    import atexit
+    import os
+    import shutil
+    import tempfile
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_package_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="code-")  # on the driver; it serves the file as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"{os.path.basename(root)}_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(root):
+            for full in (os.path.join(at, n) for n in sorted(names) if n.endswith(".py")):
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._package_shipped = True
+
+
 def map_texts(df: DataFrame, text_col: str, keep: list[str], out: T.StructType,
               start: Callable[[], Callable[[list], dict]]) -> DataFrame:
     """One output row per input row: the ``keep`` columns and the ``out`` columns.
@@ -105,12 +128,25 @@ class ByteHasher:
                 p[0] = 1
                 setattr(self, name, np.multiply.accumulate(p))
 
-    def ranges(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of ``buf[start:end]`` for each pair; ``buf`` is uint8."""
-        self._powers(len(buf) + 1)
-        total = np.zeros(len(buf) + 1, _U)
-        np.cumsum(self.of_byte[buf] * self.up[:len(buf)], out=total[1:])
-        return mix64((total[end] - total[start]) * self.down[start])
+    def ranges(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 20,
+               lengths: tuple[int, ...] = ()) -> np.ndarray:
+        """Hashes of ``buf[start:end]`` for ranges in order that do not overlap; ``buf`` is uint8.
+        With ``lengths``, a row for each range and a column for each length: the hash of the range's
+        first so many bytes at most. Works in blocks, so tables stay small for any length of text."""
+        out = np.empty((len(start), max(1, len(lengths))), _U)
+        at = 0
+        while at < len(start):
+            to = max(at + 1, int(np.searchsorted(start, start[at] + block)))
+            low, part = start[at], buf[start[at]:end[to - 1]]
+            self._powers(len(part) + 1)
+            total = np.zeros(len(part) + 1, _U)
+            np.cumsum(self.of_byte[part] * self.up[:len(part)], out=total[1:])
+            s, e = start[at:to] - low, end[at:to] - low
+            head, scale = total[s], self.down[s]
+            for j, n in enumerate(lengths or (None,)):
+                out[at:to, j] = mix64((total[e if n is None else np.minimum(e, s + n)] - head) * scale)
+            at = to
+        return out if lengths else out[:, 0]
 
 
 def word_spans(buf: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -29,7 +29,8 @@ from .common import ByteHasher, _q, byte_table, word_spans
 from .fmindex import FMIndex
 
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
+PART_BYTES = 1 << 20
 #: Bytes of words: digits, a-z and everything beyond ASCII (after A-Z are lower-cased).
 _WORD = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -78,29 +79,39 @@ class Phrases:
         return out
 
 
-def search_shard(texts: list[bytes], phrases: Phrases):
-    """Words per text, and the occurrences: words covered (as flat arrays of text number, word
-    number, start byte, end byte) and distinct (text number, item number) pairs."""
+def _item_runs(texts: list[bytes], phrases: Phrases):
+    """Words per text; of the words in runs long enough for a window: text number, word number, start
+    and end byte, vocabulary id, and whether the word begins a run."""
     doc, start, end, h = split_words(texts)
     count = np.bincount(doc, minlength=len(texts))
-    number = np.arange(len(doc)) - (np.cumsum(count) - count)[doc]
-    none = (count, (doc[:0], number[:0], start[:0], end[:0]), (doc[:0], doc[:0]))
-    if not len(phrases.start):
-        return none
     ids = phrases.ids(h)
     known = ids > 0
-    same = np.concatenate(([False], known[1:] & known[:-1] & (doc[1:] == doc[:-1])))
-    run = np.cumsum(~same) - 1
-    keep = known & (np.bincount(run, minlength=len(run))[run] >= phrases.least) if len(run) else known
-    word = np.flatnonzero(keep)
-    if not len(word):
-        return none
-    gap = np.cumsum(np.concatenate(([0], np.diff(run[word]) != 0)))  # marks before each word
-    at = np.arange(len(word)) + gap
-    seq = np.zeros(at[-1] + 1, np.int64)
-    seq[at] = ids[word]
+    begins = np.ones(len(doc), bool)
+    begins[1:] = ~(known[1:] & known[:-1] & (doc[1:] == doc[:-1]))
+    run = np.cumsum(begins) - 1
+    keep = np.flatnonzero(known & (np.bincount(run)[run] >= phrases.least)) if len(run) else run
+    number = keep - (np.cumsum(count) - count)[doc[keep]]
+    return count, doc[keep], number, start[keep], end[keep], ids[keep], begins[keep]
+
+
+def search_shard(texts: list[bytes], phrases: Phrases):
+    """Words per text, and the occurrences: words covered (as flat arrays of text number, word
+    number, start byte, end byte) and distinct (text number, item number) pairs."""
+    parts, at = [], 0
+    cut = np.cumsum([len(t) for t in texts])
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(cut, (cut[at - 1] if at else 0) + PART_BYTES, side="right")))
+        got = _item_runs(texts[at:to], phrases)
+        parts.append((got[0], got[1] + at, *got[2:]))
+        at = to
+    count, doc, number, start, end, ids, begins = map(np.concatenate, zip(*parts))
+    if not len(doc):
+        return count, (doc, number, start, end), (doc, doc)
+    place = np.arange(len(doc)) + np.cumsum(begins) - 1  # a mark stands before each run but the first
+    seq = np.zeros(place[-1] + 1, np.int64)
+    seq[place] = ids
     source = np.full(len(seq), -1)
-    source[at] = word
+    source[place] = np.arange(len(doc))
     index = FMIndex(seq, len(phrases.vocabulary) + 1)
     low, high = index.search(phrases.flat, phrases.start, phrases.length)
     found = np.flatnonzero(high > low)
