@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import ship_package, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -13,7 +13,11 @@ ORACLE: dict[str, str] = {}
 
 def register(fn=None, *, sql: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return f(spark, sf_dir)
+        query.__name__, query.__doc__ = f.__name__, f.__doc__
+        QUERIES[f.__name__] = query
         if sql:
             ORACLE[f.__name__] = sql
         return f
@@ -49,8 +53,22 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document: counts and digest of the base kinds, and all spans."""
-    from .secrets import KINDS, scan_secrets, span_digest
+    from .secret_scan import KINDS, scan_secrets, span_digest
     out = scan_secrets(table(spark, sf_dir, "documents"))
     count = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS[:3]]
     return out.select("doc_id", *count, F.sha2(span_digest(KINDS[:3]), 256).alias("base_sha256"),
                       span_digest(KINDS).alias("spans"))
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the held-out quarter."""
+    from .toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from preference pairs outside the held-out fifth."""
+    from .quality import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Row
 
-from tessera.llm import secrets as S
+from tessera.llm import secret_scan as S
 
 
 def plain(text):
