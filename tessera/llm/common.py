@@ -120,7 +120,7 @@ class ByteHasher:
         self.inverse = pow(self.base, -1, 2**64)
         self.up = self.down = np.ones(1, _U)
 
-    def _powers(self, n: int) -> None:
+    def powers(self, n: int) -> None:
         if len(self.up) < n:
             n = max(n, 2 * len(self.up))
             for name, b in (("up", self.base), ("down", self.inverse)):
@@ -138,7 +138,7 @@ class ByteHasher:
         while at < len(start):
             to = max(at + 1, int(np.searchsorted(start, start[at] + block)))
             low, part = start[at], buf[start[at]:end[to - 1]]
-            self._powers(len(part) + 1)
+            self.powers(len(part) + 1)
             total = np.zeros(len(part) + 1, _U)
             np.cumsum(self.of_byte[part] * self.up[:len(part)], out=total[1:])
             s, e = start[at:to] - low, end[at:to] - low

@@ -26,7 +26,7 @@ def suffix_order(seq: np.ndarray, depth: int | None = None) -> tuple[np.ndarray,
         rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))[:n]
         k *= 2
         ranks[k] = rank
-        if not n or rank[order[-1]] == n - 1:
+        if not depth and (not n or rank[order[-1]] == n - 1):
             break
     return order, ranks
 

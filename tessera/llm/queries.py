@@ -72,3 +72,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from preference pairs outside the held-out fifth."""
     from .quality import score_quality
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside word sequences of 35 that occur elsewhere."""
+    from .substring_dedup import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents"), n=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
