@@ -45,7 +45,7 @@ COUNTER_BYTES = 32 << 20   # of all text for each counter
 SHARD_BYTES = 2 << 20      # of all text for each shard
 HOT_CHUNKS = 64
 MAX_WINDOWS = 256          # of a segment; longer runs of one shard are cut between windows
-_WORDS, _ORDER = ByteHasher(2), np.uint64(0x9E3779B97F4A7C15)
+_WORDS, _ORDER = ByteHasher(2), 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
@@ -77,18 +77,18 @@ class Chunk:
         out = np.zeros(len(self.words), _U)
         part, size, done = self.words, 1, 0
         # powers of two: h[2m](i) = h[m](i) * B**m + h[m](i + m)
-        base = _ORDER
+        base = _ORDER  # a Python number, kept below 2**64
         while True:
             if n & size:
                 shifted = np.zeros_like(part)
                 shifted[:len(part) - done or None] = part[done:]
-                out = out * base + shifted if done else shifted
+                out = out * _U(base) + shifted if done else shifted
                 done += size
             if done == n:
                 return mix64(out)
-            double = part * base
+            double = part * _U(base)
             double[:len(part) - size] += part[size:]
-            part, size, base = double, 2 * size, base * base
+            part, size, base = double, 2 * size, base * base % 2**64
 
     def anchors(self, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first window, end window) of the anchors in order, windows by their first word."""
