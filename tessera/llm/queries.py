@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship_package, table
+from .license_scan import oracle_sql as _license_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -86,7 +87,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 good AS (
-  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND list_dot_product(e, e) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
@@ -105,3 +106,12 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.93 within a label."""
     from .embedding_dedup import embedding_groups
     return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+@register(sql=_license_sql())
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices found in every document."""
+    from .license_scan import scan_licenses
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+                      F.array_join(F.transform("licenses", lambda x: x["id"]), ",").alias("licenses"))
