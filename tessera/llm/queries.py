@@ -115,3 +115,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_licenses(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
                       F.array_join(F.transform("licenses", lambda x: x["id"]), ",").alias("licenses"))
+
+
+@register
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    from .html_text import extract_text
+    return extract_text(table(spark, sf_dir, "pages"))
