@@ -51,23 +51,29 @@ def map_texts(df: DataFrame, text_col: str, keep: list[str], out: T.StructType,
     kept = [c for c in keep if c not in out.fieldNames()]
     schema = T.StructType([df.schema[c] for c in kept] + list(out))
     names = out.fieldNames()
-    slot = "__text"
-    while slot in kept:
-        slot += "_"
-    src = df.select(*[_q(c) for c in kept], _q(text_col).alias(slot))
+    src = df.select(*[_q(c) for c in kept], _q(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
-        arrow, fn = to_arrow_schema(schema), start()
+        arrow, fn = to_arrow_schema(numbered(schema)), start()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 made = fn(part.column(len(kept)).to_pylist())
                 cols = [part.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
-                cols += [_array(made[n], arrow.field(n).type) for n in names]
+                cols += [_array(made[n], arrow.field(len(kept) + j).type) for j, n in enumerate(names)]
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
+
+
+def numbered(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+
+def map_arrow(df: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any names: inside, they are called c0, c1 and so on."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, numbered(schema)).toDF(*schema.names)
 
 
 def _array(values, kind):

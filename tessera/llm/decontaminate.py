@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ByteHasher, _q, byte_table, word_spans
+from .common import ByteHasher, _q, byte_table, map_arrow, numbered, word_spans
 from .fmindex import FMIndex
 
 BLOCK_BYTES = 4 << 20
@@ -161,7 +161,7 @@ def _pass(df: DataFrame, text_col: str, names: tuple[str, str, str], phrases) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
-        arrow, known = to_arrow_schema(schema), phrases.value
+        arrow, known = to_arrow_schema(numbered(schema)), phrases.value
         for part in _shards(batches, text_at):
             texts = [t or b"" for t in part.column(text_at).cast(pa.binary()).to_pylist()]
             count, (doc, number, start, end), (in_doc, item) = search_shard(texts, known)
@@ -180,7 +180,7 @@ def _pass(df: DataFrame, text_col: str, names: tuple[str, str, str], phrases) ->
             cols = [c.cast(f.type) for c, f in zip(cols, arrow)] + [m.cast(arrow.field(len(cols) + j).type) for j, m in enumerate(made)]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _shards(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
@@ -244,7 +244,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
               item_text: str = "text", n: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with the merged hit spans cut out of their texts; all other columns as they
-    are. Texts without a hit, nulls among them, stay exactly as they were."""
+    are. Texts without a hit, nulls among them, stay exactly as they were; documents that have
+    nothing but hit words go."""
     kept = docs.columns
     df, (words, spans, items) = _marked(docs, benchmark, text_col, item_id, item_text, n, block_bytes)
     text = _q(text_col)
@@ -254,5 +255,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
         int(if(i = 0, 0L, {spans}[greatest(4 * i - 1, 0)]) + 1),
         int(if(4 * i < size({spans}), {spans}[least(4 * i + 2, size({spans}) - 1)], octet_length({raw}))
             - if(i = 0, 0L, {spans}[greatest(4 * i - 1, 0)]))), 'UTF-8'))""")
+    hit = F.expr(f"aggregate(sequence(0, size({spans}) - 4, 4), 0L, (s, i) -> s + {spans}[i + 1] - {spans}[i])")
+    df = df.where((F.size(spans) == 0) | (hit < F.col(words)))
     return df.withColumn(text_col, F.when(F.size(spans) > 0, F.array_join(pieces, "")).otherwise(text)).select(
         *[_q(c) for c in kept])

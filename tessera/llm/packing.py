@@ -117,10 +117,11 @@ class Packer:
         """The level whose window takes ``s`` more tokens at the least sum of squares (0: a new
         window). Ties go to the fullest window."""
         n = self.count
-        gain = n[s:].astype(np.float64)            # level after, for levels 0..size-s before
+        # half the change of the sum of squares, less one: n[after] - n[before]
+        gain = n[s:].astype(np.float64)
         gain[-1] = -0.5                            # a full window leaves the array
         cost = gain - n[:self.size - s + 1]
-        cost[0] += 1                               # opening adds a window instead of moving one
+        cost[0] -= 0.5                             # opening leaves no level behind
         ok = n[:self.size - s + 1] > 0
         ok[0] = True
         cost[~ok] = np.inf

@@ -65,15 +65,18 @@ def fingerprint(data: bytes, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits((2 * ones > n).ravel(), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)`` per row; ``fp`` is the fingerprint as a signed long. A null text has no words."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, fp)`` per row and the ``keep`` columns; ``fp`` is the fingerprint as a signed long. A null
+    text has no words."""
     def start():
         def fn(texts):
             f = [fingerprint(t.encode(), shingle) if t else 0 for t in texts]
             return {"fp": np.array(f, np.uint64).view(np.int64).tolist()}
         return fn
     out = T.StructType([T.StructField("fp", T.LongType())])
-    return map_texts(docs.select(_q(id_col).alias("id"), _q(text_col).alias("text")), "text", ["id"], out, start)
+    src = docs.select(_q(id_col).alias("id"), _q(text_col).alias("text"), *[_q(c) for c in keep])
+    return map_texts(src, "text", ["id", *keep], out, start)
 
 
 def _mask(positions) -> int:
@@ -149,10 +152,37 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     checkpoint_dir(docs.sparkSession)
     each = fingerprints(docs, id_col, text_col, shingle).checkpoint()
     classes = each.groupBy("fp").agg(F.min("id").alias("low")).checkpoint()
-    roots = connected_components(near_pairs(classes.select("fp"), max_bits, hot))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(classes, max_bits, hot)
     named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(
         "fp", "component_id")
     return each.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _rooted(classes: DataFrame, max_bits: int, hot: int) -> DataFrame:
+    """``classes`` (a row per distinct ``fp``) with the ``root`` fingerprint of each one's component."""
+    roots = connected_components(near_pairs(classes.select("fp"), max_bits, hot))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                       max_bits: int = 2, hot: int = 64) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the one with the smallest id
+    (null ids last), on ties the one whose row hash is least; of fully equal rows one."""
+    checkpoint_dir(docs.sparkSession)
+    row, tail = "__row", ""
+    while row + tail in docs.columns or "__id" + tail in docs.columns:
+        tail += "_"
+    row, ident = row + tail, "__id" + tail
+    plain = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    hashed = docs.withColumn(row, F.xxhash64(*[_q(c) for c in plain])).withColumn(ident, _q(id_col))
+    each = fingerprints(hashed, id_col, text_col, shingle, (row,)).checkpoint()
+    first = F.min(F.struct(F.col("id").isNull().alias("n"), "id", row)).alias("first")
+    rooted = _rooted(each.groupBy("fp").agg(first).checkpoint(), max_bits, hot)
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("i"), F.col(f"first.{row}").alias("r")).checkpoint()
+    kept = hashed.join(chosen, _q(ident).eqNullSafe(F.col("i")) & (_q(row) == F.col("r")), "left_semi")
+    repeated = each.groupBy("id", row).count().where("count > 1")
+    if repeated.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col(row) == F.col("r")), "left_semi").limit(1).count():
+        kept = kept.dropDuplicates([ident, row])
+    return kept.select(*[_q(c) for c in docs.columns])
