@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 from .prefix import row_index
 from .topn import first_rows, last_rows
 
-# Chunk slices up to this many rows are cut from narrowed candidates (``topn``); larger ones
-# (and fraction slices) use the distributed row index.
-BOUNDED_SLICE_MAX = 1_000_000
-
-
 def with_index(df: DataFrame, order_by: Sequence[str], name: str = "row_idx") -> DataFrame:
     """SLC6: 0-based position in ``order_by`` plus the table size ``n_rows`` on every row."""
     idx = row_index(df, order_by, name=name)
@@ -67,8 +62,8 @@ def slices(df: DataFrame, order_by: Sequence[str], mode: str = "chunks", k: int
     last ``k`` chunks with a short last chunk); ``mode='fraction'`` takes the first and last
     ``fraction`` of rows, as its documentation says. The row count is one scalar action."""
     n = df.select(F.count(F.lit(1)).alias("n_rows"))
-    if mode == "chunks" and k * chunk <= BOUNDED_SLICE_MAX:
-        # bounded slices: exact first / last rows from narrowed candidates, no full sort
+    if mode == "chunks":
+        # exact first / last rows from narrowed candidates, no full sort
         total = n.first()["n_rows"]
         tail = total - chunk * (max(-(-total // chunk), k) - k) if total else 0
         ref = first_rows(df, k * chunk, order_by)
@@ -76,12 +71,8 @@ def slices(df: DataFrame, order_by: Sequence[str], mode: str = "chunks", k: int
         status = n.select("n_rows", F.when(too_small(F.col("n_rows"), k, chunk), F.lit("SKIPPED_TOO_SMALL"))
                           .otherwise(F.lit("OK")).alias("status"))
         return ref, cur, status
-    ix = with_index(df, order_by)
-    if mode == "chunks":
-        ref, cur = head_chunks(ix, k, chunk), tail_chunks(ix, k, chunk)
-        status = n.select("n_rows", F.when(too_small(F.col("n_rows"), k, chunk), F.lit("SKIPPED_TOO_SMALL"))
-                          .otherwise(F.lit("OK")).alias("status"))
-    elif mode == "fraction":
+    if mode == "fraction":
+        ix = with_index(df, order_by)
         ref, cur = head_fraction(ix, fraction), tail_fraction(ix, fraction)
         status = n.select("n_rows", F.when(F.floor(F.lit(fraction) * F.col("n_rows")) < 1,
                                            F.lit("SKIPPED_TOO_SMALL")).otherwise(F.lit("OK")).alias("status"))
@@ -91,17 +82,12 @@ def slices(df: DataFrame, order_by: Sequence[str], mode: str = "chunks", k: int
 
 
 def head_slice(df: DataFrame, order_by: Sequence[str], k: int, chunk: int) -> DataFrame:
-    """SLC1 / SLC3: rows of the first ``k`` chunks (bounded: narrowed candidates; else index)."""
-    if k * chunk <= BOUNDED_SLICE_MAX:
-        return first_rows(df, k * chunk, order_by)
-    return head_chunks(with_index(df, order_by), k, chunk).drop("row_idx", "n_rows")
+    """SLC1 / SLC3: rows of the first ``k`` chunks, from narrowed candidates."""
+    return first_rows(df, k * chunk, order_by)
 
 
 def tail_slice(df: DataFrame, order_by: Sequence[str], k: int, chunk: int) -> DataFrame:
-    """SLC2: rows of the last ``k`` chunks, the last chunk possibly short (one count action
-    for the bounded path; the row index otherwise)."""
-    if k * chunk <= BOUNDED_SLICE_MAX:
-        total = df.count()
-        tail = total - chunk * (max(-(-total // chunk), k) - k) if total else 0
-        return last_rows(df, max(tail, 0), order_by)
-    return tail_chunks(with_index(df, order_by), k, chunk).drop("row_idx", "n_rows")
+    """SLC2: rows of the last ``k`` chunks, the last chunk possibly short (one count action)."""
+    total = df.count()
+    tail = total - chunk * (max(-(-total // chunk), k) - k) if total else 0
+    return last_rows(df, max(tail, 0), order_by)

@@ -2,32 +2,25 @@
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one task, and a window
 partitioned by a low-cardinality key (a class label, a feature name) puts a whole group into
-one task. Both are avoided here:
+one task. Both are avoided here, at every size:
 
 1. range-partition the rows on ``(group, order)`` so that each partition holds one contiguous
    slice of the total order; sort within partitions;
-2. freeze partition membership: range bounds are sampled when a physical plan is built, so
-   two separately planned evaluations could draw different bounds. The range-partitioned
-   frame is persisted (MEMORY_AND_DISK): every later use reads the one cached plan, whose
-   shuffle dependency (and so its bounds) is fixed; a block lost with an executor is
-   recomputed through that same dependency and gets the same rows. ``FREEZE = "checkpoint"``
-   writes a reliable checkpoint to the shared ``spark.checkpoint.dir`` instead (cuts lineage,
-   costs a write). ``release()`` drops the frames frozen so far;
+2. freeze partition membership by a reliable checkpoint in ``spark.checkpoint.dir``: range bounds
+   are sampled when a physical plan is built, so two evaluations could draw different bounds. The
+   checkpoint also cuts the lineage; Spark's cleaner may drop it once the frame is out of use;
 3. compute per-(partition, group) totals: at most ``P + G`` rows, a proven bound, broadcast;
 4. add the exclusive prefix of those totals to the in-partition position / running sum.
 
 Hot groups are harmless: a group holding a third of all rows is split over many range
-partitions like any other contiguous slice.
-
-Inputs that are provably small (leaf relations of at most ``SMALL_INPUT_BYTES``) take the
-plain window instead: same result, one stage.
+partitions like any other contiguous slice. NULL groups are groups like any other (the totals
+are joined null-safely).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,50 +30,25 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-# Inputs whose leaf relations total at most this many bytes are provably small: a group of
-# them fits in one task, so the plain window is used (one stage, no freeze). Larger or
-# unknown-size inputs (checkpointed RDDs report no size) take the distributed path.
-SMALL_INPUT_BYTES = 16 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the optimizer's size statistics of the plan's leaf relations (file sizes, cached
-    or local relation sizes): the numbers ``explain("cost")`` prints and the broadcast
-    threshold is checked against. Relations without statistics report a huge size."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame) -> bool:
-    return input_bytes(df) <= SMALL_INPUT_BYTES
-
-
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-FREEZE = "persist"
-_FROZEN: list[DataFrame] = []
-
-
 def _frozen_range(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
     # without an explicit count the range exchange uses the shuffle partitions and AQE may
     # coalesce them for small inputs
     rp = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    r = rp.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
-    if FREEZE == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return r.checkpoint(eager=True)
-    r = r.persist(StorageLevel.MEMORY_AND_DISK)
-    _FROZEN.append(r)
-    return r
+    checkpoint_dir(df.sparkSession)
+    return rp.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
-def release() -> None:
-    """Unpersist the range-partitioned frames frozen by this module (call when the results
-    built on them are no longer needed)."""
-    while _FROZEN:
-        _FROZEN.pop().unpersist()
+def _with_offsets(rows: DataFrame, offsets: DataFrame, group: Sequence[str], small_groups: bool) -> DataFrame:
+    """``rows`` joined to the offset table on partition and group; a NULL group equals itself."""
+    o = offsets.select(*[F.col(c).alias(f"_o_key_{c}") if c in ("_pid", *group) else F.col(c) for c in offsets.columns])
+    on = rows["_pid"] == F.col("_o_key__pid")
+    for g in group:
+        on = on & rows[g].eqNullSafe(F.col(f"_o_key_{g}"))
+    return rows.join(F.broadcast(o) if small_groups else o, on).drop("_o_key__pid", *[f"_o_key_{g}" for g in group])
 
 
 def row_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str] = (),
@@ -94,19 +62,14 @@ def row_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequenc
     are joined by a regular (AQE-planned) join.
     """
     group = list(group_by)
-    keys = _cols(group) + _cols(order_by)
-    if is_small(df):
-        w = Window.partitionBy(*group).orderBy(*_cols(order_by))
-        return df.withColumn(name, F.row_number().over(w) - 1)
-    r = _frozen_range(df, keys, num_partitions)
+    r = _frozen_range(df, _cols(group) + _cols(order_by), num_partitions)
     pid = F.shiftright(F.col("_mid"), _POS_BITS).alias("_pid")
     pos = (F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).alias("_pos")
     r = r.select("*", pid, pos)
     tot = r.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_pid", *group, "_p0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    off = F.broadcast(off) if small_groups else off
-    out = r.join(off, ["_pid", *group])
+    out = _with_offsets(r, off, group, small_groups)
     return out.withColumn(name, F.col("_pos") - F.col("_p0") + F.col("_off")).drop(
         "_mid", "_pid", "_pos", "_p0", "_off")
 
@@ -124,14 +87,7 @@ def running_sums(df: DataFrame, order_by: Sequence[str], values: Sequence[str],
     table, no extra pass).
     """
     group = list(group_by)
-    keys = _cols(group) + _cols(order_by)
-    if is_small(df):
-        w = Window.partitionBy(*group).orderBy(*_cols(order_by)).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        wg = Window.partitionBy(*group)
-        return df.select(*df.columns, *[F.sum(v).over(w).alias(f"{v}{suffix}") for v in values],
-                         *[F.sum(v).over(wg).alias(f"{v}_total") for v in values if totals])
-    r = _frozen_range(df, keys, num_partitions)
+    r = _frozen_range(df, _cols(group) + _cols(order_by), num_partitions)
     r = r.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS)).drop("_mid")
     tot = r.groupBy("_pid", *group).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,11 +95,10 @@ def running_sums(df: DataFrame, order_by: Sequence[str], values: Sequence[str],
     off = tot.select("_pid", *group,
                      *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0)).alias(f"_o_{v}") for v in values],
                      *[F.sum(f"_t_{v}").over(wg).alias(f"{v}_total") for v in values])
-    off = F.broadcast(off) if small_groups else off
     wl = (Window.partitionBy("_pid", *group).orderBy(*_cols(order_by))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     loc = r.select("*", *[F.sum(v).over(wl).alias(f"_l_{v}") for v in values])
-    out = loc.join(off, ["_pid", *group])
+    out = _with_offsets(loc, off, group, small_groups)
     return out.select(
         *[c for c in df.columns],
         *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in values],

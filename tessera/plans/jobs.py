@@ -20,7 +20,6 @@ from ..operators import model as ML
 from ..operators import position as POS
 from ..operators import robust as R
 from ..operators.abtest import ab_report, arm_metrics, score_arms
-from ..operators.prefix import release
 from ..operators.sampling import exact_sample, stratified_quotas, stratified_split
 from ..sources import registry as REG
 
@@ -114,7 +113,6 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         for frame in (split, d):
             if frame is not None:
                 frame.unpersist()
-        release()
 
 
 def _model_row(spark: SparkSession, registry_path: str, version_name: str):

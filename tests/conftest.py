@@ -20,22 +20,3 @@ def spark():
 def loans01(spark):
     from tessera.sources.loans import loans
     return loans(spark, SF01)
-
-
-@pytest.fixture(params=["small", "distributed"])
-def both_paths(request, monkeypatch):
-    """Run a test on the plain-window path and on the distributed (range-partitioned,
-    candidate-cutoff) path."""
-    if request.param == "distributed":
-        from tessera.operators import prefix, topn
-        monkeypatch.setattr(prefix, "SMALL_INPUT_BYTES", -1)
-        monkeypatch.setattr(topn, "DIRECT_MERGE_MAX", 0)
-    return request.param
-
-
-@pytest.fixture
-def distributed(monkeypatch):
-    from tessera.operators import prefix, topn
-    monkeypatch.setattr(prefix, "SMALL_INPUT_BYTES", -1)
-    monkeypatch.setattr(topn, "DIRECT_MERGE_MAX", 0)
-    return True

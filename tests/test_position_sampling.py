@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import position as POS
@@ -11,7 +12,7 @@ def _rows(spark, n):
     return spark.createDataFrame([(i, i % 3) for i in range(n)], "id long, g int")
 
 
-def test_slices_chunks(spark, both_paths):
+def test_slices_chunks(spark):
     df = _rows(spark, 10)
     ref, cur, st = POS.slices(df, ["id"], "chunks", k=2, chunk=3)
     assert sorted(r.id for r in ref.collect()) == list(range(6))
@@ -29,13 +30,13 @@ def test_published_tail_size():
     assert n - 50000 * (math.ceil(n / 50000) - 4) == 160701
 
 
-def test_row_index_many_partitions(spark, both_paths):
+def test_row_index_many_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
     ix = row_index(df, ["k"], num_partitions=13)
     assert ix.filter(F.col("row_idx") != F.col("k")).count() == 0
 
 
-def test_row_index_hot_group(spark, both_paths):
+def test_row_index_hot_group(spark):
     """A group holding most rows is indexed without a single-task window."""
     df = spark.range(0, 4000).select("id", F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 5).alias("g"))
     ix = row_index(df, ["id"], ["g"], num_partitions=9)
@@ -44,7 +45,7 @@ def test_row_index_hot_group(spark, both_paths):
         assert r["a"] == 0 and r["b"] == r["n"] - 1
 
 
-def test_stratified_split_sizes(spark, both_paths):
+def test_stratified_split_sizes(spark):
     df = spark.createDataFrame([(i, 1 if i % 10 < 3 else 0) for i in range(1001)], "id long, target int")
     sp = S.stratified_split(df, "target", 0.2, seed=42)
     test = sp.filter("is_test")
@@ -77,10 +78,8 @@ def test_arms_partition_rows(spark):
     assert arms.count() == 3000 and set(r.arm for r in arms.select("arm").distinct().collect()) == {0, 1, 2}
 
 
-def test_first_rows_cutoff_path_is_exact(spark, monkeypatch):
-    """Force the candidate-cutoff plan (the one used when partitions x n is large)."""
+def test_first_rows_cutoff_path_is_exact(spark):
     from tessera.operators import topn
-    monkeypatch.setattr(topn, "DIRECT_MERGE_MAX", 0)
     df = spark.range(0, 50000).select("id", (F.col("id") * 7919 % 1000).alias("k"))
     for n in (1, 777, 20000):
         got = [tuple(r) for r in topn.first_rows(df, n, ["k", "id"]).collect()]
@@ -90,7 +89,37 @@ def test_first_rows_cutoff_path_is_exact(spark, monkeypatch):
     assert s.count() == 500
 
 
-def test_split_extreme_fractions_and_tiny_classes(spark, both_paths):
+@pytest.mark.parametrize("n", [0, 1, 250, 300, 1300, 1999, 2000, 5000])
+def test_first_and_last_rows_with_null_keys_and_ties(spark, n):
+    """A tenth of the leading keys and some of the second are NULL, the rest stand on a few dates."""
+    from tessera.operators import topn
+    df = spark.range(0, 2000).select(
+        "id", F.when(F.col("id") % 10 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 7).cast("int"))).alias("d"),
+        F.when(F.col("id") % 3 != 0, F.col("id").cast("double")).alias("x"))
+    for first, keys in ((topn.first_rows, ["d", "x", "id"]), (topn.last_rows, ["d", "x", "id"])):
+        order = [F.col(k).desc() if first is topn.last_rows else F.col(k) for k in keys]
+        assert first(df, n, keys).collect() == df.orderBy(*order).limit(n).collect()
+
+
+def test_candidates_are_few_when_dates_tie(spark):
+    from tessera.operators import topn
+    df = spark.range(0, 200_000).select("id", (F.col("id") % 20).alias("d"))
+    for desc in (False, True):
+        kept = df.filter(topn.boundary(df, 1000, [F.col("d"), F.col("id")], desc)).count()
+        assert 1000 <= kept <= 2 * 1000 + 200_000 / topn.ACCURACY + topn.SLACK_ROWS
+
+
+def test_null_groups_have_an_index_and_sums(spark):
+    from tessera.operators.prefix import running_sums
+    df = spark.range(0, 1000).select("id", F.when(F.col("id") % 4 != 0, F.col("id") % 3).alias("g"), F.lit(1).alias("one"))
+    got = row_index(df, ["id"], ["g"], num_partitions=6).groupBy("g").agg(F.max("row_idx").alias("m"), F.count("*").alias("n")).collect()
+    assert sorted((r["n"], r["m"]) for r in got) == [(250, 249)] * 4
+    sums = running_sums(df, ["id"], ["one"], ["g"], num_partitions=6, totals=True)
+    assert sums.count() == 1000 and {(r["m"], r["t"]) for r in sums.groupBy("g").agg(
+        F.max("one_cum").alias("m"), F.max("one_total").alias("t")).collect()} == {(250, 250)}
+
+
+def test_split_extreme_fractions_and_tiny_classes(spark):
     df = spark.createDataFrame([(i, 0 if i < 3 else 1) for i in range(40)], "id long, target int")
     none = S.stratified_split(df, "target", 0.0, seed=1)
     assert none.filter("is_test").count() == 0
@@ -98,14 +127,3 @@ def test_split_extreme_fractions_and_tiny_classes(spark, both_paths):
     assert allrows.filter("is_test").count() == 40
     r = S.random_split(df, 0.5, seed=9)
     assert r.filter("is_test").count() == 20 and r.count() == 40
-
-
-def test_row_index_with_checkpoint_freeze(spark, monkeypatch):
-    """The alternative freeze (reliable checkpoint in spark.checkpoint.dir) gives the same index."""
-    from tessera.operators import prefix
-    monkeypatch.setattr(prefix, "SMALL_INPUT_BYTES", -1)
-    monkeypatch.setattr(prefix, "FREEZE", "checkpoint")
-    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"), (F.col("id") % 4).alias("g"))
-    ix = row_index(df, ["k"], ["g"], num_partitions=5)
-    got = ix.groupBy("g").agg(F.min("row_idx").alias("a"), F.max("row_idx").alias("b"), F.count("*").alias("n"))
-    assert all(r["a"] == 0 and r["b"] == r["n"] - 1 for r in got.collect())
