@@ -43,20 +43,47 @@ def arm_metrics(scored: DataFrame) -> DataFrame:
     return sizes.join(auc, "arm", "left")
 
 
+def isolated_metrics(df: DataFrame, scorers: Sequence[Scorer | None], names: Sequence[str], errors: dict[str, str],
+                     key: str = "id") -> DataFrame:
+    """AB2 / AB3 with each arm on its own: all arms in one job, and if that fails, one job per arm,
+    where a scorer that fails leaves its text in ``errors`` and the other arms keep their rows. The
+    result holds at most a row per arm."""
+    spark = df.sparkSession
+
+    def run(some: Sequence[Scorer | None]) -> tuple[list, object]:
+        m = arm_metrics(score_arms(df, some, key))
+        return m.collect(), m.schema
+
+    try:
+        rows, schema = run(scorers)
+    except Exception:  # noqa: BLE001  (repeated per arm below, where the failure is recorded)
+        rows, schema = [], arm_metrics(score_arms(df, [None] * len(scorers), key)).schema
+        for i, sc in enumerate(scorers):
+            if sc is not None:
+                try:
+                    rows += run([sc if j == i else None for j in range(len(scorers))])[0]
+                except Exception as e:  # noqa: BLE001  (becomes this arm's error row)
+                    errors[names[i]] = f"{type(e).__name__}: {e}"
+    return spark.createDataFrame(rows, schema)
+
+
 def requested_arms(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """JN2: model position -> requested name (a parameter list: bounded)."""
     return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "arm int, model_version_name string")
 
 
 def ab_report(spark: SparkSession, metrics: DataFrame, names: Sequence[str], registry: DataFrame,
-              test_id: str) -> DataFrame:
-    """AB4 / AB5 / JN1: one row per requested model: run id, AUC, arm size, or an error."""
-    req = requested_arms(spark, names)
+              test_id: str, failures: dict[str, str] | None = None) -> DataFrame:
+    """AB4 / AB5 / JN1: one row per requested model: run id, AUC, arm size, or an error.
+    ``failures`` names models that could not be loaded or scored and why."""
+    fails = spark.createDataFrame(list((failures or {}).items()), "model_version_name string, _failure string")
+    req = requested_arms(spark, names).join(F.broadcast(fails), "model_version_name", "left")
     reg = registry.select("model_version_name", "model_uri", "run_id", F.lit(True).alias("_found"))
     # the registry grows with the number of models: its join strategy is left to the planner
     j = req.join(reg, "model_version_name", "left").join(metrics, "arm", "left")
     err = (F.when(F.col("_found").isNull(), F.lit("Metadata not found"))
            .when(F.col("model_uri").isNull(), F.lit("model_uri not found in metadata"))
+           .when(F.col("_failure").isNotNull(), F.col("_failure"))
            .when(F.col("test_data_size").isNull(), F.lit("SKIPPED_EMPTY_ARM"))
            .otherwise(F.col("error")))
     ok = err.isNull()

@@ -80,8 +80,8 @@ def range_check(df: DataFrame, value: Column, name: str, missing_limit: float, l
     One scan: rows are counted per histogram bin (NULL bin = missing or outside) with the
     range counters as conditional counts; the totals and the histogram are both read from
     that small grouped result (its exchange is reused, the table is scanned once).
-    Percentages are over all rows for missing values, over non-null values otherwise."""
-    x = value
+    Percentages are over all rows for missing values, over non-null values otherwise; NaN is missing."""
+    x = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
     b = bin_index(x, F.lit(float(lo)), F.lit(float(hi)), bins) if bins else F.lit(None).cast("int")
     g = df.select(x.alias("_v"), b.alias("bin")).groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"), F.count("_v").alias("nv"),
@@ -158,17 +158,17 @@ def status_distribution_row(scan: DataFrame, required: Sequence[str] = REQUIRED_
     missing = F.array_except(req, F.map_keys("counts"))
     ok = (F.size(missing) == 0) & (F.coalesce(F.col("n_status"), F.lit(0)) > 0)
     det = F.when(F.coalesce(F.col("n_status"), F.lit(0)) == 0,
-                 F.lit("No loan status data was processed.")).otherwise(
-        F.format_string("Required statuses [%s] %s.", F.concat_ws(", ", req),
-                        F.when(ok, F.lit("are present")).otherwise(F.lit("are MISSING"))))
+                 F.lit("no row has a status")).otherwise(
+        F.format_string("required statuses %s: %s", F.concat_ws(" and ", req),
+                        F.when(ok, F.lit("all found")).otherwise(F.concat(F.lit("not found: "), F.concat_ws(" and ", missing)))))
     return _row("Loan Status Distribution", None, ok, dist, det)
 
 
 def rate_sanity_row(min_expected: float = RATE_MIN_EXPECTED, max_expected: float = RATE_MAX_EXPECTED) -> Column:
     """DQ4 (as a row over ``status_rate_scan``): observed rate range within the slack bounds."""
     ok = (F.col("min_rate") >= min_expected * RATE_SLACK_LOW) & (F.col("max_rate") <= max_expected * RATE_SLACK_HIGH)
-    det = F.when(F.col("min_rate").isNull(), F.lit("int_rate column not found or all values null.")).otherwise(
-        F.format_string("Observed min rate: %.4f, max rate: %.4f. Expected range (approx): [%.4f - %.4f]",
+    det = F.when(F.col("min_rate").isNull(), F.lit("no rate to compare")).otherwise(
+        F.format_string("rates from %.4f to %.4f, limits %.4f to %.4f before slack",
                         F.col("min_rate"), F.col("max_rate"), F.lit(min_expected), F.lit(max_expected)))
     return _row("Interest Rate Sanity", None, ok,
                 _metrics(min_rate=F.col("min_rate"), max_rate=F.col("max_rate")), det)
@@ -192,11 +192,14 @@ def missing_on_sample_check(df: DataFrame, order_by: Sequence[str], col: str = "
     """DQ5: missing share of ``col`` on the first ``n`` rows, strictly below ``limit_pct``."""
     name = "Missing Loan Amount"
     if col not in df.columns:
-        return failed_row(df.sparkSession, name, f"'{col}' column not found.")
+        return failed_row(df.sparkSession, name, f"column {col} is absent")
     s = head_rows(df.select(*order_by, col), n, order_by)
-    a = s.agg((F.avg(F.col(col).isNull().cast("double")) * F.lit(100.0)).alias("mp"))
+    x = F.col(col)
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        x = F.nanvl(x, F.lit(None).cast("double"))
+    a = s.agg((F.avg(x.isNull().cast("double")) * F.lit(100.0)).alias("mp"))
     row = _row(name, None, F.col("mp") < limit_pct, _metrics(missing_percentage=F.col("mp")),
-               F.format_string("Missing %s: %.2f%%. Threshold: < %s%%", F.lit(col), F.col("mp"),
+               F.format_string("%.2f%% of the head sample has no %s (limit %s%%)", F.col("mp"), F.lit(col),
                                F.lit(str(limit_pct))))
     return _explode_rows(a, [row])
 
@@ -239,7 +242,7 @@ def run_suite(spark: SparkSession, checks: Sequence[tuple[str, Callable[[], Data
             rows.extend(build().collect())
         except (PySparkException, OSError) as e:  # analysis, execution or I/O failure
             rows.append(Row(check_name=name, sub_check=None, passed=False, metrics=None,
-                            details=f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"))
+                            details=f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

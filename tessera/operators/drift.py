@@ -25,14 +25,16 @@ SERIES_TERMS = 100
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = SERIES_TERMS) -> Column:
-    """DR2: asymptotic two-sided p-value ``2 * sum_k (-1)^(k-1) exp(-2 k^2 lambda^2)`` with
-    ``lambda^2 = D^2 n m / (n + m)``, clamped to [0, 1]; 1 when lambda < 0.2. (The reference
-    library uses a finite-sample distribution, so decisions can differ very close to alpha.)"""
-    l2 = d * d * (n.cast("double") * m.cast("double")) / (n + m).cast("double")
+    """DR2: two-sided p-value of D with ``N = round(n m / (n + m))`` effective rows: the Kolmogorov series
+    ``2 * sum_k (-1)^(k-1) exp(-2 N x^2)`` at ``x = k D``, each exponent with the finite-sample terms
+    ``-(2/3) x - (4/9) N x^4`` of Smirnov's expansion; clamped to [0, 1], 1 when ``D sqrt(N) < 0.2``."""
+    size = F.round((n.cast("double") * m.cast("double")) / (n + m).cast("double"))
+    l2 = d * d * size
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0))
-        * F.exp(F.lit(-2.0) * (k * k).cast("double") * l2))
+        * F.exp(F.lit(-2.0) * (k * k).cast("double") * l2 - F.lit(2.0) / F.lit(3.0) * k.cast("double") * d
+                - F.lit(4.0) / F.lit(9.0) * (k * k * k * k).cast("double") * l2 * d * d))
     return F.when(F.sqrt(l2) < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 

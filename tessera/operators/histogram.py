@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BROADCAST_GROUPS = 100_000
+
+
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin of ``x`` for ``bins`` equal bins over [lo, hi], the last bin closed; NULL outside.
 
@@ -45,13 +48,17 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
 
 def grouped_histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """AGG22 / AGG23: ``bins`` bins over each group's own [min, max] (two passes: ranges, then
-    counts). The per-group range table is joined back (AQE broadcasts it when it is small)."""
+    counts). The range table has a row per group: it is broadcast when its counted size is at most
+    ``BROADCAST_GROUPS``, so a few hot groups never shuffle the table; with more groups the planner
+    joins. A NULL group is a group like any other."""
     by = list(by)
     x = F.col(col).cast("double")
     vals = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     rng = vals.groupBy(*by).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     if by:
-        j = vals.join(rng, by)
+        few = rng.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+        side = rng.select(*[F.col(c).alias(f"_r_{c}") for c in by], "lo", "hi")
+        j = vals.join(F.broadcast(side) if few else side, _same(by, "_r_"))
     else:  # global range: two scalar subqueries, no join
         j = vals.withColumn("lo", vals.select(F.min("_x")).scalar()).withColumn(
             "hi", vals.select(F.max("_x")).scalar())
@@ -61,12 +68,21 @@ def grouped_histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()
               .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count")))
     dense = rng.select(*by, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (dense.join(counts, [*by, "bin"], "left")
+    counts = counts.select(*[F.col(c).alias(f"_c_{c}") for c in (*by, "bin")], "count")
+    return (dense.join(counts, _same([*by, "bin"], "_c_"), "left")
             .select(*by, "bin", (F.col("lo") + F.col("bin") * step).alias("lo"),
                     (F.col("lo") + (F.col("bin") + 1) * step).alias("hi"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
+def _same(cols: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of the columns and their prefixed twins."""
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return on
+
+
 def count_peaks(hist: DataFrame, by: Sequence[str] = (), bin_col: str = "bin",
                 count_col: str = "count") -> DataFrame:
     """WIN1: strict interior local maxima of each histogram (first and last bins never count).

@@ -11,6 +11,7 @@ L2 logistic loss with inverse strength ``C``: ``regParam = 1 / (C * sum(weights)
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -66,19 +67,20 @@ def with_class_weights(df: DataFrame, label: str = "target", name: str = "class_
 
 
 def fitted_constants(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float, float, float]]:
-    """ML1 + ML2: exact median, mean and population std per numeric feature (a few scalars)."""
+    """ML1 + ML2: exact median per numeric feature, then mean and population std of the imputed
+    values (a few scalars)."""
     med = {r["feature"]: r["value"] for r in percentiles(train, numeric, [0.5]).collect()}
+    med = {c: float(med[c]) if med.get(c) is not None else 0.0 for c in numeric}
     aggs = []
     for c in numeric:
-        x = F.col(c).cast("double")
+        x = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(med[c]))
         aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
-    row = train.agg(*aggs).first()
+    row = train.agg(*aggs).first() if aggs else {}
     out = {}
     for c in numeric:
         mean = row[f"{c}__m"] if row[f"{c}__m"] is not None else 0.0
         std = row[f"{c}__s"]
-        scale = std if std is not None and std > 0 else 1.0
-        out[c] = (med.get(c, 0.0) if med.get(c) is not None else 0.0, float(mean), float(scale))
+        out[c] = (med[c], float(mean), float(std) if std is not None and std > 0 else 1.0)
     return out
 
 
@@ -113,32 +115,38 @@ TARGET_PARTITION_BYTES = 64 * 1024 * 1024
 
 
 def fit_partitions(spark, rows: int, columns: int) -> int:
-    """Partitions of the cached training frame: about 64 MB each, at most the cluster's
-    parallelism. Every optimizer iteration is one ``treeAggregate`` over them, so tiny
-    partitions only add scheduling rounds while large data still spreads over all cores."""
+    """Partitions of the cached training frame: about 64 MB each and at least one per core. Every
+    optimizer iteration is one ``treeAggregate`` over them."""
     size = rows * columns * ROW_BYTES_PER_COLUMN
-    return max(1, min(spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES)))
+    return max(spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES))
 
 
-def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
-        categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
-        rows: int | None = None) -> PipelineModel:
-    """ML1-ML8: fit the pipeline on ``train``; the projected, weighted training frame is
-    persisted for the duration of the fit. ``rows`` (the training row count) saves a pass
-    when the caller knows it."""
+@contextmanager
+def _training(train: DataFrame, numeric, categorical, label: str, rows: int | None, cached: bool):
+    """(weighted frame, constants, categorical features, row count) of one training set. The frame is
+    persisted here unless the caller says that ``train`` is cached (MEMORY_AND_DISK; lost blocks
+    are recomputed from the deterministic lineage)."""
     numeric = [x for x in numeric if x in train.columns]
     categorical = [x for x in categorical if x in train.columns]
     cols = list(dict.fromkeys([label, *numeric, *categorical]))
-    # every pass below (constants, indexer, optimizer iterations) reads this frame: keep it
-    # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
     n = rows if rows is not None else train.count()
-    weighted = with_class_weights(train.select(*cols), label).repartition(
-        fit_partitions(train.sparkSession, n, len(cols))).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = with_class_weights(train.select(*cols), label)
+    if not cached:
+        frame = frame.repartition(fit_partitions(train.sparkSession, n, len(cols))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        consts = fitted_constants(weighted, numeric)  # first pass: materialises the cache
-        return build_pipeline(consts, categorical, c, float(n), label, max_iter).fit(weighted)
+        yield frame, fitted_constants(frame, numeric), categorical, n
     finally:
-        weighted.unpersist()
+        if not cached:
+            frame.unpersist()
+
+
+def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
+        categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
+        rows: int | None = None, cached: bool = False) -> PipelineModel:
+    """ML1-ML8: fit the pipeline on ``train``. ``rows`` (the training row count) saves a pass when
+    the caller knows it; ``cached`` says that ``train`` comes from a persisted frame."""
+    with _training(train, numeric, categorical, label, rows, cached) as (frame, consts, cats, n):
+        return build_pipeline(consts, cats, c, float(n), label, max_iter).fit(frame)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "target")) -> DataFrame:
@@ -148,9 +156,19 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "tar
                       vector_to_array("probability")[1].alias("score"))
 
 
-def sweep(train: DataFrame, cs: Sequence[float], **kw) -> dict[float, PipelineModel]:
-    """ML10: one model per regularisation strength over the same persisted training frame."""
-    return {c: fit(train, c, **kw) for c in cs}
+def sweep(train: DataFrame, cs: Sequence[float], numeric: Sequence[str] = NUMERIC,
+          categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
+          rows: int | None = None, cached: bool = False) -> dict[float, PipelineModel]:
+    """ML10: one model per regularisation strength; the persisted training frame, its constants, the
+    indexers and the encoders are made once, only the optimizer runs per strength."""
+    with _training(train, numeric, categorical, label, rows, cached) as (frame, consts, cats, n):
+        head = Pipeline(stages=build_pipeline(consts, cats, 1.0, float(n), label, max_iter).getStages()[:-1]).fit(frame)
+        ready = head.transform(frame).select("features", label, "class_weight").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return {c: PipelineModel(head.stages + [
+                build_pipeline(consts, cats, c, float(n), label, max_iter).getStages()[-1].fit(ready)]) for c in cs}
+        finally:
+            ready.unpersist()
 
 
 def coefficients(model: PipelineModel) -> tuple[list[float], float]:

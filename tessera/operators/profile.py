@@ -96,8 +96,8 @@ def ranked_value_counts(df: DataFrame, col: str) -> DataFrame:
 def range_counts(df: DataFrame, col: str, lo: float, hi: float, normal_lo: float,
                  normal_hi: float) -> DataFrame:
     """AGG14: below / above / within counts and percents over the non-null values, plus the
-    missing count over all rows, in one aggregation."""
-    x = F.col(col)
+    missing count over all rows, in one aggregation; NaN is missing."""
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(x).alias("n_valid"),

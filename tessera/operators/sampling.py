@@ -40,21 +40,31 @@ TWO_60 = float(2 ** 60)
 def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: int, key: str,
                     flag: str) -> DataFrame:
     """Mark, in every class, the ``test_rows`` rows that come first in seeded-hash order
-    (``quotas``: one row per class with ``class_rows`` and ``test_rows``; labels non-null).
+    (``quotas``: one row per class with ``class_rows`` and ``test_rows``; a NULL label is a class).
 
     The hash prefix is uniform, so a class threshold lies near ``(q / n) * 2^60``. One pass
     counts, per class, the rows below a band around that point (must be at most ``q``) and
     below its top (at least ``q``); only the band rows, O(sqrt(n)) per class, are ranked to
     find the exact threshold row. No shuffle of the table, and a class holding most of the
     rows costs the same as a small one. A missed band (probability ~1e-9) is widened and the
-    pass repeated."""
+    pass repeated. Exact sizes need distinct ids: when the threshold falls among rows of one id,
+    the split raises ``ValueError``."""
     spark = df.sparkSession
-    g = label or "_g"
-    base = df if label else df.withColumn("_g", F.lit(0))
-    q = quotas if label else quotas.withColumn("_g", F.lit(0))
-    gtype = base.schema[g].dataType.simpleString()
-    d = base.withColumn("_h", hash_key(seed, key)).withColumn("_h60", _h60(F.col("_h")))
-    classes = [(r[g], int(r["class_rows"]), int(r["test_rows"])) for r in q.collect()]
+    d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h60", _h60(F.col("_h")))
+    ltype = df.schema[label].dataType.simpleString() if label else "int"
+
+    def attach(frame: DataFrame, rows: list[tuple], names: Sequence[str], types: str) -> DataFrame:
+        """``frame`` with the per-class values: literals when there is one class, else a broadcast
+        join (a row per class) in which a NULL label equals itself."""
+        if not label:
+            return frame.select("*", *[F.lit(v).cast(t).alias(n) for v, n, t in zip(rows[0][1:], names, types.split(","))])
+        t = spark.createDataFrame(rows, f"_cls {ltype}, " + ", ".join(f"{n} {x}" for n, x in zip(names, types.split(","))))
+        return frame.join(F.broadcast(t), F.col(label).eqNullSafe(F.col("_cls")), "left").drop("_cls")
+
+    classes = [(r[label] if label else 0, int(r["class_rows"]), int(r["test_rows"])) for r in quotas.collect()]
+    if not classes:
+        return df.withColumn(flag, F.lit(False))
+    g = F.col(label) if label else F.lit(0)
     widen = 1.0
     for _ in range(6):
         bands = []
@@ -63,28 +73,32 @@ def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: i
             delta = widen * (8.0 * math.sqrt(max(f * (1 - f), 1.0 / n) / n) + 64.0 / n) if n else 1.0
             lo = int((f - delta) * TWO_60) if f - delta > 0 else -1
             hi = int((f + delta) * TWO_60) if f + delta < 1 else 2 ** 62
-            bands.append((cls, n, t, lo, hi))
-        bt = spark.createDataFrame(bands, f"{g} {gtype}, _n long, _t long, _lo long, _hi long")
-        tagged = d.join(F.broadcast(bt), g)
-        cnt = {r[g]: (r["below"], r["upto"]) for r in tagged.groupBy(g).agg(
+            bands.append((cls, lo, hi))
+        tagged = attach(d, bands, ["_lo", "_hi"], "long,long")
+        cnt = {r["g"]: (r["below"], r["upto"]) for r in tagged.groupBy(g.alias("g")).agg(
             F.count_if(F.col("_h60") < F.col("_lo")).alias("below"),
             F.count_if(F.col("_h60") < F.col("_hi")).alias("upto")).collect()}
-        if all(cnt.get(c, (0, 0))[0] <= t <= cnt.get(c, (0, 0))[1] for c, _, t, _, _ in bands):
+        if all(cnt.get(c, (0, 0))[0] <= t <= cnt.get(c, (0, 0))[1] for c, _, t in classes):
             break
         widen *= 4.0
     else:
         raise RuntimeError("hash band did not converge")
-    need = spark.createDataFrame([(c, t - cnt.get(c, (0, 0))[0]) for c, _, t, _, _ in bands],
-                                 f"{g} {gtype}, _need long")
-    band = tagged.filter((F.col("_h60") >= F.col("_lo")) & (F.col("_h60") < F.col("_hi")))
-    w = Window.partitionBy(g).orderBy("_h60", "_h", key)
-    thr = (band.select(g, "_h60", "_h", F.col(key).alias("_k"), F.row_number().over(w).alias("_r"))
-           .join(F.broadcast(need), g).filter(F.col("_r") == F.col("_need"))
-           .select(g, F.struct("_h60", "_h", "_k").alias("_thr")))
+    need = [(c, t - cnt.get(c, (0, 0))[0]) for c, _, t in classes]
+    band = attach(tagged.filter((F.col("_h60") >= F.col("_lo")) & (F.col("_h60") < F.col("_hi"))), need, ["_need"], "long")
+    band = band.select(g.alias("g"), "_need", "_h60", "_h", F.col(key).alias("_k"))
+    w = Window.partitionBy("g").orderBy("_h60", "_h", "_k")
+    last = (band.select("*", F.row_number().over(w).alias("_r"), F.lead("_k").over(w).alias("_next"))
+            .filter(F.col("_r") == F.col("_need")).collect())  # one row per class at most
+    if any(r["_next"] == r["_k"] for r in last):
+        raise ValueError(f"values of {key} repeat at the split point: an exact split needs distinct ids")
+    if not last:
+        return df.withColumn(flag, F.lit(False))
+    ktype = df.schema[key].dataType.simpleString()
+    tagged = attach(d, [(r["g"], r["_h60"], r["_h"], r["_k"]) for r in last], ["_th60", "_th", "_tk"], f"long,string,{ktype}")
     mine = F.struct("_h60", "_h", F.col(key).alias("_k"))
-    out = (d.join(F.broadcast(thr), g, "left")
-           .withColumn(flag, F.coalesce(mine <= F.col("_thr"), F.lit(False))).drop("_h", "_h60", "_thr"))
-    return out if label else out.drop("_g")
+    return (tagged.withColumn(flag, F.coalesce(F.col("_th60").isNotNull() & (mine <= F.struct(
+        F.col("_th60").alias("_h60"), F.col("_th").alias("_h"), F.col("_tk").alias("_k"))), F.lit(False)))
+        .select(*df.columns, flag))
 
 
 def random_split(df: DataFrame, test_fraction: float, seed: int = 42, key: str = "id",

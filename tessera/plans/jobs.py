@@ -19,7 +19,7 @@ from ..operators import metrics as M
 from ..operators import model as ML
 from ..operators import position as POS
 from ..operators import robust as R
-from ..operators.abtest import ab_report, arm_metrics, score_arms
+from ..operators.abtest import ab_report, isolated_metrics
 from ..operators.sampling import exact_sample, stratified_quotas, stratified_split
 from ..sources import registry as REG
 
@@ -42,17 +42,35 @@ def validate_path(spark: SparkSession, path: str, order_by: Sequence[str], fmt:
         df = spark.read.format(fmt).load(path)
     except Exception as e:  # noqa: BLE001  (any load failure is reported, not raised)
         name = "File Existence" if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) else "Data Loading"
-        return C.failed_row(spark, name, f"{type(e).__name__}: {str(e).splitlines()[0][:300]}")
+        return C.failed_row(spark, name, f"{type(e).__name__}: {e}")
     return validate_data(spark, df, order_by)
 
 
+# The training and robustness states that run records name.
+STOPPED_EMPTY = "failed_no_data_after_filter"
+STOPPED_FEW = "failed_insufficient_data"
+STOPPED_FEW_CLEAN = "failed_insufficient_data_post_nan"
+STOPPED_ERROR = "failed_exception"
+ROBUSTNESS_EMPTY = "skipped_no_data"
+
+
+class TrainingStopped(ValueError):
+    """A guard stopped the training; ``status`` names it in the run record."""
+
+    def __init__(self, status: str, message: str):
+        super().__init__(message)
+        self.status = status
+
+
 # --- E2 ------------------------------------------------------------------------------------------
 
 def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_path: str, model_dir: str,
                 version_name: str, c: float = 1.0, test_fraction: float = 0.2, sample_size: int | None = None,
                 min_records: int = 1000, seed: int = 42, max_iter: int = 100, key: str = "id") -> dict:
-    """Prepare -> (optional exact sample) -> guards -> stratified split -> fit -> evaluate ->
-    save -> log metrics -> register. A failure appends a TRAINING_FAILED registry row."""
+    """Filter by status -> (optional exact sample) -> guard -> prepare -> guards -> stratified split
+    -> fit -> evaluate -> save -> log metrics -> register. The sample is drawn before rows with
+    missing features are dropped. A failure appends a TRAINING_FAILED registry row; each guard has
+    a status of its own."""
     run_id = REG.new_run_id()
     timings: dict[str, float] = {}
     clock = [time.perf_counter()]
@@ -64,26 +82,32 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
 
     params: dict[str, object] = {"regularization_c": c, "test_set_prop": test_fraction, "min_records": min_records,
                                  "model_version_name": version_name, "sample_size": sample_size}
-    split = d = None
+    d = None
     try:
-        d = ML.prepare(df, "binary")
-        keep = [c for c in dict.fromkeys([key, "target", *ML.NUMERIC, *ML.CATEGORICAL]) if c in d.columns]
+        raw = df.filter(F.col("loan_status").isin(ML.TRAINING_STATUSES))
         if sample_size:
-            d = exact_sample(d, sample_size, seed=seed, key=key)
-        # the split and every fit pass read the prepared rows: compute them once
+            raw = exact_sample(raw, sample_size, seed=seed, key=key)
+        before = raw.select("loan_status").count()
+        if not before:
+            raise TrainingStopped(STOPPED_EMPTY, "no row has one of the training statuses")
+        if before < min_records:
+            raise TrainingStopped(STOPPED_FEW, f"{before} rows have a training status, {min_records} are needed")
+        d = ML.prepare(raw, "binary")
+        keep = [c for c in dict.fromkeys([key, "target", *ML.NUMERIC, *ML.CATEGORICAL]) if c in d.columns]
+        # the split, every fit pass and the evaluation read the prepared rows: the one cached frame
         # (MEMORY_AND_DISK; lost blocks are recomputed from the deterministic lineage)
-        d = d.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        d = d.select(*keep).repartition(ML.fit_partitions(spark, before, len(keep))).persist(StorageLevel.MEMORY_AND_DISK)
         n = d.count()
         lap("prepare")
         if n < min_records:
-            raise ValueError(f"Data size ({n}) after NaN handling is less than minimum ({min_records}).")
+            raise TrainingStopped(STOPPED_FEW_CLEAN, f"{n} of {before} rows have all features, {min_records} are needed")
         quotas = stratified_quotas(d, "target", test_fraction).collect()  # one row per class
         sizes = {"train": sum(r["train_rows"] for r in quotas), "test": sum(r["test_rows"] for r in quotas)}
-        split = stratified_split(d, "target", test_fraction, seed=seed, key=key).persist(StorageLevel.MEMORY_AND_DISK)
+        split = stratified_split(d, "target", test_fraction, seed=seed, key=key)
         train = split.filter(~F.col("is_test"))
         test = split.filter(F.col("is_test"))
         lap("split")
-        model = ML.fit(train, c, max_iter=max_iter, rows=sizes["train"])
+        model = ML.fit(train, c, max_iter=max_iter, rows=sizes["train"], cached=True)
         lap("fit")
         scored = ML.score(model, test, keep=[key, "target"])
         acc = M.accuracy(scored, "target", "prediction").first()["accuracy"]
@@ -105,14 +129,14 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
                 "train_rows": sizes.get("train", 0), "test_rows": sizes.get("test", 0), "report": report,
                 "status": "success", "timings": timings}
     except Exception as e:  # noqa: BLE001  (recorded, then reported to the caller)
-        params.update(training_status="failed_exception", error_message=str(e)[:1000])
+        status = e.status if isinstance(e, TrainingStopped) else STOPPED_ERROR
+        params.update(training_status=status, error_message=str(e))
         REG.log_run(spark, runs_path, run_id, None, params)
-        REG.record_failure(spark, registry_path, version_name, str(e)[:1000], run_id)
-        return {"run_id": run_id, "status": "failed", "error": str(e)}
+        REG.record_failure(spark, registry_path, version_name, str(e), run_id)
+        return {"run_id": run_id, "status": "failed", "training_status": status, "error": str(e)}
     finally:
-        for frame in (split, d):
-            if frame is not None:
-                frame.unpersist()
+        if d is not None:
+            d.unpersist()
 
 
 def _model_row(spark: SparkSession, registry_path: str, version_name: str):
@@ -136,6 +160,11 @@ def robustness_job(spark: SparkSession, df: DataFrame, order_by: Sequence[str],
                                      "rows long, changed long, change_pct double, passed boolean, status string")
     model = PipelineModel.load(m["model_uri"])
     head = POS.head_slice(df, order_by, chunks, chunk)
+    if not head.filter(F.col("loan_status").isin(ML.TRAINING_STATUSES)).limit(1).count():
+        res = spark.createDataFrame([(0, 0, 0.0, None, ROBUSTNESS_EMPTY)],
+                                    "rows long, changed long, change_pct double, passed boolean, status string")
+        REG.append_run_rows(R.robustness_record(res, m["run_id"]), runs_path)
+        return res
     clean = ML.prepare(head, "binary", numeric=list(m["numeric_features"]),
                        categorical=list(m["categorical_features"]))
     res = R.robustness(clean, lambda d: ML.score(model, d, keep=[key]), key=key)
@@ -166,13 +195,15 @@ def ab_job(spark: SparkSession, df: DataFrame, order_by: Sequence[str], registry
     d = ML.prepare(tail, "all")
     reg = REG.latest(REG.read_registry(spark, registry_path))
     wanted = {r["model_version_name"]: r for r in reg.filter(F.col("model_version_name").isin(list(names))).collect()}
-    scorers = []
+    scorers, errors = [], {}
     for n in names:
         r = wanted.get(n)
-        if r is None or not r["model_uri"]:
-            scorers.append(None)
-            continue
-        model = PipelineModel.load(r["model_uri"])
-        scorers.append(lambda x, m=model: ML.score(m, x, keep=[key, "target", "arm"]))
-    scored = score_arms(d, scorers, key)
-    return ab_report(spark, arm_metrics(scored), names, reg, test_id)
+        model = None
+        if r is not None and r["model_uri"]:
+            try:
+                model = PipelineModel.load(r["model_uri"])
+            except Exception as e:  # noqa: BLE001  (this arm gets an error row, the others go on)
+                errors[n] = f"{type(e).__name__}: {e}"
+        scorers.append(None if model is None else lambda x, m=model: ML.score(m, x, keep=[key, "target", "arm"]))
+    measured = isolated_metrics(d, scorers, names, errors, key)
+    return ab_report(spark, measured, names, reg, test_id, errors)

@@ -44,9 +44,11 @@ def _long_sql(src: str, side: int) -> str:
 
 
 def pvalue_sql(d: str, n: str, m: str) -> str:
-    l2 = f"({d} * {d} * (CAST({n} AS DOUBLE) * CAST({m} AS DOUBLE)) / CAST({n} + {m} AS DOUBLE))"
+    l2 = f"({d} * {d} * ROUND((CAST({n} AS DOUBLE) * CAST({m} AS DOUBLE)) / CAST({n} + {m} AS DOUBLE)))"
     series = (f"list_reduce(list_transform(range(1, {P_TERMS + 1}), lambda k: CASE WHEN k % 2 = 1 THEN CAST(2.0 AS DOUBLE) "
-              f"ELSE CAST(-2.0 AS DOUBLE) END * EXP(CAST(-2.0 AS DOUBLE) * CAST(k * k AS DOUBLE) * {l2})), lambda a, b: a + b)")
+              f"ELSE CAST(-2.0 AS DOUBLE) END * EXP(CAST(-2.0 AS DOUBLE) * CAST(k * k AS DOUBLE) * {l2} "
+              f"- CAST(2.0 AS DOUBLE) / CAST(3.0 AS DOUBLE) * CAST(k AS DOUBLE) * {d} - CAST(4.0 AS DOUBLE) / CAST(9.0 AS DOUBLE) "
+              f"* CAST(k * k * k * k AS DOUBLE) * {l2} * {d} * {d})), lambda a, b: a + b)")
     return (f"CASE WHEN SQRT({l2}) < 0.2 THEN CAST(1.0 AS DOUBLE) "
             f"ELSE LEAST(CAST(1.0 AS DOUBLE), GREATEST(CAST(0.0 AS DOUBLE), {series})) END")
 

@@ -464,5 +464,5 @@ def th2_recommended_bounds(spark, sf):
 def jn3_missing_required_statuses(spark, sf):
     """JN3: required values (the two training statuses plus 'Default') absent from the data."""
     req = spark.createDataFrame([(s,) for s in [*REQUIRED_STATUSES, "Default"]], "status string")
-    seen = loans_df(spark, sf).select(F.col("loan_status").alias("status")).filter(F.col("status").isNotNull())
+    seen = loans_df(spark, sf).select(F.col("loan_status").alias("status")).filter(F.col("status").isNotNull()).distinct()
     return req.join(seen, "status", "left_anti")

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("status", T.StringType(), True),
     T.StructField("error", T.StringType(), True),
     T.StructField("input_schema", T.StringType(), True),
+    T.StructField("output_schema", T.StringType(), True),
     T.StructField("input_example", T.StringType(), True),
     T.StructField("registered_at", T.TimestampType(), False),
 ])
@@ -67,7 +68,8 @@ def register_model(spark: SparkSession, path: str, version_name: str, model_uri:
     append_registry(spark, path, [dict(model_version_name=version_name, model_uri=model_uri, run_id=run_id,
                                        model_name=model_name, numeric_features=list(numeric),
                                        categorical_features=list(categorical), status="REGISTERED",
-                                       input_schema=input_schema, input_example=input_example)])
+                                       input_schema=input_schema, output_schema=OUTPUT_SCHEMA.json(),
+                                       input_example=input_example)])
 
 
 def record_failure(spark: SparkSession, path: str, version_name: str, error: str, run_id: str | None = None) -> None:
@@ -77,9 +79,9 @@ def record_failure(spark: SparkSession, path: str, version_name: str, error: str
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """REG1: the registry table; a missing table reads as empty, corrupt files are skipped."""
+    """REG1: the registry table; a missing table reads as empty; a corrupt file raises when read."""
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
+        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
@@ -103,11 +105,12 @@ def validate(latest_rows: DataFrame) -> DataFrame:
 
 
 def versions(registry: DataFrame) -> DataFrame:
-    """REG5: version numbers 1, 2, ... per registered model name in registration order
-    (the window holds one model name's registrations)."""
-    ok = registry.filter(F.col("status") == "REGISTERED")
-    w = Window.partitionBy("model_name").orderBy("registered_at", "run_id")
-    return ok.select("model_name", "model_version_name", "run_id", F.row_number().over(w).alias("version"))
+    """REG5: version numbers 1, 2, ... per registered model name in registration order, by the
+    distributed row index (one name may hold the whole registry)."""
+    from ..operators.prefix import row_index
+    ok = registry.filter(F.col("status") == "REGISTERED").select("model_name", "model_version_name", "run_id", "registered_at")
+    ix = row_index(ok, ["registered_at", "run_id"], ["model_name"], small_groups=False)
+    return ix.select("model_name", "model_version_name", "run_id", (F.col("row_idx") + 1).cast("int").alias("version"))
 
 
 def log_run(spark: SparkSession, path: str, run_id: str, metrics: dict[str, float] | None = None,
@@ -136,6 +139,10 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], RUN_METRICS_SCHEMA)
 
 
+#: SNK6: what a registered model returns for each input row.
+OUTPUT_SCHEMA = T.StructType([T.StructField("prediction", T.IntegerType()), T.StructField("score", T.DoubleType())])
+
+
 def input_signature(df: DataFrame, features: Sequence[str], order_by: Sequence[str], n: int = 5) -> tuple[str, str]:
     """SNK6: schema of the model input (JSON) and a 5-row input example (first rows by key)."""
     sel = df.select(*features)

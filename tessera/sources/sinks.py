@@ -9,8 +9,9 @@ from ..operators.checks import failed_row
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
-    """SNK1: write report rows (a few rows: one file) as JSON lines or parquet."""
-    w = report.coalesce(1).write.mode("overwrite")
+    """SNK1: write report rows (a few rows: one file) as JSON lines or parquet. The exchange
+    keeps the stage that makes the rows parallel."""
+    w = report.repartition(1).write.mode("overwrite")
     (w.json(path) if fmt == "json" else w.parquet(path))
 
 

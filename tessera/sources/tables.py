@@ -43,19 +43,22 @@ LOAN_CSV_SCHEMA = T.StructType([
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (parquet). Projection and filters reach the scan through Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (parquet), NaN as NULL. Projection reaches the scan through Catalyst, and so
+    do filters on all but floating columns."""
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = LOAN_CSV_SCHEMA,
              header: bool = True) -> DataFrame:
-    """SRC1: CSV scan with an explicit schema (no inference pass over the data)."""
-    return (spark.read.schema(schema).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+    """SRC1: CSV scan with an explicit schema (no inference pass over the data), NaN as NULL."""
+    return nan_to_null(spark.read.schema(schema).option("header", header)
+                       .option("mode", "PERMISSIVE").csv(path))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Ingest rule: every double NaN becomes NULL so that the library sees one null kind."""
+    if not any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in df.schema.fields):
+        return df
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):

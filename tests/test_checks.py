@@ -33,7 +33,7 @@ def test_fixture_expectations(loans01):
 def test_status_check_missing_required(spark):
     df = spark.createDataFrame([("Current", "10%"), ("Fully Paid", "12%")], "loan_status string, int_rate string")
     r = C.status_check(df).first()
-    assert not r["passed"] and "MISSING" in r["details"]
+    assert not r["passed"] and "not found: Charged Off" in r["details"]
 
 
 def test_gate(spark, loans01):
@@ -60,4 +60,4 @@ def test_suite_isolates_failures(spark):
 def test_missing_column_fails(spark):
     df = spark.createDataFrame([(1, 1)], "issue_d int, id int")
     r = C.missing_on_sample_check(df, ORDER_KEY).first()
-    assert not r["passed"] and "not found" in r["details"]
+    assert not r["passed"] and "absent" in r["details"]
