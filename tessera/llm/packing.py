@@ -13,6 +13,7 @@ windows; the last rest becomes windows of power-of-two lengths, which need no pa
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ class BlankCachedEncoder:
     #: Pre-token pattern of the tokenizer file; fixed by that file.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, chunks: int = 400_000, pieces: int = 500_000):
+    def __init__(self, path: str, chunks: int = 800_000, pieces: int = 800_000):
         import re
 
         import regex
@@ -58,38 +59,48 @@ class BlankCachedEncoder:
         self.max_chunks, self.max_pieces = chunks, pieces
 
     def _piece(self, p: str) -> bytes:
+        """Ids of one pre-token."""
         got = self.pieces.get(p)
         if got is None:
-            mapped = p if p.isascii() else self.to_bytes(p)[0][0]
-            got = np.array([t.id for t in self.tok.model.tokenize(mapped)], "<u4").tobytes()
+            ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else self.to_bytes(p)[0][0])]
+            got = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.pieces) >= self.max_pieces:
                 self.pieces.clear()
             self.pieces[p] = got
         return got
 
     def _chunk(self, c: str) -> bytes:
-        if self.whole(c):
-            return np.array(self.tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self._piece, self.split(c.lower())))
+        """Ids of a lower-cased chunk without special characters; mostly a word and a mark."""
+        if c.isalpha():
+            return self._piece(c)
+        if c[:-1].isalpha() and c[-1] in ".,;:!?":
+            return self._piece(c[:-1]) + self._piece(c[-1])
+        return b"".join(map(self._piece, self.split(c)))
+
+    def _through(self, text: str) -> bytes:
+        """Ids by the whole tokenizer."""
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        words = text.split(" ")
+        if self.whole(text):
+            return b"".join(self._through(w) if self.whole(w) else self._words([w.lower()]) for w in text.split(" "))
+        return self._words(text.lower().split(" "))
+
+    def _words(self, words: list[str]) -> bytes:
         known = self.chunks
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             pass
-        out = []
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                got = self._chunk(w)
-                if len(known) >= self.max_chunks:
-                    known.clear()
-                if len(w) <= 64:
-                    known[w] = got
-            out.append(got)
-        return b"".join(out)
+        rare: dict[str, bytes] = {}  # long chunks are not worth keeping
+        for w in set(words).difference(known):
+            if len(known) >= self.max_chunks:
+                known.clear()
+            known[w] = self._chunk(w)
+            if len(w) > 64:
+                rare[w] = known.pop(w)
+        return b"".join([known[w] if w in known else rare[w] if w in rare else self._chunk(w) for w in words])
 
 
 _ENCODERS: dict[str, BlankCachedEncoder] = {}
