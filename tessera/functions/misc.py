@@ -32,10 +32,10 @@ def clip(c: str | Column, lower: float | Column | None = None,
     return F.when(x.isNotNull(), y)
 
 
-def linspace(lo: float, hi: float, bins: int) -> Column:
+def linspace(lo: float | Column, hi: float | Column, bins: int) -> Column:
     """SC16: ``bins + 1`` evenly spaced edges as an array column."""
-    w = (float(hi) - float(lo)) / bins
-    return F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: F.lit(float(lo)) + i * F.lit(w))
+    a, b = (x if isinstance(x, Column) else F.lit(float(x)) for x in (lo, hi))
+    return F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: a + i * ((b - a) / F.lit(float(bins))))
 
 
 def join_names(c: str | Column, sep: str = ", ") -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from . import q_checks, q_eval, q_model, q_position, q_profile, q_stream  # noqa: F401  (registration side effects)
+    from . import q_checks, q_edge, q_eval, q_model, q_position, q_profile, q_registry, q_stream  # noqa: F401  (registration side effects)
 
 
 def all_queries():

@@ -117,6 +117,8 @@ _SCORED = f""", sc AS (SELECT id, target, grade, {SCORE_SQL} AS score,
 
 
 def scored(df):
+    """The fixed score and prediction. Rows without a rate or dti have no score; the metric
+    operators are defined over scored rows, so they are left out here."""
     p = prepared(df).filter(F.col("rate_pct").isNotNull() & F.col("dti").isNotNull())
     s = M.linear_score(F.col("rate_pct"), F.col("dti"), F.col("id"))
     return p.select("id", "target", "grade", s.alias("score"), (s >= CUT).cast("int").alias("prediction"))
@@ -244,35 +246,46 @@ def rb3_flip_rate(spark, sf):
 AB_CHUNKS = 4
 
 
-def _ab_scorer(cut_shift: float):
+def _formula(i: int):
+    """Scorer of arm ``i``: the formulas rank rows differently, so a swapped arm shows."""
     def sc(d):
-        s = M.linear_score(F.col("rate_pct"), F.col("dti"), F.col("id")) + F.lit(cut_shift)
-        return d.withColumn("score", s)
+        x, y = (F.col("rate_pct"), F.col("dti")) if i % 2 == 0 else (F.col("dti"), -F.col("rate_pct"))
+        return d.withColumn("score", M.linear_score(x, y, F.col("id")))
     return sc
 
 
-def _ab_sql() -> str:
+def ab_scorers(n: int):
+    return [_formula(i) for i in range(n)]
+
+
+def ab_cte(n: int) -> str:
+    """Rows of the tail slice with arm and score (``sc``) and the arm sizes (``sz``): every row counts,
+    scored or not."""
     from .q_profile import arm_sql
-    head = f""", ix AS (SELECT *, ROW_NUMBER() OVER (ORDER BY issue_d, id) - 1 AS idx, COUNT(*) OVER () AS n FROM loans),
+    other = ("CAST(0.02 AS DOUBLE) * CAST(dti AS DOUBLE) + CAST(0.01 AS DOUBLE) * (-rate_pct) "
+             "+ CAST(0.000001 AS DOUBLE) * CAST(id AS DOUBLE)")
+    return f""", ix AS (SELECT *, ROW_NUMBER() OVER (ORDER BY issue_d, id) - 1 AS idx, COUNT(*) OVER () AS n FROM loans),
 tail AS (SELECT * FROM ix WHERE FLOOR(idx / {CHUNK}) >= CEIL(n / {float(CHUNK)}) - {AB_CHUNKS}),
 prep AS (SELECT *, CASE WHEN loan_status = 'Charged Off' THEN 1 ELSE 0 END AS target,
-   TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE) AS rate_pct FROM tail),
-sc AS (SELECT id, target, {arm_sql(2)} AS arm, {SCORE_SQL} AS score FROM prep WHERE rate_pct IS NOT NULL AND dti IS NOT NULL),
+   TRY_CAST(trim(rtrim(CAST(int_rate AS VARCHAR), '%')) AS DOUBLE) AS rate_pct, {arm_sql(n)} AS arm FROM tail),
+sc AS (SELECT id, target, arm, CASE WHEN arm % 2 = 0 THEN {SCORE_SQL} ELSE {other} END AS score FROM prep),
 sz AS (SELECT arm, COUNT(*) AS test_data_size FROM sc GROUP BY arm)"""
+
+
+def _ab_sql() -> str:
     body = auc_sql("sc", "arm").replace(
         "SELECT arm, positives,",
         "SELECT a.arm, (SELECT test_data_size FROM sz WHERE sz.arm = a.arm) AS test_data_size, positives,")
-    return with_loans(head + body)
+    return with_loans(ab_cte(2) + body)
 
 
 @register("ab3_arm_auc", _ab_sql())
 def ab3_arm_auc(spark, sf):
     """AB1-AB3 on the tail slice (last 4 chunks, label over every status as the source does):
-    arm by md5 of the id, each arm scored by its own scorer, exact AUC and size per arm."""
+    arm by md5 of the id, each arm scored by its own formula, exact AUC per arm over its scored
+    rows and the size of the whole arm."""
     tail = POS.tail_slice(loans_df(spark, sf), ORDER_KEY, AB_CHUNKS, CHUNK)
-    p = prepared(tail).filter(F.col("rate_pct").isNotNull() & F.col("dti").isNotNull())
-    s = score_arms(p, [_ab_scorer(0.0), _ab_scorer(0.0)])
-    m = arm_metrics(s)
+    m = arm_metrics(score_arms(prepared(tail), ab_scorers(2)))
     return m.select("arm", "test_data_size", "positives", "negatives", r6("roc_auc").alias("roc_auc"), "error")
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from ..functions.misc import join_names, split_names, status_text
+from ..functions.misc import join_names, linspace, split_names, status_text
 from ..operators import metrics as M
 from ..operators import model as ML
 from ..operators.checks import default_suite
@@ -25,9 +25,8 @@ _ML_CLEAN = """, mlc AS (SELECT * FROM prep WHERE loan_status IN ('Fully Paid',
   AND emp_length_numeric IS NOT NULL)"""
 
 
-def ml_clean(spark, sf, persist: bool = False):
-    d = ML.prepare(loans_df(spark, sf), "binary")
-    return d.persist(StorageLevel.MEMORY_AND_DISK) if persist else d
+def ml_clean(spark, sf):
+    return ML.prepare(loans_df(spark, sf), "binary")
 
 
 @register("ml7_class_weights", sql_prep("""SELECT target, ROUND(CAST(SUM(c) OVER () AS DOUBLE) / (2 * c), 6) AS class_weight, c AS rows
@@ -48,43 +47,44 @@ def _constants_sql():
 @register("ml1_ml2_fitted_constants", _constants_sql())
 def ml1_ml2_fitted_constants(spark, sf):
     """ML1 + ML2: exact medians (imputation) and mean / population std (scaling) on the
-    training rows, computed the way ``model.fit`` computes them."""
-    from ..operators.profile import percentiles
-    d = ml_clean(spark, sf)
-    med = percentiles(d, _BIN_NUMERIC, [0.5]).select("feature", F.col("value").alias("median"))
-    aggs = []
-    for c in _BIN_NUMERIC:
-        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std_pop")]
-    stats = d.agg(*aggs).selectExpr(
-        f"stack({len(_BIN_NUMERIC)}, " + ", ".join(f"'{c}', `{c}__mean`, `{c}__std_pop`" for c in _BIN_NUMERIC)
-        + ") as (feature, mean, std_pop)")
-    return med.join(stats, "feature").select("feature", r6("median").alias("median"), r6("mean").alias("mean"),
-                                             r6("std_pop").alias("std_pop"))
+    training rows, by the function that ``model.fit`` uses (a few scalars per feature)."""
+    consts = ML.fitted_constants(ml_clean(spark, sf), _BIN_NUMERIC)
+    return spark.createDataFrame([(f, *(round(v, 6) for v in t)) for f, t in consts.items()],
+                                 "feature string, median double, mean double, std_pop double")
 
 
 @register("ml9_fit_and_score")
 def ml9_fit_and_score(spark, sf):
     """ML1-ML9: stratified split, pipeline fit (C = 1.0), scores of the test rows."""
-    sp = stratified_split(ml_clean(spark, sf, persist=True), "target", 0.2, seed=42)
+    train, test, n, release = _split_rows(spark, sf)
+    try:
+        return ML.score(ML.fit(train, 1.0, rows=n, cached=True), test)
+    finally:
+        release()
+
+
+def _split_rows(spark, sf):
+    """Training rows, test rows, the number of training rows, and what releases the cached frame. The
+    model keeps its constants, so scores can be computed after the release."""
+    d = ml_clean(spark, sf).repartition(ML.fit_partitions(spark, 1, 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    sp = stratified_split(d, "target", 0.2, seed=42)
     train = sp.filter(~F.col("is_test"))
-    model = ML.fit(train, 1.0)
-    return ML.score(model, sp.filter(F.col("is_test")))
+    return train, sp.filter(F.col("is_test")), train.count(), d.unpersist
 
 
 @register("ml10_regularisation_sweep")
 def ml10_regularisation_sweep(spark, sf):
     """ML10: one model per C over one training split; exact AUC and accuracy per model."""
-    sp = stratified_split(ml_clean(spark, sf, persist=True), "target", 0.2, seed=42)
-    train, test = sp.filter(~F.col("is_test")), sp.filter(F.col("is_test"))
-    out = None
-    for c, model in ML.sweep(train, [1.0, 0.1]).items():
-        s = ML.score(model, test)
-        auc = M.roc_auc(s, "target", "score").select("roc_auc")
-        acc = M.accuracy(s, "target", "prediction").select("accuracy", "rows")
-        row = acc.select(F.lit(c).alias("regularization_c"), "accuracy", "rows").withColumn(
-            "roc_auc", auc.select(F.first("roc_auc")).scalar())
-        out = row if out is None else out.unionByName(row)
-    return out
+    train, test, n, release = _split_rows(spark, sf)
+    rows = []
+    try:
+        for c, model in ML.sweep(train, [1.0, 0.1], rows=n, cached=True).items():
+            s = ML.score(model, test)
+            acc = M.accuracy(s, "target", "prediction").first()
+            rows.append((c, acc["accuracy"], acc["rows"], M.roc_auc(s, "target", "score").first()["roc_auc"]))
+    finally:
+        release()
+    return spark.createDataFrame(rows, "regularization_c double, accuracy double, rows long, roc_auc double")
 
 
 @register("sc_scalar_helpers", with_loans("""SELECT id,
@@ -114,9 +114,7 @@ def sc16_histogram_edges(spark, sf):
     """SC16: evenly spaced edges over the data range (the range from one aggregation)."""
     df = loans_df(spark, sf)
     r = df.agg(F.min("loan_amnt").alias("lo"), F.max("loan_amnt").alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(30.0)
-    return r.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(30)),
-                                             lambda i: F.col("lo") + i * step)).alias("i", "edge")) \
+    return r.select(F.posexplode(linspace(F.col("lo"), F.col("hi"), 30)).alias("i", "edge")) \
         .select(F.col("i").cast("bigint").alias("i"), r6("edge").alias("edge"))
 
 
