@@ -138,17 +138,23 @@ def interest_rate_check(df: DataFrame, col: str = "int_rate") -> DataFrame:
 
 # --- DQ3 / DQ4: one shared scan ----------------------------------------------------------------
 
-def status_rate_scan(df: DataFrame, status_col: str = "loan_status", rate_col: str = "int_rate") -> DataFrame:
-    """SRC6: counts per status and the parsed rate range from one scan. The grouped partial
-    aggregate holds one row per status per task; the second level is a global merge."""
+OTHER_STATUSES = "other statuses"
+
+
+def status_rate_scan(df: DataFrame, status_col: str = "loan_status", rate_col: str = "int_rate",
+                     statuses: Sequence[str] = VALID_STATUSES) -> DataFrame:
+    """SRC6: counts of the named statuses (all others together) and the parsed rate range from one
+    scan: one row of fixed width per task and in the end, however many values a dirty column has."""
     rate = percent_lenient(rate_col)
-    g = df.groupBy(F.col(status_col).alias("status")).agg(
-        F.count(F.lit(1)).alias("cnt"), F.min(rate).alias("mn"), F.max(rate).alias("mx"))
-    return g.agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("status").isNotNull(),
-                                                 F.struct("status", "cnt")))).alias("counts"),
-        F.sum(F.when(F.col("status").isNotNull(), F.col("cnt"))).alias("n_status"),
-        F.min("mn").alias("min_rate"), F.max("mx").alias("max_rate"))
+    x = F.col(status_col)
+    names = list(dict.fromkeys([*statuses, *REQUIRED_STATUSES]))
+    g = df.agg(F.count(x).alias("n"), F.min(rate).alias("min_rate"), F.max(rate).alias("max_rate"),
+               *[F.count_if(x == s).alias(f"s{i}") for i, s in enumerate(names)])
+    known = [F.col(f"s{i}") for i in range(len(names))]
+    pairs = [v for s, k in zip(names, known) for v in (F.lit(s), k)]
+    every = F.create_map(*pairs, F.lit(OTHER_STATUSES), F.col("n") - sum(known[1:], known[0]))
+    return g.select(F.map_filter(every, lambda k, v: v > 0).alias("counts"),
+                    F.when(F.col("n") > 0, F.col("n")).alias("n_status"), "min_rate", "max_rate")
 
 
 def status_distribution_row(scan: DataFrame, required: Sequence[str] = REQUIRED_STATUSES) -> Column:
