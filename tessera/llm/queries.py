@@ -41,7 +41,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
-@register
+_LEAKS_SQL = r"""
+WITH low AS (SELECT row_number() OVER () AS r, doc_id AS id, text, 0 AS side FROM documents
+    UNION ALL SELECT row_number() OVER (), item_id, text, 1 FROM benchmark),
+w AS (SELECT r, id, side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+items AS (SELECT id, ws, least(len(ws), 10) AS m FROM w WHERE side = 1 AND len(ws) > 0),
+iw AS (SELECT DISTINCT id, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g
+    FROM (SELECT id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM items)),
+dw AS (SELECT r, i, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g
+    FROM (SELECT r, ws, m, unnest(range(1, greatest(len(ws) - m + 2, 1))) AS i
+          FROM w, (SELECT DISTINCT m FROM iw) WHERE side = 0)),
+occ AS (SELECT r, i, dw.m, id FROM dw JOIN iw ON dw.m = iw.m AND dw.g = iw.g),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM occ) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT r, CAST(id AS VARCHAR) AS id FROM occ WHERE id IS NOT NULL) GROUP BY r)
+SELECT w.id AS doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit ON hit.r = w.r LEFT JOIN named ON named.r = w.r WHERE side = 0"""
+
+
+@register(sql=_LEAKS_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of 10-word windows of the benchmark items."""
     from .decontaminate import decontaminate
@@ -75,7 +95,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@register
+_REPEATS_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT r, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS g
+    FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM w)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT r, i + j AS p FROM rep, range(0, 35) t(j)),
+words AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT words.r, count(*) AS n, string_agg(word, ' ' ORDER BY words.p) AS t
+    FROM words LEFT JOIN gone ON gone.r = words.r AND gone.p = words.p WHERE gone.p IS NULL GROUP BY words.r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)"""
+
+
+@register(sql=_REPEATS_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document outside word sequences of 35 that occur elsewhere."""
     from .substring_dedup import remove_repeats
