@@ -86,3 +86,12 @@ def test_flip_rate_strict_threshold(spark):
     df = spark.createDataFrame([(0, 1 if i < 15 else 0) for i in range(100)], "a int, b int")
     r = M.flip_rate(df, "a", "b", 15.0).first()
     assert r["change_pct"] == 15.0 and r["passed"] is False
+
+
+def test_p_values_of_published_large_samples(spark):
+    """Statistic, effective size and p-value of a published two-sample test (100,000 and 60,701 rows)."""
+    from tessera.operators.drift import ks_pvalue
+    for d, want in ((0.07248990461127863, 4.767747510233309e-173), (0.04640825647868996, 3.926036568760343e-71),
+                    (0.017480493418343013, 1.8628524086694412e-10)):
+        got = spark.range(1).select(ks_pvalue(F.lit(d), F.lit(100_000), F.lit(60_701)).alias("p")).first()["p"]
+        assert abs(got / want - 1) < 0.05

@@ -142,3 +142,64 @@ def test_drift_job(spark, trained):
     assert rep.count() == 8 and status.first()["overall_drift_status"] in ("DRIFT_DETECTED", "NO_DRIFT")
     _, skipped = J.drift_job(df, ORDER_KEY, chunk=50000)
     assert skipped.first()["overall_drift_status"] == "SKIPPED_TOO_SMALL"
+
+
+def test_each_guard_has_its_own_status(spark, trained):
+    df, reg, runs, *_ = trained
+    few = df.limit(10)
+    none = df.filter(F.col("loan_status") == "Default")
+    holes = df.withColumn("dti", F.when(F.col("id") % 50 == 0, F.col("dti")))
+    for data, want in ((none, J.STOPPED_EMPTY), (few, J.STOPPED_FEW), (holes, J.STOPPED_FEW_CLEAN)):
+        out = J.train_model(spark, data, reg, runs, "/tmp/unused-models", "V8_Guard", min_records=1000)
+        assert out["status"] == "failed" and out["training_status"] == want
+        logged = {r["key"]: r["text"] for r in REG.read_runs(spark, runs).filter(F.col("run_id") == out["run_id"]).collect()}
+        assert logged["training_status"] == want and logged["error_message"] == out["error"]
+
+
+def test_robustness_without_training_rows(spark, trained):
+    df, reg, runs, *_ = trained
+    res = J.robustness_job(spark, df.filter(F.col("loan_status") == "Current"), ORDER_KEY, reg, runs, "V1_Default", chunks=1, chunk=100).first()
+    assert res["status"] == J.ROBUSTNESS_EMPTY and res["passed"] is None
+
+
+def test_a_broken_arm_leaves_the_others(spark, trained):
+    df, reg, *_ = trained
+    REG.register_model(spark, reg, "V7_Broken", "file:/no/such/model", "r7", ["dti"], ["grade"])
+    rep = {r["model_version_name"]: r for r in J.ab_job(spark, df, ORDER_KEY, reg, ["V1_Default", "V7_Broken"], "t2", k=2, chunk=3000).collect()}
+    assert rep["V7_Broken"]["error"] and rep["V7_Broken"]["roc_auc"] is None
+    assert rep["V1_Default"]["error"] is None and 0.4 < rep["V1_Default"]["roc_auc"] < 1.0
+
+
+def test_a_scorer_that_fails_while_running_leaves_the_others(spark):
+    from tessera.operators.abtest import isolated_metrics
+    d = spark.range(0, 400).select("id", (F.col("id") % 2).cast("int").alias("target"))
+    good = lambda x: x.withColumn("score", F.rand(1))
+    bad = lambda x: x.withColumn("score", F.raise_error(F.lit("broken scorer")).cast("double"))
+    errors = {}
+    rows = isolated_metrics(d, [good, bad], ["a", "b"], errors).collect()
+    assert [r["arm"] for r in rows] == [0] and "broken scorer" in errors["b"]
+
+
+def test_constants_are_those_of_the_imputed_values(spark):
+    vals = [1.0, 2.0, 3.0, 10.0, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    median, mean, std = ML.fitted_constants(df, ["x"])["x"]
+    full = np.array([1.0, 2.0, 3.0, 10.0, 2.5, 2.5])
+    assert median == 2.5 and mean == pytest.approx(full.mean()) and std == pytest.approx(full.std())
+
+
+def test_sweep_equals_single_fits(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(a), "u" if a > 0 else "v", int(a + rng.normal() > 0)) for i, a in enumerate(rng.normal(size=600))]
+    df = spark.createDataFrame(rows, "id long, a double, g string, target int")
+    models = ML.sweep(df, [1.0, 0.01], numeric=["a"], categorical=["g"])
+    for c, m in models.items():
+        want, icpt = ML.coefficients(ML.fit(df, c, numeric=["a"], categorical=["g"]))
+        got, i2 = ML.coefficients(m)
+        assert got == pytest.approx(want, abs=1e-6) and i2 == pytest.approx(icpt, abs=1e-6)
+
+
+def test_fit_partitions_follow_the_size(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert ML.fit_partitions(spark, 100, 20) == cores
+    assert ML.fit_partitions(spark, 10 ** 9, 20) >= 10 ** 9 * 20 * ML.ROW_BYTES_PER_COLUMN // ML.TARGET_PARTITION_BYTES

@@ -127,3 +127,15 @@ def test_split_extreme_fractions_and_tiny_classes(spark):
     assert allrows.filter("is_test").count() == 40
     r = S.random_split(df, 0.5, seed=9)
     assert r.filter("is_test").count() == 20 and r.count() == 40
+
+
+def test_split_refuses_repeated_ids_at_the_split_point(spark):
+    df = spark.createDataFrame([(1, 0)] * 10, "id long, target int")
+    with pytest.raises(ValueError, match="repeat"):
+        S.random_split(df, 0.5)
+
+
+def test_null_labels_are_a_class(spark):
+    df = spark.range(0, 300).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 3).alias("y"))
+    sizes = {r["y"]: r["n"] for r in S.stratified_split(df, "y", 0.2).filter("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {None: 20, 1: 20, 2: 20}
