@@ -37,15 +37,16 @@ class BlankCachedEncoder:
     """Token ids of a text, as little-endian unsigned 32-bit bytes.
 
     The tokenizer never joins anything across a space, so a text's ids are those of its
-    space-separated chunks in order; chunks and their pre-tokens are looked up in two caches of
-    bounded size. Chunks with control characters or characters from U+0130 up (combining marks
+    space-separated chunks in order. Chunks and their pre-tokens are kept in a cache of two
+    generations, ``keep`` entries each: a full young one becomes the old one, and what is found
+    there moves back. Chunks with control characters or characters from U+0130 up (combining marks
     among them), and chunks that may hold a special token, go through the whole tokenizer.
     """
 
     #: Pre-token pattern of the tokenizer file; fixed by that file.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, chunks: int = 800_000, pieces: int = 800_000):
+    def __init__(self, path: str, keep: int = 300_000):
         import re
 
         import regex
@@ -54,25 +55,26 @@ class BlankCachedEncoder:
         self.split = regex.compile(self.PATTERN).findall
         self.whole = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\u0130-\U0010ffff]|<\\|").search
         self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.max_chunks, self.max_pieces = chunks, pieces
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.keep = keep
 
-    def _piece(self, p: str) -> bytes:
+    def _model(self, p: str) -> bytes:
         """Ids of one pre-token."""
-        got = self.pieces.get(p)
+        ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else self.to_bytes(p)[0][0])]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, p: str) -> bytes:
+        """Ids of one pre-token, which as a chunk of its own has the same ids."""
+        got = self.young.get(p) or self.old.get(p)
         if got is None:
-            ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else self.to_bytes(p)[0][0])]
-            got = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) >= self.max_pieces:
-                self.pieces.clear()
-            self.pieces[p] = got
+            got = self.young[p] = self._model(p)
         return got
 
     def _chunk(self, c: str) -> bytes:
         """Ids of a lower-cased chunk without special characters; mostly a word and a mark."""
         if c.isalpha():
-            return self._piece(c)
+            return self._model(c)
         if c[:-1].isalpha() and c[-1] in ".,;:!?":
             return self._piece(c[:-1]) + self._piece(c[-1])
         return b"".join(map(self._piece, self.split(c)))
@@ -88,19 +90,23 @@ class BlankCachedEncoder:
         return self._words(text.lower().split(" "))
 
     def _words(self, words: list[str]) -> bytes:
-        known = self.chunks
         try:
-            return b"".join(map(known.__getitem__, words))
+            return b"".join(map(self.young.__getitem__, words))
         except KeyError:
             pass
-        rare: dict[str, bytes] = {}  # long chunks are not worth keeping
-        for w in set(words).difference(known):
-            if len(known) >= self.max_chunks:
-                known.clear()
-            known[w] = self._chunk(w)
-            if len(w) > 64:
-                rare[w] = known.pop(w)
-        return b"".join([known[w] if w in known else rare[w] if w in rare else self._chunk(w) for w in words])
+        new = set(words).difference(self.young)
+        if len(self.young) + len(new) > self.keep and self.young:
+            self.old, self.young = self.young, {}
+            new = set(words)
+        young, old = self.young, self.old
+        for w in new:
+            got = old.get(w)
+            young[w] = self._chunk(w) if got is None else got
+        out = b"".join(map(young.__getitem__, words))
+        for w in new:
+            if len(w) > 64:  # long chunks are not worth keeping
+                del young[w]
+        return out
 
 
 _ENCODERS: dict[str, BlankCachedEncoder] = {}

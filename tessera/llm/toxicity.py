@@ -67,6 +67,18 @@ def stems(texts: list[str], chosen: np.ndarray | None = None) -> tuple[np.ndarra
     return of, key & ((1 << BUCKET_BITS) - 1), np.sqrt(count / words[of])
 
 
+def _slices(texts: list) -> Iterator[tuple[int, int]]:
+    """Ranges of about a megabyte of text, so that the arrays of a batch stay small."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < 1 << 20):
+            size += len(texts[to] or "")
+            to += 1
+        yield at, to
+        at = to
+
+
 def swap_terms(groups=IDENTITY_TERMS) -> Callable[[str], str]:
     """The function that replaces every identity term of a text by the next one of its group."""
     to = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
@@ -91,15 +103,9 @@ class ToxicityModel:
 
     def _scores(self, texts, chosen) -> np.ndarray:
         total = np.full(len(texts), self.bias)
-        at = 0
-        while at < len(texts):  # about a megabyte of text at a time
-            to, size = at, 0
-            while to < len(texts) and (to == at or size < 1 << 20):
-                size += len(texts[to] or "")
-                to += 1
+        for at, to in _slices(texts):
             doc, bucket, value = stems([t or "" for t in texts[at:to]], chosen)
             total[at:to] += np.bincount(doc, self.weights[np.searchsorted(self.buckets, bucket)] * value, to - at)
-            at = to
         return 1 / (1 + np.exp(-total))
 
 
@@ -167,13 +173,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", f
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, y = b.column(0).to_pylist(), b.column(1).to_numpy()
-            doc, bucket, value = stems(texts)
-            ids, where = np.unique(bucket, return_inverse=True)
-            one = y[doc] == 1
-            sums = [np.bincount(where, x, len(ids)) for x in (one * value, ~one * value, one * value ** 2, ~one * value ** 2)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, np.bincount(where), *sums)],
-                                             names=["bucket", "n", "a", "b", "aa", "bb"])
+            texts, labels = b.column(0).to_pylist(), b.column(1).to_numpy()
+            for at, to in _slices(texts):
+                doc, bucket, value = stems(texts[at:to])
+                ids, where = np.unique(bucket, return_inverse=True)
+                one = labels[at:to][doc] == 1
+                sums = [np.bincount(where, x, len(ids)) for x in (one * value, ~one * value, one * value ** 2, ~one * value ** 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, np.bincount(where, minlength=len(ids)), *sums)],
+                                                 names=["bucket", "n", "a", "b", "aa", "bb"])
 
     by_class = (sample.select("text", "label")
                 .mapInArrow(count, "bucket long, n long, a double, b double, aa double, bb double")
@@ -194,8 +201,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", f
             return [(f.tolist(), v.tolist()) for f, v in zip(np.split(np.searchsorted(buckets, bucket), cut), np.split(value, cut))]
 
         def rows():
-            for batch in batches:
-                texts, y = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for texts, y in ((t[at:to], y[at:to]) for b in batches for t, y in [[c.to_pylist() for c in b.columns[:2]]]
+                             for at, to in _slices(t)):
                 twins = [swap(t) for t in texts]
                 changed = [i for i, t in enumerate(twins) if t != texts[i]]
                 twin = dict(zip(changed, features([twins[i] for i in changed]))) if changed else {}

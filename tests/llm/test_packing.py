@@ -25,7 +25,7 @@ def test_edge_cases(spark):
 
 
 def test_encoder_equals_the_tokenizer(texts):
-    enc, tok = P.BlankCachedEncoder(P.tokenizer_path(), chunks=50, pieces=50), Tokenizer.from_file(P.tokenizer_path())
+    enc, tok = P.BlankCachedEncoder(P.tokenizer_path(), keep=50), Tokenizer.from_file(P.tokenizer_path())
     rng = random.Random(1)
     letters = "aAéÉß'sStTdDlL 1²½\t\n\r\x0b.,!#<|>\x7f\x85\xa0\xad\x00\x1cÿÀİł́Σς "
     odd = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
