@@ -33,12 +33,26 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Cache(dict):
+    """Makes what it does not hold; keeps short keys up to a limit."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.make(key)
+        if len(key) <= 64 and len(self) < self.limit:
+            self[key] = got
+        return got
+
+
 class BlankCachedEncoder:
     """Token ids of a text, as little-endian unsigned 32-bit bytes.
 
     The tokenizer never joins anything across a space, so a text's ids are those of its
     space-separated chunks in order. Chunks and their pre-tokens are kept in a cache of two
-    generations, ``keep`` entries each: a full young one becomes the old one, and what is found
+    generations of about ``keep`` entries: a full young one becomes the old one, and what is found
     there moves back. Chunks with control characters or characters from U+0130 up (combining marks
     among them), and chunks that may hold a special token, go through the whole tokenizer.
     """
@@ -55,29 +69,25 @@ class BlankCachedEncoder:
         self.split = regex.compile(self.PATTERN).findall
         self.whole = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\u0130-\U0010ffff]|<\\|").search
         self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.keep = keep
+        self.young, self.old, self.keep = _Cache(self._made, 2 * keep), {}, keep
 
     def _model(self, p: str) -> bytes:
         """Ids of one pre-token."""
         ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else self.to_bytes(p)[0][0])]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, p: str) -> bytes:
-        """Ids of one pre-token, which as a chunk of its own has the same ids."""
-        got = self.young.get(p) or self.old.get(p)
-        if got is None:
-            got = self.young[p] = self._model(p)
-        return got
-
-    def _chunk(self, c: str) -> bytes:
-        """Ids of a lower-cased chunk without special characters; mostly a word and a mark."""
+    def _made(self, c: str) -> bytes:
+        """Ids of a lower-cased chunk without special characters; mostly a word and a mark. A pre-token
+        has the same ids as a chunk of its own."""
+        got = self.old.get(c)
+        if got is not None:
+            return got
         if c.isalpha():
             return self._model(c)
         if c[:-1].isalpha() and c[-1] in ".,;:!?":
-            return self._piece(c[:-1]) + self._piece(c[-1])
-        return b"".join(map(self._piece, self.split(c)))
+            return self.young[c[:-1]] + self.young[c[-1]]
+        pieces = self.split(c)
+        return self._model(c) if pieces == [c] else b"".join(map(self.young.__getitem__, pieces))
 
     def _through(self, text: str) -> bytes:
         """Ids by the whole tokenizer."""
@@ -90,23 +100,9 @@ class BlankCachedEncoder:
         return self._words(text.lower().split(" "))
 
     def _words(self, words: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.young.__getitem__, words))
-        except KeyError:
-            pass
-        new = set(words).difference(self.young)
-        if len(self.young) + len(new) > self.keep and self.young:
-            self.old, self.young = self.young, {}
-            new = set(words)
-        young, old = self.young, self.old
-        for w in new:
-            got = old.get(w)
-            young[w] = self._chunk(w) if got is None else got
-        out = b"".join(map(young.__getitem__, words))
-        for w in new:
-            if len(w) > 64:  # long chunks are not worth keeping
-                del young[w]
-        return out
+        if len(self.young) >= self.keep:
+            self.old, self.young = self.young, _Cache(self._made, 2 * self.keep)
+        return b"".join(map(self.young.__getitem__, words))
 
 
 _ENCODERS: dict[str, BlankCachedEncoder] = {}
