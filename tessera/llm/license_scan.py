@@ -9,9 +9,9 @@ Band settings: a copy that holds 0.8 of a template lies in some window that is o
 sixteenth; its Jaccard similarity with the template is then 0.6 or more, and 20 bands of 2 minima
 collide with probability 1 - (1 - 0.6**2)**20, which is over 0.9998.
 
-Two exact shortcuts keep the work small. A text that holds 0.8 of a template's shingles holds one of
-any set of more than a fifth of them; each template has a few long words (needles) that cover such a
-set, and texts without any of them are not windowed. The templates are a parameter of bounded
+Two exact shortcuts keep the work small. A text that is reported holds at least ``k`` of a template's
+shingles, counted in whole numbers; each template has a few long words (needles) that touch all but
+fewer than ``k`` of them, and texts without any of them are not windowed. The templates are a parameter of bounded
 size (``MAX_TEMPLATES``), so their signatures are constants of the plan.
 """
 
@@ -55,12 +55,14 @@ def _windows(hashes: str, m: int) -> str:
 
 
 def needles(text: str) -> list[str]:
-    """Words that together touch over a fifth of the template's distinct shingles, longest first."""
+    """Words, longest first, that leave fewer of the template's distinct shingles untouched than a reported
+    document holds: every reported document has one of them."""
     words = re.findall("[a-z0-9]+", text.lower())
     grams = {tuple(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    least = next((k for k in range(len(grams) + 1) if grams and k / len(grams) >= CONTAINMENT), 0)
     out, left = [], set(grams)
     for w in sorted(set(words), key=lambda w: (-len(w), w)):
-        if len(grams) - len(left) > (1 - CONTAINMENT) * len(grams):
+        if len(left) < least or not left:
             break
         out.append(w)
         left = {g for g in left if w not in g}

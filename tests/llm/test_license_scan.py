@@ -46,6 +46,19 @@ def test_needles_cover_over_a_fifth():
         assert sum(any(n in x for n in needles(t)) for x in g) > (1 - CONTAINMENT) * len(g)
 
 
+def test_needles_leave_less_than_a_reported_share():
+    for _, t in TEMPLATES:
+        g = grams(t)
+        assert sum(not any(n in x for n in needles(t)) for x in g) / len(g) < CONTAINMENT
+
+
+def test_exactly_a_fifth_is_missing(spark):
+    line = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License."
+    rows = [(1, line), (2, "alpha beta " * 50 + line + " gamma" * 50), (3, line.replace("Attribution", ""))]
+    got = {r.doc_id: {x.id for x in r.licenses} for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: brute(t) for d, t in rows} and got[1] == got[2] == {"cc-by-sa-4.0"}
+
+
 def test_edge_cases(spark):
     line = "Released under the MIT License."
     rows = [Row(1, None, "x", 1), Row(1, "", "x", 1), Row(None, line, "x", 1), Row(2, line, "x", 1), Row(2, line, "x", 1),
