@@ -28,7 +28,10 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
+# The closing dashes of a line can be the opening dashes of the next one.
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*)(?=-----)")
+# Line ends as they stand and as a string literal (JSON, once or more) writes them.
+_LINE_END = re.compile(r"\\+r\\+n|\\+[nr]|\r\n?")
 # A base64 run of a byte string that starts with a SEQUENCE tag (0x30) starts with M and one of A-P.
 _DER64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{30,}={0,2}")
 _DER16 = re.compile(r"(?<![0-9A-Fa-f])30(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
@@ -134,6 +137,22 @@ def is_signed_token(run: str) -> bool:
     return not signature if made[0]["alg"].lower() == "none" else len(_from64(signature) or b"") >= 16
 
 
+def _armoured(text: str) -> list[tuple[str, int, int]]:
+    """(body, start, end) from the last BEGIN line before an END line of the same private key type to that
+    END line; line ends and slashes of the body are unescaped."""
+    out, begin, done = [], None, 0
+    for m in _ARMOUR.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin and m[2] == begin[2]:
+            if m[2].endswith("PRIVATE KEY"):
+                body = _LINE_END.sub("\n", text[begin.end() + 5:m.start()])
+                out.append((re.sub(r"\\+/", "/", body), max(done, begin.start()), m.end() + 5))
+                done = m.end() + 5
+            begin = None
+    return out
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans of one text as (kind, start, end) in code points, by start and kind."""
     out = []
@@ -143,11 +162,11 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         out += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            body = m[2].split("\n\n")[-1] if "Proc-Type:" in m[2] else m[2]
+        for whole, a, b in _armoured(text):
+            body = whole.rstrip("\n").split("\n\n")[-1] if "Proc-Type:" in whole else whole
             data = _from64("".join(body.split()))
-            if is_private_key(data) or is_ssh_private_key(data) or "ENCRYPTED" in m[2] and data and len(data) % 8 == 0:
-                out.append(("pem", m.start(), m.end()))
+            if is_private_key(data) or is_ssh_private_key(data) or "ENCRYPTED" in whole and data and len(data) % 8 == 0:
+                out.append(("pem", a, b))
     out += [("der", m.start(), m.end()) for m in _DER64.finditer(text) if is_private_key(_from64(m[0]))]
     out += [("der", m.start(), m.end()) for m in _DER16.finditer(text) if is_private_key(bytes.fromhex(m[0]))]
     out += [("ssh", m.start(), m.end()) for m in _SSH64.finditer(text) if is_ssh_private_key(_from64(m[0]))]
