@@ -3,12 +3,15 @@
 The markup is read into a tree (implied start and end tags, void elements, raw text), invisible
 parts are left out, and the rest is laid out as text: block elements on lines of their own with a
 blank line where a page shows a margin, list items with their marks and indents, table cells in
-columns of equal width, preformatted text as it stands, and other white space collapsed.
+columns of equal width, preformatted text as it stands, and other white space collapsed. Elements may
+be open to any depth: places of open tags are indexed, and the tree is rendered with a stack of its own.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -33,10 +36,12 @@ ENDS |= {g: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"
 #: An open paragraph ends where one of these starts.
 _ENDS_P = BLOCK - {"body", "html", "option", "optgroup", "caption", "legend", "summary", "tr"}
 _IN_HEAD = frozenset("base head html link meta noscript script style template title".split())
+_CELLS = frozenset(("table", "td", "th"))
+#: End tags that reach out of a cell.
+_REACH = _GROUPS | {"table", "tr", "body"}
 _SCOPE = frozenset("table td th caption button object template".split())
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-MAX_DEPTH = 150
 
 
 class Node:
@@ -51,19 +56,22 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of each tag above the root, outermost first
+
+    def _last(self, tags) -> int:
+        """The place of the innermost open element of ``tags``, 0 if there is none."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=0)
+
+    def _cut(self, i: int) -> None:
+        """Pop the open elements from place ``i`` on."""
+        while len(self.open) > i:
+            self.places[self.open.pop().tag].pop()
 
     def _close(self, tags, boundary) -> None:
         """Pop the open elements down to the outermost one of ``tags`` above the boundary."""
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in tags:
-                cut = i
-                while cut > 1 and self.open[cut - 1].tag in tags:
-                    cut -= 1
-                del self.open[cut:]
-                return self._close(tags, boundary)
-            if tag in boundary:
-                return None
+        edge = self._last(boundary)
+        while (i := self._last(tags)) > edge:
+            self._cut(i)
 
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in reversed(attrs)}
@@ -71,10 +79,10 @@ class _Builder(HTMLParser):
             self.root.attrs = attrs | self.root.attrs
             return
         if self.open[-1].tag == "head" and tag not in _IN_HEAD:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         if tag in ENDS:
             self._close(*ENDS[tag])
-        if tag in _ENDS_P and any(n.tag == "p" for n in self.open):
+        if tag in _ENDS_P and self.places.get("p"):
             self._close({"p"}, _SCOPE)
         top = self.open[-1].tag
         if tag in ("td", "th") and top in (_GROUPS | {"table"}):  # the row is implied
@@ -87,8 +95,8 @@ class _Builder(HTMLParser):
 
     def _push(self, node):
         self.open[-1].children.append(node)
-        if len(self.open) < MAX_DEPTH:  # deeper elements lie side by side
-            self.open.append(node)
+        self.places[node.tag].append(len(self.open))
+        self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # a slash closes nothing in HTML
@@ -97,19 +105,15 @@ class _Builder(HTMLParser):
         if tag == "br":
             self.handle_starttag("br", [])
             return
-        if tag == "p" and not any(n.tag == "p" for n in self.open):
+        i = self._last((tag,))
+        if tag == "p" and not i:
             self.open[-1].children.append(Node("p", {}))
-            return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body"):
-                return  # a stray end tag does not reach out of its cell
+        elif i and (tag in _REACH or i >= self._last(_CELLS)):  # other stray end tags do not reach out of a cell
+            self._cut(i)
 
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         self.open[-1].children.append(data)
 
 
@@ -189,21 +193,21 @@ def _span(cell: Node) -> int:
     return min(100, max(1, int(n))) if n.isascii() and n.isdigit() else 1
 
 
-def _table(table: Node, out: _Layout) -> None:
-    """Captions and stray content as blocks, then the cells in columns of equal width."""
+def _table(table: Node, out: _Layout) -> Iterator[Iterator]:
+    """Captions and stray content as blocks, then the cells in columns of equal width (steps as in ``_render``)."""
     rows = _rows(table)
     inside = {id(r) for r in rows}
     for c in table.children:
         if isinstance(c, str):
             out.text(c)
         elif c.tag not in _GROUPS and id(c) not in inside:
-            _render(c, out, False)
+            yield _render(c, out, False)
         elif c.tag in _GROUPS and visible(c):
             for x in c.children:
                 if isinstance(x, str):
                     out.text(x)
                 elif x.tag != "tr":
-                    _render(x, out, False)
+                    yield _render(x, out, False)
     grid, widths = [], []
     for r in rows:
         cells, column = [], 0
@@ -213,7 +217,9 @@ def _table(table: Node, out: _Layout) -> None:
                     cells.append((column, 1, [" ".join(c.split())]))
                     column += 1
             elif visible(c):
-                lines = render_node(c).split("\n")
+                cell = _Layout()
+                yield _render(c, cell, False)
+                lines = cell.done().split("\n")
                 span = _span(c) if c.tag in ("td", "th") else 1
                 cells.append((column, span, lines))
                 column += span
@@ -238,16 +244,19 @@ def _table(table: Node, out: _Layout) -> None:
             out.block(False)
 
 
-def _render(node: Node, out: _Layout, pre: bool) -> None:
+def _render(node: Node, out: _Layout, pre: bool) -> Iterator[Iterator]:
+    """Lay a node out; yields the steps of its descendants, each to be finished before this one goes on."""
     if not visible(node):
         return
     tag = node.tag
     if tag == "br":
-        return out.br()
+        out.br()
+        return
     if tag == "table":
         out.block(True)
-        _table(node, out)
-        return out.block(True)
+        yield _table(node, out)
+        out.block(True)
+        return
     if tag in ("td", "th"):
         out.gap = True
     kept = out.indent
@@ -277,10 +286,10 @@ def _render(node: Node, out: _Layout, pre: bool) -> None:
             held = out.indent
             out.block(False)
             out.indent, out.mark = held + " " * len(mark), mark
-            _render(c, out, pre)
+            yield _render(c, out, pre)
             out.indent, out.mark = held, ""
         else:
-            _render(c, out, pre)
+            yield _render(c, out, pre)
     out.indent = kept
     if tag in BLOCK:
         out.block(tag in SPACED and not nested)
@@ -290,7 +299,13 @@ def _render(node: Node, out: _Layout, pre: bool) -> None:
 
 def render_node(node: Node) -> str:
     out = _Layout()
-    _render(node, out, False)
+    steps = [_render(node, out, False)]
+    while steps:
+        inner = next(steps[-1], None)
+        if inner is None:
+            steps.pop()
+        else:
+            steps.append(inner)
     return out.done()
 
 
@@ -306,8 +321,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """One row per row of ``pages``: the id and ``text``.
 
     Null markup gives null, empty markup an empty text, text without tags itself with white space
-    collapsed. Unclosed, stray and deeply nested tags are repaired as far as a browser would show
-    their text; elements deeper than ``MAX_DEPTH`` lie side by side. Null ids and repeated rows stay
+    collapsed. Unclosed and stray tags are repaired as far as a browser would show their text, at any
+    depth; the text of nested lists grows with their indents. Null ids and repeated rows stay
     rows of their own; pages are read whole; an empty table gives no rows; other columns are ignored.
     """
     def start():

@@ -41,6 +41,26 @@ def test_deep_and_broken_markup():
         page_text(junk)
 
 
+DEEP = [
+    ("a<script>x</script><style>y</style><template>z</template><p hidden>h</p><p style='display:none'>i<b>j</b></p>b", "ab"),
+    ("<table><tr><th>n<th>long name<tr><td>wide cell<td>2</table>", "n          long name\nwide cell  2"),
+    ("<ul><li>a<li>b<ul><li>c</li></ul></ul>d", "- a\n- b\n  - c\n\nd"),
+    ("<div>a<div>b</div>c</div>d", "a\nb\nc\nd"), ("<details><summary>s</summary>x</details>y", "s\ny"),
+]
+
+
+@pytest.mark.parametrize("markup,want", DEEP)
+@pytest.mark.parametrize("depth", [0, 149, 200, 20_000])
+def test_layout_below_unclosed_inline_tags(markup, want, depth):
+    assert page_text("<span>" * depth + markup) == page_text("<font><b>" * depth + markup) == page_text(markup)
+    assert page_text(markup).split() == want.split() or "<p hidden>" in markup and page_text(markup).split() == ["a", "b"]
+
+
+def test_an_end_tag_closes_its_own_element_at_any_depth():
+    assert page_text("<div hidden>" + "<b>" * 300 + "<div>x</div>y</div>z") == "z"
+    assert page_text("<pre>" + "<i>" * 300 + "<div> a  b</div>  c</pre>d  e") == " a  b\n  c\n\nd e"
+
+
 def test_every_visible_word_of_the_pages(spark, sf001):
     pages = spark.read.parquet(f"{sf001}/pages.parquet")
     raw = {r.page_id: r.html for r in pages.select("page_id", "html").collect()}
