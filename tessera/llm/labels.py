@@ -17,6 +17,17 @@ def held_out(id_col: str, folds: int, fold_out: int) -> Column:
     return F.coalesce(fold(id_col, folds) == fold_out, F.lit(False))
 
 
+def labels_outside(labels: DataFrame, label_col: str, folds: int, fold_out: int, id_col: str = "doc_id") -> DataFrame:
+    """``(id, label)`` rows outside the held-out fold. Labels other than 0 and 1 and null ids do not count."""
+    lab = labels.select(_q(id_col).alias("id"), _q(label_col).cast("int").alias("label"))
+    return lab.where(F.col("label").isin(0, 1) & F.col("id").isNotNull()).where(fold("id", folds) != fold_out)
+
+
+def largest(lab: DataFrame) -> DataFrame:
+    """One label for each id, the largest."""
+    return lab.groupBy("id").agg(F.max("label").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, fold_out: int, max_rows: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, text, label)`` of labelled documents outside the held-out fold; about ``max_rows``
@@ -25,10 +36,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
     Labels other than 0 and 1 and null ids do not count; several labels of one id count as the
     largest. The sample of ids is broadcast: its expected size is the bound ``max_rows``.
     """
-    lab = (labels.select(_q(id_col).alias("id"), _q(label_col).cast("int").alias("label"))
-           .where(F.col("label").isin(0, 1) & F.col("id").isNotNull()).where(fold("id", folds) != fold_out))
+    lab = labels_outside(labels, label_col, folds, fold_out, id_col)
     n = lab.count()
     share = max(1, min(1_000_000, int(1_000_000 * max_rows / max(n, 1))))
-    lab = lab.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share).groupBy("id").agg(F.max("label").alias("label"))
+    lab = largest(lab.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share))
     texts = docs.select(_q(id_col).alias("id"), _q(text_col).alias("text"))
     return texts.join(F.broadcast(lab), "id").where("text is not null")

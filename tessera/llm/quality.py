@@ -6,13 +6,16 @@ of their scores, a linear function of the feature difference. Weights minimise t
 over the pairs. The decision threshold is a quantile of the labelled texts' scores: the share of
 label 0 among them; scores are then mapped to 0..1 so that the threshold falls on ``THRESHOLD``.
 
-The fit uses a bounded sample of labelled rows (``max_rows``) and a bounded number of pairs; scoring
-reads every text whole, in one pass without a shuffle.
+The weights come from a bounded sample of labelled rows (``max_rows``) and a bounded number of pairs.
+The threshold and the spread of the scores come from all labelled rows outside the held-out fold: one
+pass over the texts makes a number per row, and only numbers are shuffled. Scoring reads every text
+whole, in one more pass without a shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from fractions import Fraction
 from operator import eq
 
 import numpy as np
@@ -20,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.profile import percentiles
+from ..session import checkpoint_dir
 from .common import _q, byte_table, map_texts
-from .labels import held_out, labelled_sample
+from .labels import fold, held_out, labelled_sample, labels_outside, largest
 from .toxicity import score_column
 
 THRESHOLD = 0.3
@@ -73,9 +78,11 @@ class QualityModel:
         """Bradley-Terry scores of feature rows."""
         return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights
 
+    def ranks(self, texts: list) -> np.ndarray:
+        return self.rank(np.array([features(t) for t in texts]).reshape(len(texts), N_FEATURES))
+
     def scores(self, texts: list) -> np.ndarray:
-        x = np.array([features(t) for t in texts]).reshape(len(texts), N_FEATURES)
-        z = self.slope * (self.rank(x) - self.cutoff) + np.log(THRESHOLD / (1 - THRESHOLD))
+        z = self.slope * (self.ranks(texts) - self.cutoff) + np.log(THRESHOLD / (1 - THRESHOLD))
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -116,8 +123,8 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, max_pairs: int = 40_000, l2: float =
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5, fold_out: int = 0,
                 id_col: str = "doc_id", text_col: str = "text", max_rows: int = 10_000) -> QualityModel:
-    """A model from at most about ``max_rows`` labelled texts outside the held-out fold; their
-    feature rows (a few hundred bytes each) are gathered on the driver."""
+    """A model with the weights of at most about ``max_rows`` labelled texts outside the held-out fold, whose
+    feature rows (a few hundred bytes each) are gathered on the driver, and the cutoff and slope of all."""
     sample = labelled_sample(docs, labels, label_col, folds, fold_out, max_rows, id_col, text_col)
 
     def start():
@@ -126,7 +133,29 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     got = rows.toArrow().sort_by("id")
     x = np.array(got.column("x").to_pylist()).reshape(got.num_rows, N_FEATURES)
     order = np.lexsort(x.T[::-1]) if len(x) else np.zeros(0, int)  # the same whatever the order of rows
-    return fit_pairs(x[order], got.column("label").to_numpy()[order])
+    model = fit_pairs(x[order], got.column("label").to_numpy()[order])
+    return calibrated(model, docs, labels, label_col, folds, fold_out, id_col, text_col) if model.weights.any() else model
+
+
+def calibrated(model: QualityModel, docs: DataFrame, labels: DataFrame, label_col: str, folds: int, fold_out: int,
+               id_col: str, text_col: str) -> QualityModel:
+    """The model with cutoff and slope from the scores of all labelled texts outside the held-out fold."""
+    checkpoint_dir(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        m = shared.value
+        return lambda texts: {"rank": m.ranks(texts).tolist()}
+    src = docs.select(_q(id_col).alias("id"), _q(text_col).alias("text")).where("id is not null and text is not null")
+    ranks = map_texts(src.where(fold("id", folds) != fold_out), "text", ["id"],
+                      T.StructType([T.StructField("rank", T.DoubleType())]), start)
+    rows = ranks.join(largest(labels_outside(labels, label_col, folds, fold_out, id_col)), "id").select("label", "rank").checkpoint()
+    exact = lambda c: F.sum(c.cast("decimal(38,12)"))  # noqa: E731  (the same whatever the order of rows)
+    n, bad, total, squares = rows.agg(F.count("*"), F.count_if(F.col("label") == 0), exact(F.col("rank")),
+                                      exact(F.col("rank") * F.col("rank"))).first()
+    spread = float(max(Fraction(0), Fraction(squares) / n - (Fraction(total) / n) ** 2)) ** 0.5
+    cutoff = percentiles(rows.select("rank"), ["rank"], [bad / n]).first()["value"]
+    return replace(model, cutoff=float(cutoff), slope=3 / (spread + 1e-9))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5, fold_out: int = 0,

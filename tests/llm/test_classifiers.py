@@ -85,6 +85,22 @@ def test_swap_keeps_everything_else():
     assert X.swap_terms(())("women") == "women"
 
 
+def test_quality_threshold_is_of_all_labelled_rows(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["fine", "words", "HERE", "12", "#!", "of", "it."], int(rng.integers(1, 40)))) for _ in range(900)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, "once more"), (8, None), (None, "fine words")]
+    lab = [(i, int(len(texts[i]) + rng.normal() * 20 > 70)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([*lab, (7, 1), (850, 2), (None, 1)], "doc_id long, quality int")
+    m = Q.fit_quality(docs, labels, max_rows=60)
+    of = dict(lab) | {7: 1}
+    kept = [(t, of[i]) for i, t in rows if i in of and t is not None and zlib.crc32(str(i).encode()) % 5 != 0]
+    s, y = m.ranks([t for t, _ in kept]), np.array([v for _, v in kept])
+    assert m.weights.any() and len(kept) > 500
+    assert m.cutoff == pytest.approx(np.quantile(s, np.mean(y == 0)), abs=1e-9)
+    assert m.slope == pytest.approx(3 / s.std(), rel=1e-6)
+
+
 def test_pairs_rank_by_the_telling_feature():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, Q.N_FEATURES))
