@@ -156,3 +156,12 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visible text of every page."""
     from .html_text import extract_text
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@register
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, with corpus-wide counts of the links."""
+    from .alignment import align_documents
+    out = align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
