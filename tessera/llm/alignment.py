@@ -15,13 +15,12 @@ number of documents that hold it linked.
    pairs have small counts, so no key of the join is hot.
 
 Neither tokenizer joins anything across a single space between two other characters, so a text is
-aligned chunk by chunk and chunks are cached; the vocabulary is checked for that on loading.
+aligned chunk by chunk and chunks are kept; the vocabulary is checked for that on loading.
 """
 
 from __future__ import annotations
 
 import json
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +34,13 @@ from .common import _q, map_arrow, numbered, rows_out
 from .mphash import PerfectHash, build, pack, place_of, shards_for, unpack
 
 MAX_TABLE = 4_000_000
-#: Pairs that a task sums before it writes them out.
-TASK_PAIRS = 1 << 19
+#: Pairs and chunks that a worker holds; beyond, sums are written out and the least used chunks forgotten.
+TASK_PAIRS = 1 << 20
+CACHE_CHUNKS = 300_000
+#: Characters that are aligned at a time.
+BATCH_CHARS = 1 << 20
 #: Tasks, or vectors, that are added at a time.
 FAN = 64
-CACHE_CHUNKS = 60_000
 
 #: Pre-token pattern of the byte-level tokenizer; fixed by its kind.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -58,10 +59,28 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Aligner:
-    """Aligned chunks of text: ``chunk(c)`` is ``(n_a, n_b, n_groups, groups, codes)`` of a chunk with a
-    space before it, or None if the tokens' bytes are not the chunk's. A code is the A id times 2**32
-    plus the B id, one for each link."""
+class _Numbers(dict):
+    """Numbers a chunk that it does not hold and lists it as new. A piece with white space at an end, or
+    none at all, is not one that the cut makes: -1."""
+
+    new: list[str]
+    next: int
+
+    def __missing__(self, c: str) -> int:
+        if not c or c[0].isspace() or c[-1].isspace():
+            self[c] = -1
+            return -1
+        n = self[c] = self.next + len(self.new)
+        self.new.append(c)
+        return n
+
+
+class Chunks:
+    """Aligned chunks of text, by number. A chunk stands for its text with a space before it.
+
+    ``n_a``, ``n_b``, ``n_groups`` and ``groups`` hold a chunk's figures (``bad``: its tokens' bytes are not
+    the chunk's); ``codes[start[i]:start[i + 1]]`` its links as numbers of the pairs in ``pairs``, each the
+    A id times 2**32 plus the B id. ``shrink`` keeps the chunks that are used most."""
 
     def __init__(self, byte_path: str, piece_path: str):
         import re
@@ -72,93 +91,179 @@ class Aligner:
         of_char = byte_level_alphabet()
         special = {t["content"] for t in spec.get("added_tokens", [])}
         vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
-        self.bytes_a = {i: bytes(of_char[c] for c in t) for t, i in vocab.items()}
+        bytes_a = {i: bytes(of_char[c] for c in t) for t, i in vocab.items()}
         # the ids of merged entries rise with the rank of their merge, so ids serve as ranks
         made = [vocab[a + b] for a, b in (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])]
         if any(x >= y for x, y in zip(made, made[1:])):
             raise ValueError("merges are not in the order of ids")
         self.enc = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, special_tokens={},
-                                     mergeable_ranks={b: i for i, b in self.bytes_a.items()})
+                                     mergeable_ranks={b: i for i, b in bytes_a.items()})
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        self.bytes_b, pieces = {}, [(i, self.sp.id_to_piece(i)) for i in range(self.sp.get_piece_size())]
-        for i, p in pieces:
+        bytes_b = {}
+        for i in range(self.sp.get_piece_size()):
+            p = self.sp.id_to_piece(i)
             if self.sp.is_byte(i):
-                self.bytes_b[i] = bytes([int(p[3:-1], 16)])
+                bytes_b[i] = bytes([int(p[3:-1], 16)])
             elif not (self.sp.is_control(i) or self.sp.is_unknown(i)):
-                self.bytes_b[i] = p.replace("▁", " ").encode("utf-8")
+                bytes_b[i] = p.replace("▁", " ").encode("utf-8")
         # a space inside a piece would join chunks
-        apart = not any(re.search("[^ ] ", b.decode("utf-8", "replace")) for b in self.bytes_b.values())
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split if apart else lambda text: [text]
-        self.young, self.old = {}, {}
-
-    def _align(self, c: str, ids_b: list[int]) -> tuple | None:
-        a, b = self.enc.encode_ordinary(" " + c), ids_b
-        ta, tb = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b.get(i, b"") for i in b]
-        whole = (" " + c).encode("utf-8")
-        if b"".join(ta) != whole or b"".join(tb) != whole:
-            return None
-        codes, groups = [], []
-        i = j = from_a = from_b = 0
-        end_a, end_b = len(ta[0]), len(tb[0])
-        while True:
-            codes.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[from_a:i + 1])) + "|" + ",".join(map(str, b[from_b:j + 1])))
-                i, j = i + 1, j + 1
-                from_a, from_b = i, j
-                if end_a == len(whole):
-                    break
-                end_a, end_b = end_a + len(ta[i]), end_b + len(tb[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(ta[i])
-            else:
-                j += 1
-                end_b += len(tb[j])
-        return len(a), len(b), len(groups), ";".join(groups), tuple(codes)
-
-    def chunks(self, texts: list) -> list[list[str] | None]:
-        """The chunks of each text (None for a null or empty one), all of them in the cache."""
-        cut = [self.cut(t) if t else None for t in texts]
-        if len(self.young) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new = list({c for cs in cut if cs for c in cs} - young.keys())
-        miss = []
-        for c in new:
-            if c in old:
-                young[c] = old[c]
-            else:
-                miss.append(c)
-        for c, ids in zip(miss, self.sp.encode(miss, num_threads=1) if miss else ()):
-            young[c] = self._align(c, ids)
-        return cut
-
-
-_ALIGNERS: dict[tuple, Aligner] = {}
-
-
-def aligner(paths: tuple[str, str]) -> Aligner:
-    """One aligner per worker process and pair of paths."""
-    if paths not in _ALIGNERS:
-        _ALIGNERS[paths] = Aligner(*paths)
-    return _ALIGNERS[paths]
-
-
-def _text_batches(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[tuple[int, list]]:
-    """Rows of a batch in runs of about ``size`` characters: the first row and the texts."""
-    held, n, at = [], 0, 0
-    for i, t in enumerate(batch.column(column)):
-        held.append(t.as_py())
-        n += len(held[-1] or "")
-        if n >= size:
-            yield at, held
-            held, n, at = [], 0, i + 1
+        self.apart = not any(re.search("[^ ] ", b.decode("utf-8", "replace")) for b in bytes_b.values())
+        self.cut = re.compile(r"(?<=\S) (?=\S)")
+        self.bytes = [[of.get(i, b"") for i in range(max(of) + 1)] for of in (bytes_a, bytes_b)]
+        self.sizes = [np.array([len(x) for x in of], np.int64) for of in self.bytes]
+        self.names = [np.array([str(i) for i in range(len(of))], object) for of in self.bytes]
+        self.epoch = 0
+        self._keep([], [], np.zeros((0, 3), np.int64), np.zeros(0, bool), [], np.zeros(1, np.int64), np.zeros(0, np.int64), [])
+
+    def _keep(self, plain, odd, sums, bad, groups, start, codes, use) -> None:
+        """Hold exactly these chunks: ``plain`` and ``odd`` are the (text, number) of both kinds."""
+        self.at, self.odd = _Numbers(plain), dict(odd)
+        self.n_a, self.n_b, self.n_groups = sums.T.copy()
+        self.bad, self.groups, self.start, self.use = bad, groups, start, np.array(use, np.int64)
+        self.pairs, self.codes = np.unique(codes, return_inverse=True)
+        self.number = {c: i for i, c in enumerate(self.pairs.tolist())}
+        self.epoch += 1
+
+    def full(self) -> bool:
+        return len(self.at) + len(self.odd) > CACHE_CHUNKS or len(self.pairs) > TASK_PAIRS
+
+    def shrink(self) -> None:
+        """Forget all but a third of the chunks, those used most. Numbers change (``epoch`` rises)."""
+        kept = np.sort(np.argsort(-self.use, kind="stable")[:CACHE_CHUNKS // 3])
+        if len(kept) and self.start[kept + 1].sum() - self.start[kept].sum() > TASK_PAIRS:
+            kept = kept[:0]
+        new = np.full(len(self.use), -1)
+        new[kept] = np.arange(len(kept))
+        sizes = np.diff(self.start)[kept]
+        codes = self.pairs[self.codes[self._spread(kept)]]
+        self._keep([(c, int(new[i])) for c, i in self.at.items() if i >= 0 and new[i] >= 0],
+                   [(c, int(new[i])) for c, i in self.odd.items() if new[i] >= 0],
+                   np.stack((self.n_a, self.n_b, self.n_groups), 1)[kept], self.bad[kept], [self.groups[i] for i in kept],
+                   np.concatenate(([0], np.cumsum(sizes))), codes, self.use[kept] // 2)
+
+    def _spread(self, chunks: np.ndarray) -> np.ndarray:
+        """Places in ``codes`` of all links of the chunks, in order."""
+        sizes = self.start[chunks + 1] - self.start[chunks]
+        ends = np.cumsum(sizes)
+        return np.repeat(self.start[chunks] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+    def links(self, chunks: np.ndarray) -> np.ndarray:
+        return self.codes[self._spread(chunks)]
+
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The chunks of each text (none empty), in order."""
+        out = [None] * len(texts)
+        odd = range(len(texts))
+        if self.apart:
+            self.at.new, self.at.next = [], len(self.use)
+            out = [np.fromiter(map(self.at.__getitem__, cs := t.split(" ")), np.int64, len(cs)) for t in texts]
+            self._add(self.at.new)
+            odd = [i for i, x in enumerate(out) if x.min() < 0]
+        for i, x in zip(odd, self._odd([self.cut.split(texts[i]) if self.apart else [texts[i]] for i in odd])):
+            out[i] = x
+        self.use += np.bincount(np.concatenate(out), minlength=len(self.use)) if out else 0
+        return out
+
+    def _odd(self, split: list[list[str]]) -> list[np.ndarray]:
+        """Numbers of chunks that may have white space at their ends."""
+        out = []
+        for cs in split:
+            x = np.empty(len(cs), np.int64)
+            for i, c in enumerate(cs):
+                if self.apart and not (c[0].isspace() or c[-1].isspace()):
+                    self.at.new, self.at.next = [], len(self.use)
+                    x[i] = self.at[c]
+                    self._add(self.at.new)
+                    continue
+                if c not in self.odd:
+                    self.odd[c] = len(self.use)
+                    self._add([c])
+                x[i] = self.odd[c]
+            out.append(x)
+        return out
+
+    def _add(self, new: list[str]) -> None:
+        """Align new chunks, as one text: the tokenizers keep them apart."""
+        if not new:
+            return
+        joined = " " + " ".join(new)
+        whole = joined.encode("utf-8")
+        size = [len(c) for c in new] if len(whole) == len(joined) else [len(c.encode("utf-8")) for c in new]
+        ends = np.cumsum(np.array(size, np.int64) + 1)
+        a = self.enc.encode_to_numpy(joined).astype(np.int64)
+        b = np.array(self.sp.encode(joined[1:]), np.int64)
+        if any(b"".join(map(of.__getitem__, ids.tolist())) != whole for of, ids in zip(self.bytes, (a, b))):
+            if len(new) > 1:  # some chunk's tokens are not its bytes: halves find it
+                for half in (new[:len(new) // 2], new[len(new) // 2:]):
+                    self._add(half)
+                return
+            self._append(np.zeros((1, 3), np.int64), [True], [""], [0], np.zeros(0, np.int64))
+            return
+        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        # every stretch between two token ends lies in one token of each: a link; a common end closes a group
+        links = np.sort(np.concatenate((end_a, end_b)), kind="stable")
+        again = np.append(links[1:] == links[:-1], False)
+        closes, links = links[again], links[~again]
+        codes = a[np.searchsorted(end_a, links)] << 32 | b[np.searchsorted(end_b, links)]
+        per = [np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (end_a, end_b, closes, links)]
+        # token texts in the order of group and side, each followed by its mark
+        group_a, group_b = np.searchsorted(closes, end_a), np.searchsorted(closes, end_b)
+        until_a, until_b = np.searchsorted(end_a, closes, "right"), np.searchsorted(end_b, closes, "right")
+        at_a = np.arange(len(a)) + np.concatenate(([0], until_b))[group_a]
+        at_b = np.arange(len(b)) + until_a[group_b]
+        close = np.full(len(closes), ";", object)
+        close[np.searchsorted(closes, ends)] = "\n"
+        text = np.full(2 * (len(a) + len(b)), ",", object)
+        text[2 * at_a], text[2 * at_b] = self.names[0][a], self.names[1][b]
+        text[2 * at_a[until_a - 1] + 1], text[2 * at_b[until_b - 1] + 1] = "|", close
+        groups = "".join(text.tolist()).split("\n")[:-1]
+        self._append(np.stack(per[:3], 1), [False] * len(new), groups, per[3], codes)
+
+    def _append(self, sums, bad, groups, links, codes) -> None:
+        for name, x in zip(("n_a", "n_b", "n_groups"), sums.T):
+            setattr(self, name, np.concatenate((getattr(self, name), x)))
+        self.bad = np.concatenate((self.bad, np.array(bad, bool)))
+        self.use = np.concatenate((self.use, np.zeros(len(bad), np.int64)))
+        self.groups.extend(groups)
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(links)))
+        seen, at = np.unique(codes, return_inverse=True)
+        new = [c for c in seen.tolist() if c not in self.number]
+        self.number.update(zip(new, range(len(self.pairs), len(self.pairs) + len(new))))
+        self.pairs = np.concatenate((self.pairs, np.array(new, np.int64)))
+        of = np.fromiter(map(self.number.__getitem__, seen.tolist()), np.int64, len(seen))
+        self.codes = np.concatenate((self.codes, of[at]))
+
+
+_CHUNKS: dict[tuple, Chunks] = {}
+
+
+def chunk_table(paths: tuple[str, str]) -> Chunks:
+    """One table per worker process and pair of paths."""
+    if paths not in _CHUNKS:
+        _CHUNKS[paths] = Chunks(*paths)
+    return _CHUNKS[paths]
+
+
+def _parts(batch: pa.RecordBatch, column: int, cut, size: int = BATCH_CHARS) -> Iterator[list[tuple[int, str, bool]]]:
+    """Runs of about ``size`` characters of the column's texts: (row, part of its text, whether it is the
+    last part). A longer text is cut between chunks; a null or empty one is a part ''."""
+    held, n = [], 0
+    for row, t in enumerate(batch.column(column)):
+        t = t.as_py() or ""
+        at = 0
+        while at >= 0:
+            gap = cut.search(t, at + size) if len(t) - at > size else None
+            held.append((row, t[at:gap.start()] if gap else t[at:], gap is None))
+            n += len(held[-1][1])
+            at = gap.end() if gap else -1
+            if n >= size:
+                yield held
+                held, n = [], 0
     if held:
-        yield at, held
+        yield held
 
 
-def pair_sums(docs: DataFrame, text_col: str, paths: tuple[str, str], task_pairs: int = TASK_PAIRS) -> DataFrame:
+def pair_sums(docs: DataFrame, text_col: str, paths: tuple[str, str]) -> DataFrame:
     """``(part, place, code, docs)``: how many documents of a task hold a pair linked; ``part`` is the task,
     ``place`` the code's place in the hash. A pair may stand in several rows of a task."""
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("part", "place", "code", "docs")])
@@ -166,25 +271,51 @@ def pair_sums(docs: DataFrame, text_col: str, paths: tuple[str, str], task_pairs
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
-        part, al, sums, arrow = TaskContext.get().partitionId(), aligner(paths), Counter(), to_arrow_schema(schema)
+        part, al, arrow = TaskContext.get().partitionId(), chunk_table(paths), to_arrow_schema(schema)
+        sums, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        open_codes, open_bad = np.zeros(0, np.int64), False  # of a text whose last part is yet to come
 
         def out():
-            n = len(sums)
-            codes = np.fromiter(sums.keys(), np.int64, n)
-            cols = [np.full(n, part, np.int64), place_of(codes), codes, np.fromiter(sums.values(), np.int64, n)]
+            at = np.flatnonzero(sums)
+            codes = al.pairs[at]
+            cols = [np.full(len(at), part, np.int64), place_of(codes), codes, sums[at]]
             whole = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=arrow)
-            sums.clear()
-            for at in range(0, n, 1 << 16):
-                yield whole.slice(at, 1 << 16)
+            for k in range(0, len(at), 1 << 16):
+                yield whole.slice(k, 1 << 16)
+
+        def distinct(x: np.ndarray, mark: np.ndarray) -> np.ndarray:
+            mark[x] = np.arange(len(x))
+            return x[mark[x] == np.arange(len(x))]
 
         for b in batches:
-            for _, texts in _text_batches(b, 0):
-                for cs in al.chunks(texts):
-                    got = list(map(al.young.__getitem__, set(cs or ())))
-                    if None not in got:
-                        sums.update(set().union(*[g[4] for g in got]))
-                    if len(sums) >= task_pairs:
-                        yield from out()
+            for parts in _parts(b, 0, al.cut):
+                if al.full():
+                    yield from out()
+                    sums = np.zeros(0, np.int64)
+                    al.shrink()
+                texts = [t for _, t, _ in parts if t]
+                found = iter(al.numbers(texts) if texts else ())
+                sums = np.concatenate((sums, np.zeros(len(al.pairs) - len(sums), np.int64)))
+                last, seen = np.zeros(len(al.pairs), np.int64), np.zeros(len(al.use), np.int64)
+                for _, text, ends in parts:
+                    if not text:
+                        continue
+                    chunks = distinct(next(found), seen)
+                    codes, bad = distinct(al.links(chunks), last), bool(al.bad[chunks].any())
+                    if ends and not len(open_codes) and not open_bad:
+                        if not bad:
+                            sums[codes] += 1
+                        continue
+                    open_codes, open_bad = np.union1d(open_codes, al.pairs[codes]), open_bad or bad
+                    if ends:
+                        if not open_bad:
+                            at = [al.number[c] for c in open_codes.tolist() if c in al.number]
+                            sums[at] += 1
+                            lost = [c for c in open_codes.tolist() if c not in al.number]  # forgotten since
+                            if lost:
+                                cols = [[part] * len(lost), place_of(np.array(lost)), lost, [1] * len(lost)]
+                                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=arrow)
+                        open_codes, open_bad = np.zeros(0, np.int64), False
         yield from out()
 
     return docs.select(_q(text_col).alias("text")).mapInArrow(run, schema)
@@ -371,54 +502,62 @@ def _looked_up(docs: DataFrame, id_col: str, text_col: str, paths: tuple[str, st
         T.StructField("rest", T.ArrayType(T.LongType())), T.StructField("row", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from itertools import chain
-
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
-        al, (parts, keys, counts, best) = aligner(paths), held.value
+        al, (parts, keys, counts, best) = chunk_table(paths), held.value
         table = PerfectHash([_unpacked(*p) for p in parts])
         keys, counts, row = _of(keys), _of(counts), TaskContext.get().partitionId() << 33
-        found, arrow = {}, to_arrow_schema(numbered(schema))
-
-        def look(chunks: list[str]) -> None:
-            """Sums of each chunk's links."""
-            got = [al.young[c] for c in chunks]
-            sizes = np.array([len(g[4]) if g else 0 for g in got])
-            codes = np.fromiter(chain.from_iterable(g[4] for g in got if g), np.int64, int(sizes.sum()))
+        arrow = to_arrow_schema(numbered(schema))
+        of_pair = np.zeros((3, 0), np.int64)   # best or not, count, lost or not of al.pairs
+        of_chunk = np.zeros((3, 0), np.int64)  # the same, summed over a chunk's links
+        epoch = al.epoch
+
+        def look() -> None:
+            """Figures of the pairs and chunks that are new."""
+            nonlocal of_pair, of_chunk, epoch
+            if epoch != al.epoch:
+                of_pair, of_chunk, epoch = of_pair[:, :0], of_chunk[:, :0], al.epoch
+            codes = al.pairs[of_pair.shape[1]:]
             at = table.index(codes)
             known = at >= 0
             known[known] = keys[at[known]] == codes[known]
             count = np.where(known, counts[at] if len(counts) else 0, 0)
-            top = known & (count == best[codes >> 32])
-            ends = np.cumsum(sizes)
-            sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[np.concatenate(([0], ends))]).tolist()
-                    for x in (top.astype(np.int64), count)]
-            lost = ~known
-            for c, g, n, end, n_best, n_count in zip(chunks, got, sizes.tolist(), ends.tolist(), *sums):
-                rest = codes[end - n:end][lost[end - n:end]].tolist() if n else []
-                found[c] = g and (g[0], g[1], g[2], n, n_best, n_count, g[3], rest)
+            of_pair = np.concatenate((of_pair, [known & (count == best[np.minimum(codes >> 32, len(best) - 1)]), count, ~known]), 1)
+            first = al.start[of_chunk.shape[1]:]
+            total = np.concatenate((np.zeros((3, 1), np.int64), np.cumsum(of_pair[:, al.codes[first[0]:]], 1)), 1)
+            of_chunk = np.concatenate((of_chunk, np.diff(total[:, first - first[0]])), 1)
 
         for b in batches:
-            ids = b.column(0)
-            for at, texts in _text_batches(b, 1):
-                cut = al.chunks(texts)
-                if len(found) > CACHE_CHUNKS:
-                    found.clear()
-                new = list({c for cs in cut if cs for c in cs} - found.keys())
-                if new:
-                    look(new)
-                rows = []
-                for cs in cut:
-                    got = list(map(found.__getitem__, cs or ()))
-                    if not got or None in got:
-                        rows.append((0, 0, 0, "", 0, 0, 0, []))
-                        continue
-                    a, b_, g, n, top, total, text, rest = zip(*got)
-                    rows.append((sum(a), sum(b_), sum(g), ";".join(text), sum(n), sum(top), sum(total),
-                                 list(chain.from_iterable(rest))))
-                cols = [ids.slice(at, len(texts)), *map(list, zip(*rows)), list(range(row, row + len(rows)))]
-                row += len(rows)
+            ids, rows, sums, texts, rest, bad = b.column(0), [], np.zeros(6, np.int64), [], [], False
+            for run_of in _parts(b, 1, al.cut):
+                if al.full():
+                    al.shrink()
+                some = [t for _, t, _ in run_of if t]
+                found = iter(al.numbers(some) if some else ())
+                look()
+                size = np.diff(al.start)
+                for _, text, ends in run_of:
+                    if text:
+                        c = next(found)
+                        bad = bad or bool(al.bad[c].any())
+                        own = of_chunk[:, c].sum(1)
+                        sums += [al.n_a[c].sum(), al.n_b[c].sum(), al.n_groups[c].sum(), size[c].sum(), own[0], own[1]]
+                        texts.append(";".join(map(al.groups.__getitem__, c.tolist())))
+                        if own[2]:
+                            codes = al.links(c)
+                            rest.extend(al.pairs[codes[of_pair[2, codes] > 0]].tolist())
+                    if ends:
+                        if bad:
+                            sums, texts, rest = sums * 0, [], []
+                        v = sums.tolist()
+                        rows.append((*v[:3], ";".join(texts), *v[3:], rest))
+                        sums, texts, rest, bad = np.zeros(6, np.int64), [], [], False
+            first = 0
+            while first < len(rows):
+                part = rows[first:first + 512]
+                cols = [ids.slice(first, len(part)), *map(list, zip(*part)), list(range(row, row + len(part)))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                                                   for c, f in zip(cols, arrow)], schema=arrow)
+                row, first = row + len(part), first + len(part)
 
     return map_arrow(src, run, schema)

@@ -165,3 +165,29 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = align_documents(table(spark, sf_dir, "documents"))
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
+_WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+r AS (SELECT page_id, t, max(page_id) OVER (PARTITION BY t) AS last,
+    row_number() OVER (PARTITION BY t ORDER BY page_id DESC NULLS LAST) AS k, count(*) OVER (PARTITION BY t) AS c FROM p),
+d AS (SELECT page_id, strlen(t)::BIGINT AS n, sha1(t) AS h, k, last FROM r)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN last END AS refers_to
+FROM d"""
+
+
+@register(sql=_WARC_SQL)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as an archive of WARC records and read back from it."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from .warc import read_warc, write_warc
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    write_warc(table(spark, sf_dir, "pages"), path)
+    out = read_warc(spark, path, payloads=False)
+    return out.select(F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))

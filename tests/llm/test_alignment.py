@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tessera.llm.alignment import Aligner, align_documents, hash_table, pair_sums, tokenizer_paths
+from tessera.llm.alignment import Chunks, align_documents, hash_table, pair_sums, tokenizer_paths
 from tessera.llm.mphash import PerfectHash, build, place_of
 from tessera.llm.queries import QUERIES
 
@@ -112,30 +113,65 @@ def test_edges(spark):
     assert [tuple(r)[1:] for r in only_empty] == [(0, 0, 0, "", 0, 0, 0)] * 2
 
 
+def _joined(al, text):
+    """(n_a, n_b, groups, links) of a text from its chunks; zeros if a chunk is not its tokens."""
+    if not text:
+        return 0, 0, "", []
+    c = al.numbers([text])[0]
+    if al.bad[c].any():
+        return 0, 0, "", []
+    codes = al.pairs[al.links(c)].tolist()
+    return int(al.n_a[c].sum()), int(al.n_b[c].sum()), ";".join(al.groups[i] for i in c), codes
+
+
 @pytest.mark.parametrize("text", ["a" * 300_000, " " * 300_000, "日" * 100_000, "x\n" * 100_000, "1" * 300_000])
 def test_long_runs(text):
-    import time
-    al, t0 = Aligner(*tokenizer_paths()), time.time()
-    cut = al.chunks([text])[0]
-    got = [al.young[c] for c in cut]
-    p = Plain()
-    a, b = p.tokens(text)
-    assert sum(g[0] for g in got) == len(a) and sum(g[1] for g in got) == len(b)
+    al, p = _pair()
+    t0 = time.time()
+    got = _joined(al, text)
     assert time.time() - t0 < 60
+    a, b = p.tokens(text)
+    assert got[:2] == (len(a), len(b))
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t 'sdt.,1a▁"), st.characters(exclude_categories=["Cs"])), max_size=40))
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t 'sdt.,1a▁"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_chunks_are_the_whole_text(text):
     al, p = _pair()
-    cut = al.chunks([text])[0] or []
-    got = [al.young[c] for c in cut]
     na, nb, groups, links = p.align(text)
-    if None in got:
-        assert (na, nb) == (0, 0)
-    else:
-        assert sum(g[0] for g in got) == na and ";".join(g[3] for g in got) == ";".join(groups)
-        assert sorted(c for g in got for c in g[4]) == sorted(a << 32 | b for a, b in links)
+    got = _joined(al, text)
+    assert got[:3] == (na, nb, ";".join(groups))
+    assert sorted(got[3]) == sorted(a << 32 | b for a, b in links)
+
+
+def test_forgetting_chunks_and_cutting_long_texts(spark, texts, monkeypatch):
+    """Workers that hold few chunks and few characters at a time give the same rows."""
+    from tessera.llm import alignment
+    some = sorted((t for t in texts.values() if t), key=len)[:80] + ODD + ["x ▁ " + "long text " * 50]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").coalesce(1)
+    al = Chunks(*tokenizer_paths())
+    want = [_joined(al, t) for t in some]
+    monkeypatch.setattr(alignment, "CACHE_CHUNKS", 60)
+    monkeypatch.setattr(alignment, "chunk_table", lambda paths: al)
+    for k, t in enumerate(some * 2):
+        if al.full():
+            al.shrink()
+            assert len(al.use) <= 20
+        got = _joined(al, t)
+        assert got[:3] == want[k % len(some)][:3] and sorted(got[3]) == sorted(want[k % len(some)][3])
+    parts = [p for run in _parts_of(some, al.cut, 25) for p in run]
+    for row, t in enumerate(some):
+        own = [p for r, p, _ in parts if r == row]
+        assert " ".join(own) == (t or "") and [e for r, _, e in parts if r == row] == [False] * (len(own) - 1) + [True]
+    assert max(len(own) for own in ([p for r, p, _ in parts if r == row] for row in range(len(some)))) > 3
+    assert docs.count() == len(some)
+
+
+def _parts_of(texts, cut, size):
+    import pyarrow as pa
+
+    from tessera.llm.alignment import _parts
+    return _parts(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"]), 0, cut, size)
 
 
 _KEPT = []
@@ -143,7 +179,7 @@ _KEPT = []
 
 def _pair():
     if not _KEPT:
-        _KEPT.extend((Aligner(*tokenizer_paths()), Plain()))
+        _KEPT.extend((Chunks(*tokenizer_paths()), Plain()))
     return _KEPT
 
 
@@ -160,7 +196,7 @@ def test_perfect_hash(n):
 
 def test_tree_sums(spark, sf001):
     """Vectors of many tasks, added two at a time, are the plain counts."""
-    sums = pair_sums(spark.read.parquet(f"{sf001}/documents.parquet").repartition(9), "text", tokenizer_paths(), task_pairs=500).checkpoint()
+    sums = pair_sums(spark.read.parquet(f"{sf001}/documents.parquet").repartition(9), "text", tokenizer_paths()).checkpoint()
     want = {r.code: r.n for r in sums.groupBy("code").agg({"docs": "sum"}).toDF("code", "n").collect()}
     table, _ = hash_table(sums, fan=2)
     got = {}
