@@ -191,3 +191,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = read_warc(spark, path, payloads=False)
     return out.select(F.col("source_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on their 32 largest principal components."""
+    from .whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
