@@ -3,26 +3,34 @@
 The fitted pipeline is a ``PipelineModel`` of native stages: a ``SQLTransformer`` carrying
 the fitted imputation/scaling constants (exact training medians, mean and population std),
 ``StringIndexer`` + ``OneHotEncoder`` (unknown and NULL levels -> all-zero vector),
-``VectorAssembler`` and ``LogisticRegression``. The balanced class weights ``n / (k * n_c)``
-are a broadcast join of the per-class counts (one row per class). The objective equals an
-L2 logistic loss with inverse strength ``C``: ``regParam = 1 / (C * sum(weights))``.
+``VectorAssembler`` and a ``LogisticRegressionModel``. The balanced class weights ``n / (k * n_c)``
+are a broadcast join of the per-class counts (one row per class).
+
+The coefficients minimise ``C * sum(weights * logistic loss) + (|coefficients|^2 + intercept^2) / 2``, the
+intercept penalised like any coefficient, by Newton's method (iteratively reweighted least squares): a
+pass over the cached rows sums loss, gradient and weighted Gram matrix, a number for each pair of
+features, and about seven passes reach the minimum. Category columns stay index columns until a
+batch is multiplied, so a pass reads a few numbers per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import binary_target, parse_emp_length, percent_lenient, percent_strict
-from .profile import percentiles
+from .quantiles import exact_percentiles
 
 # Feature lists and label statuses of the loan model.
 NUMERIC_BASE = ["loan_amnt", "int_rate", "installment", "annual_inc", "dti", "delinq_2yrs",
@@ -69,8 +77,8 @@ def with_class_weights(df: DataFrame, label: str = "target", name: str = "class_
 def fitted_constants(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float, float, float]]:
     """ML1 + ML2: exact median per numeric feature, then mean and population std of the imputed
     values (a few scalars)."""
-    med = {r["feature"]: r["value"] for r in percentiles(train, numeric, [0.5]).collect()}
-    med = {c: float(med[c]) if med.get(c) is not None else 0.0 for c in numeric}
+    found, _ = exact_percentiles(train, {c: F.col(c) for c in numeric}, [0.5]) if numeric else ({}, None)
+    med = {c: found.get((c, 0.5), 0.0) for c in numeric}
     aggs = []
     for c in numeric:
         x = F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(med[c]))
@@ -91,9 +99,8 @@ def _prep_statement(consts: dict[str, tuple[float, float, float]], categorical:
     return "SELECT *, " + ", ".join(num + cat) + " FROM __THIS__"
 
 
-def build_pipeline(consts: dict[str, tuple[float, float, float]], categorical: Sequence[str], c: float,
-                   sum_weights: float, label: str = "target", max_iter: int = 100,
-                   tol: float = 1e-6) -> Pipeline:
+def build_pipeline(consts: dict[str, tuple[float, float, float]], categorical: Sequence[str]) -> Pipeline:
+    """The stages up to the ``features`` vector."""
     cats = list(categorical)
     stages = [SQLTransformer(statement=_prep_statement(consts, cats))]
     if cats:
@@ -103,13 +110,83 @@ def build_pipeline(consts: dict[str, tuple[float, float, float]], categorical: S
                                     dropLast=True))
     stages.append(VectorAssembler(inputCols=[f"{x}__z" for x in consts] + [f"{x}__v" for x in cats],
                                   outputCol="features", handleInvalid="keep"))
-    stages.append(LogisticRegression(featuresCol="features", labelCol=label, weightCol="class_weight",
-                                     regParam=1.0 / (c * sum_weights), elasticNetParam=0.0,
-                                     standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol,
-                                     family="binomial"))
     return Pipeline(stages=stages)
 
 
+def loss_sums(rows: DataFrame, beta: np.ndarray, numbers: int, levels: Sequence[int]) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weighted logistic loss, gradient and Hessian at ``beta`` over ``rows``: ``numbers`` feature columns, an
+    index column for each category (``levels``: its known levels; any other index is all zeros), label
+    and weight. The last entry of ``beta`` is the intercept. A task sends one number for each pair of
+    features; the sums over tasks are taken by Spark."""
+    start = np.concatenate(([0], np.cumsum(levels))).astype(int) + numbers
+    d = len(beta)
+    upper = np.triu_indices(d)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, grad, gram = 0.0, np.zeros(d), np.zeros((d, d))
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                cols = [c.to_numpy(zero_copy_only=False).astype(float) for c in part.columns]
+                x = np.zeros((part.num_rows, d))
+                x[:, -1] = 1.0
+                for j, c in enumerate(cols[:numbers]):
+                    x[:, j] = c
+                for j, n in enumerate(levels):
+                    level = cols[numbers + j].astype(int)
+                    known = np.flatnonzero(level < n)
+                    x[known, start[j] + level[known]] = 1.0
+                y, w = cols[-2], cols[-1]
+                f = x @ beta
+                p = 0.5 * (1 + np.tanh(f / 2))
+                loss += float(w @ np.logaddexp(0, np.where(y > 0.5, -f, f)))
+                grad += x.T @ (w * (p - y))
+                gram += x.T @ (x * (w * p * (1 - p))[:, None])
+        out = np.concatenate(([loss], grad, gram[upper])).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], names=["s"])
+
+    sums = (rows.mapInArrow(run, "s array<double>").select(F.posexplode("s").alias("i", "x"))
+            .groupBy("i").agg(F.sum("x").alias("x")).toArrow())  # a row for each pair of features
+    total = np.zeros(1 + d + len(upper[0]))
+    total[sums.column("i").to_numpy()] = sums.column("x").to_numpy()
+    gram = np.zeros((d, d))
+    gram[upper] = total[1 + d:]
+    return float(total[0]), total[1:1 + d], gram + np.triu(gram, 1).T
+
+
+def newton(rows: DataFrame, c: float, numbers: int, levels: Sequence[int], start: np.ndarray | None = None,
+           max_iter: int = 100, tol: float = 1e-6) -> np.ndarray:
+    """The minimum of ``c * loss + |beta|^2 / 2``. A step that does not lower the objective is halved. Ends when
+    a step is below ``tol``; the error left is of the order of its square."""
+    d = numbers + int(sum(levels)) + 1
+    beta, step, best = np.zeros(d) if start is None else start, None, np.inf
+    for _ in range(max_iter):
+        loss, grad, gram = loss_sums(rows, beta, numbers, levels)
+        value = c * loss + beta @ beta / 2
+        if step is not None and value > best + 1e-9 * abs(best):
+            step = step / 2
+            beta = held + step
+            continue
+        held, best = beta, value
+        step = -np.linalg.solve(c * gram + np.eye(d), c * grad + beta)
+        beta = held + step
+        if np.abs(step).max() < tol:
+            break
+    return beta
+
+
+def _logistic_stage(spark, beta: np.ndarray, c: float, sum_weights: float, label: str):
+    """A ``LogisticRegressionModel`` with these coefficients: fitted to two rows under bounds that leave no
+    other choice."""
+    d = len(beta) - 1
+    rows = spark.createDataFrame([(Vectors.dense([float(y)] * d), float(y), 1.0) for y in (0, 1)], ["features", label, "class_weight"])
+    bound, icpt = Matrices.dense(1, d, beta[:-1].tolist()), Vectors.dense([float(beta[-1])])
+    return LogisticRegression(featuresCol="features", labelCol=label, weightCol="class_weight", standardization=False,
+                              regParam=1.0 / (c * sum_weights), elasticNetParam=0.0, fitIntercept=True, maxIter=1,
+                              family="binomial", lowerBoundsOnCoefficients=bound, upperBoundsOnCoefficients=bound,
+                              lowerBoundsOnIntercepts=icpt, upperBoundsOnIntercepts=icpt).fit(rows)
+
+
 ROW_BYTES_PER_COLUMN = 16
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024
 
@@ -140,13 +217,28 @@ def _training(train: DataFrame, numeric, categorical, label: str, rows: int | No
             frame.unpersist()
 
 
+@contextmanager
+def _ready(frame: DataFrame, consts, cats: Sequence[str], label: str):
+    """(fitted stages, persisted number and index columns, number of number columns, levels of each category)."""
+    head = build_pipeline(consts, cats).fit(frame)
+    levels = [len(x) for x in head.stages[1].labelsArray] if cats else []
+    flat = frame
+    for stage in head.stages[:2 if cats else 1]:
+        flat = stage.transform(flat)
+    rows = flat.select(*[F.col(f"{x}__z") for x in consts], *[F.col(f"{x}__i") for x in cats], F.col(label).cast("double").alias(label),
+                       F.col("class_weight").cast("double").alias("class_weight")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield head.stages, rows, len(consts), levels
+    finally:
+        rows.unpersist()
+
+
 def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
         categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
         rows: int | None = None, cached: bool = False) -> PipelineModel:
     """ML1-ML8: fit the pipeline on ``train``. ``rows`` (the training row count) saves a pass when
     the caller knows it; ``cached`` says that ``train`` comes from a persisted frame."""
-    with _training(train, numeric, categorical, label, rows, cached) as (frame, consts, cats, n):
-        return build_pipeline(consts, cats, c, float(n), label, max_iter).fit(frame)
+    return sweep(train, [c], numeric, categorical, label, max_iter, rows, cached)[c]
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "target")) -> DataFrame:
@@ -160,15 +252,14 @@ def sweep(train: DataFrame, cs: Sequence[float], numeric: Sequence[str] = NUMERI
           categorical: Sequence[str] = CATEGORICAL, label: str = "target", max_iter: int = 100,
           rows: int | None = None, cached: bool = False) -> dict[float, PipelineModel]:
     """ML10: one model per regularisation strength; the persisted training frame, its constants, the
-    indexers and the encoders are made once, only the optimizer runs per strength."""
+    indexers and the encoders are made once, only Newton's method runs per strength, from the last minimum."""
+    out, beta = {}, None
     with _training(train, numeric, categorical, label, rows, cached) as (frame, consts, cats, n):
-        head = Pipeline(stages=build_pipeline(consts, cats, 1.0, float(n), label, max_iter).getStages()[:-1]).fit(frame)
-        ready = head.transform(frame).select("features", label, "class_weight").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return {c: PipelineModel(head.stages + [
-                build_pipeline(consts, cats, c, float(n), label, max_iter).getStages()[-1].fit(ready)]) for c in cs}
-        finally:
-            ready.unpersist()
+        with _ready(frame, consts, cats, label) as (stages, ready, numbers, levels):
+            for c in cs:
+                beta = newton(ready, c, numbers, levels, beta, max_iter)
+                out[c] = PipelineModel([*stages, _logistic_stage(train.sparkSession, beta, c, float(n), label)])
+    return out
 
 
 def coefficients(model: PipelineModel) -> tuple[list[float], float]:

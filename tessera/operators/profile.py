@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.misc import pct
-from .prefix import running_sums
+from .quantiles import exact_percentiles
 
 _FLOATS = (T.DoubleType, T.FloatType)
 _NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType)
@@ -68,13 +68,38 @@ def column_info(df: DataFrame) -> DataFrame:
     return long.select(F.col("column"), type_col[F.col("column")].alias("dtype"), F.col("non_null"))
 
 
+#: Repeated digests that are broadcast at most (16 bytes each).
+MAX_REPEATED = 500_000
+
+
+def _digest(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """128 bits of a row. Equal rows have equal digests: 0.0 and -0.0 and all NaNs count as equal, and a bit
+    for each column tells a NULL from a skipped value."""
+    values = []
+    for c in cols:
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, _FLOATS):
+            x = F.when(x == 0, F.lit(0.0)).when(F.isnan(x), F.lit(float("nan"))).otherwise(x)
+        values.append(x)
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(nulls, *values).alias("_d1"), F.xxhash64(F.lit(0x5DEECE66D), nulls, *values).alias("_d2")]
+
+
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """AGG5: number of rows that repeat an earlier row (NULLs compare equal, as in pandas).
 
-    Partial aggregation collapses copies before the shuffle, so a value repeated in a third
-    of the table costs one row per map task."""
+    Rows are counted by a 128-bit digest first, so 16 bytes per distinct row are shuffled (partial
+    aggregation collapses copies before that). Only rows whose digest repeats are grouped by their
+    values, which makes the count exact. Their digests are broadcast while there are at most
+    ``MAX_REPEATED``, else joined by a shuffle."""
     cols = list(cols or df.columns)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    tagged = df.select(*cols, *_digest(df, cols))
+    again = tagged.groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_d1", "_d2")
+    repeated = again.count()
+    if not repeated:
+        return df.sparkSession.createDataFrame([(0,)], "duplicate_rows bigint")
+    rows = tagged.join(F.broadcast(again) if repeated <= MAX_REPEATED else again, ["_d1", "_d2"], "left_semi")
+    g = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
     return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -146,41 +171,34 @@ def percentiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], exact:
                 accuracy: int = 10000) -> DataFrame:
     """AGG13: percentiles of several columns, linear interpolation between order statistics.
 
-    ``exact=True`` never holds a column in one task: values are counted per distinct value,
-    a distributed running count gives each value's rank range, and the two order statistics
-    around ``q*(n-1)`` are found by a broadcast join against the (features x qs) position table.
+    ``exact=True`` narrows brackets by counting (``quantiles``): two passes over the needed columns for most
+    tables, no shuffle and no copy of the values; a column without values has no row.
     ``exact=False`` uses ``percentile_approx`` (bounded memory sketch)."""
-    long = unpivot_numeric(df, cols)
     if not exact:
+        long = unpivot_numeric(df, cols)
         return (long.groupBy("feature")
                 .agg(F.percentile_approx("x", list(qs), accuracy).alias("v"))
                 .select("feature", F.posexplode("v").alias("i", "value"))
                 .select("feature", F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("i") + 1)
                         .alias("q"), "value"))
-    d = long.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("c"))
-    rs = running_sums(d, ["x"], ["c"], ["feature"])
-    n = d.groupBy("feature").agg(F.sum("c").alias("n"))
-    pos = (n.select("feature", "n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-           .withColumn("p", F.col("q") * (F.col("n") - 1)))
-    ranks = pos.select(F.col("feature").alias("_f"), "q", "p", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.floor("p").alias("r")),
-        F.struct(F.lit("hi").alias("side"), F.ceil("p").alias("r")))).alias("s")).select(
-        "_f", "q", "p", "s.side", "s.r")
-    # (features x qs x 2) rows: bounded by the parameters, broadcast; equi-key plus rank range
-    hit = rs.join(F.broadcast(ranks), (F.col("feature") == F.col("_f"))
-                  & (F.col("r") >= F.col("c_cum") - F.col("c")) & (F.col("r") < F.col("c_cum"))).select(
-        "feature", "q", "p", "side", "x")
-    g = hit.groupBy("feature", "q", "p").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("x"))).alias("lo"),
-        F.max(F.when(F.col("side") == "hi", F.col("x"))).alias("hi"))
-    frac = F.col("p") - F.floor("p")
-    return g.select("feature", "q", (F.col("lo") + frac * (F.col("hi") - F.col("lo"))).alias("value"))
+    found, _ = exact_percentiles(df.select(*cols), {c: F.col(c) for c in cols}, [float(q) for q in qs])
+    return df.sparkSession.createDataFrame([(c, q, v) for (c, q), v in found.items()], "feature string, q double, value double")
+
+
+def grouped_percentiles(df: DataFrame, by: str, groups: Sequence, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    """Exact percentiles of several columns within each of the named values of ``by`` (AGG13 per group), with
+    the passes of one: a group's values are a column of their own."""
+    columns = {(g, c): F.when(F.col(by).eqNullSafe(F.lit(g)), F.col(c)) for g in groups for c in cols}
+    found, _ = exact_percentiles(df.select(by, *cols), columns, [float(q) for q in qs])
+    kind = df.schema[by].dataType.simpleString()
+    return df.sparkSession.createDataFrame([(g, c, q, v) for ((g, c), q), v in found.items()],
+                                           f"{by} {kind}, feature string, q double, value double")
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """AGG7: count, mean, std, min, 25/50/75 %, max per numeric column (long rows).
 
-    Count/mean/std/min/max share one wide aggregation; quartiles come from ``percentiles``."""
+    Count, mean, std, min and max share the first pass of the exact quartiles."""
     cols = list(cols or numeric_columns(df))
     stats = ["count", "mean", "std", "min", "max"]
     aggs = []
@@ -189,14 +207,18 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
-    base = df.agg(*aggs).selectExpr(_stack(cols, stats, key="feature"))
-    q = percentiles(df, cols, [0.25, 0.5, 0.75], exact=exact)
-    qw = q.groupBy("feature").agg(
-        F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("p25"),
-        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
-        F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("p75"))
-    return base.join(qw, "feature", "left").select(
-        "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    qs = [0.25, 0.5, 0.75]
+    if exact:
+        found, row = exact_percentiles(df.select(*cols), {c: F.col(c) for c in cols}, qs, aggs)
+    else:
+        row = df.agg(*aggs).first()
+        found = {(r["feature"], r["q"]): r["value"] for r in percentiles(df, cols, qs, False).collect()}
+    rows = []
+    for c in cols:
+        n, mean, std, least, most = (row[f"{c}__{s}"] for s in stats)
+        rows.append((c, n, mean, std, least, *[found.get((c, q)) for q in qs], most))
+    return df.sparkSession.createDataFrame(rows, "feature string, " + ", ".join(
+        f"{s} double" for s in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")))
 
 
 # Fixed values of the threshold recommendation ladders (percent units).

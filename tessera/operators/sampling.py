@@ -1,20 +1,21 @@
 """Deterministic sampling and splitting (SMP1-SMP6, AB1).
 
 Randomness is a seeded md5 of the row id: the same row gets the same draw on every run, in
-every partitioning, and after any task retry. Exact sizes come from hash-order thresholds
-(a uniform hash puts each threshold in a narrow band: only the band is ranked) or from the
-narrowed top-n, never from collecting rows or sorting the table.
+every partitioning, and after any task retry. Exact sizes come from hash-order thresholds, which are
+order statistics found by counting, or from the narrowed top-n, never from collecting rows or
+sorting the table.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key, md5_mod
+from .quantiles import order_statistics
 from .topn import first_rows
 
 
@@ -34,71 +35,102 @@ def _h60(h: "F.Column") -> "F.Column":
     return F.conv(F.substr(h, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
 
 
-TWO_60 = float(2 ** 60)
+#: Copies of one row that a task writes, at most.
+STRETCH = 10_000
 
 
 def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: int, key: str,
                     flag: str) -> DataFrame:
-    """Mark, in every class, the ``test_rows`` rows that come first in seeded-hash order
+    """Mark, in every class, exactly the ``test_rows`` rows that come first in seeded-hash order
     (``quotas``: one row per class with ``class_rows`` and ``test_rows``; a NULL label is a class).
 
-    The hash prefix is uniform, so a class threshold lies near ``(q / n) * 2^60``. One pass
-    counts, per class, the rows below a band around that point (must be at most ``q``) and
-    below its top (at least ``q``); only the band rows, O(sqrt(n)) per class, are ranked to
-    find the exact threshold row. No shuffle of the table, and a class holding most of the
-    rows costs the same as a small one. A missed band (probability ~1e-9) is widened and the
-    pass repeated. Exact sizes need distinct ids: when the threshold falls among rows of one id,
-    the split raises ``ValueError``."""
-    spark = df.sparkSession
+    The class thresholds are order statistics of the hash, found by counting (``quantiles``), so the
+    table is not shuffled and a class or an id that holds most of the rows costs the same as a small
+    one. When a threshold falls among the rows of one id, these are ordered by a digest of the whole
+    row. When it falls among equal rows, which nothing tells apart, the marked and unmarked ones are
+    written anew from their count. The split depends on the rows alone, not on where they stand."""
     d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h60", _h60(F.col("_h")))
-    ltype = df.schema[label].dataType.simpleString() if label else "int"
-
-    def attach(frame: DataFrame, rows: list[tuple], names: Sequence[str], types: str) -> DataFrame:
-        """``frame`` with the per-class values: literals when there is one class, else a broadcast
-        join (a row per class) in which a NULL label equals itself."""
-        if not label:
-            return frame.select("*", *[F.lit(v).cast(t).alias(n) for v, n, t in zip(rows[0][1:], names, types.split(","))])
-        t = spark.createDataFrame(rows, f"_cls {ltype}, " + ", ".join(f"{n} {x}" for n, x in zip(names, types.split(","))))
-        return frame.join(F.broadcast(t), F.col(label).eqNullSafe(F.col("_cls")), "left").drop("_cls")
-
-    classes = [(r[label] if label else 0, int(r["class_rows"]), int(r["test_rows"])) for r in quotas.collect()]
-    if not classes:
+    in_class = {r[label] if label else 0: (F.col(label).eqNullSafe(F.lit(r[label])) if label else F.lit(True), int(r["test_rows"]))
+                for r in quotas.collect()}  # one row per class
+    wanted = {c: (mine, q) for c, (mine, q) in in_class.items() if q > 0}
+    if not wanted:
         return df.withColumn(flag, F.lit(False))
-    g = F.col(label) if label else F.lit(0)
-    widen = 1.0
-    for _ in range(6):
-        bands = []
-        for cls, n, t in classes:
-            f = t / n if n else 0.0
-            delta = widen * (8.0 * math.sqrt(max(f * (1 - f), 1.0 / n) / n) + 64.0 / n) if n else 1.0
-            lo = int((f - delta) * TWO_60) if f - delta > 0 else -1
-            hi = int((f + delta) * TWO_60) if f + delta < 1 else 2 ** 62
-            bands.append((cls, lo, hi))
-        tagged = attach(d, bands, ["_lo", "_hi"], "long,long")
-        cnt = {r["g"]: (r["below"], r["upto"]) for r in tagged.groupBy(g.alias("g")).agg(
-            F.count_if(F.col("_h60") < F.col("_lo")).alias("below"),
-            F.count_if(F.col("_h60") < F.col("_hi")).alias("upto")).collect()}
-        if all(cnt.get(c, (0, 0))[0] <= t <= cnt.get(c, (0, 0))[1] for c, _, t in classes):
-            break
-        widen *= 4.0
-    else:
-        raise RuntimeError("hash band did not converge")
-    need = [(c, t - cnt.get(c, (0, 0))[0]) for c, _, t in classes]
-    band = attach(tagged.filter((F.col("_h60") >= F.col("_lo")) & (F.col("_h60") < F.col("_hi"))), need, ["_need"], "long")
-    band = band.select(g.alias("g"), "_need", "_h60", "_h", F.col(key).alias("_k"))
-    w = Window.partitionBy("g").orderBy("_h60", "_h", "_k")
-    last = (band.select("*", F.row_number().over(w).alias("_r"), F.lead("_k").over(w).alias("_next"))
-            .filter(F.col("_r") == F.col("_need")).collect())  # one row per class at most
-    if any(r["_next"] == r["_k"] for r in last):
-        raise ValueError(f"values of {key} repeat at the split point: an exact split needs distinct ids")
-    if not last:
-        return df.withColumn(flag, F.lit(False))
-    ktype = df.schema[key].dataType.simpleString()
-    tagged = attach(d, [(r["g"], r["_h60"], r["_h"], r["_k"]) for r in last], ["_th60", "_th", "_tk"], f"long,string,{ktype}")
-    mine = F.struct("_h60", "_h", F.col(key).alias("_k"))
-    return (tagged.withColumn(flag, F.coalesce(F.col("_th60").isNotNull() & (mine <= F.struct(
-        F.col("_th60").alias("_h60"), F.col("_th").alias("_h"), F.col("_tk").alias("_k"))), F.lit(False)))
-        .select(*df.columns, flag))
+    cut = _cuts(d, F.col("_h60"), wanted)
+    mark, partial = F.lit(False), {}
+    for c, (mine, _) in wanted.items():
+        mark = mark | (mine & (F.col("_h60") < F.lit(cut[c].value)))
+        if cut[c].need == cut[c].ties:
+            mark = mark | (mine & (F.col("_h60") == F.lit(cut[c].value)))
+        else:
+            partial[c] = mine & (F.col("_h60") == F.lit(cut[c].value))
+    if not partial:
+        return d.withColumn(flag, F.coalesce(mark, F.lit(False))).select(*df.columns, flag)
+    # rows of one id, or of the few ids that share the first 60 bits of the hash
+    tied = {c: d.filter(at).groupBy("_h", key).agg(F.count(F.lit(1)).alias("n")).orderBy("_h", key).collect() for c, at in partial.items()}
+    split_ids = {}
+    for c, at in partial.items():
+        need = cut[c].need
+        for r in tied[c]:
+            one = at & (F.col("_h") == F.lit(r["_h"])) & F.col(key).eqNullSafe(F.lit(r[key]))
+            if r["n"] <= need:
+                mark, need = mark | one, need - r["n"]
+            elif need:
+                split_ids[c] = (one, need)
+                need = 0
+    d = d.withColumn("_d60", F.when(_any([one for one, _ in split_ids.values()]), _h60(F.md5(F.to_json(F.struct(*df.columns)).cast("binary")))))
+    same = {}
+    for c, found in (_cuts(d, F.col("_d60"), split_ids) if split_ids else {}).items():
+        one = split_ids[c][0]
+        mark = mark | (one & (F.col("_d60") < F.lit(found.value)))
+        if found.need == found.ties:
+            mark = mark | (one & (F.col("_d60") == F.lit(found.value)))
+        else:
+            same[c] = (one & (F.col("_d60") == F.lit(found.value)), found.need)
+    out = d.withColumn(flag, F.coalesce(mark, F.lit(False)))
+    if not same:
+        return out.select(*df.columns, flag)
+    main = out.filter(~F.coalesce(_any([at for at, _ in same.values()]), F.lit(False))).select(*df.columns, flag)
+    for at, need in same.values():
+        main = main.unionByName(_equal_rows(d.filter(at).select(*df.columns), need, flag))
+    return main
+
+
+@dataclass
+class _Cut:
+    """Threshold of a class: rows at ``value`` that are still needed, and rows there."""
+
+    value: int
+    need: int
+    ties: int
+
+
+def _cuts(d: DataFrame, x: Column, wanted: dict) -> dict:
+    """The ``q``-th smallest value of a column among the rows of each condition, all in the same passes."""
+    columns = {c: F.when(mine, x) for c, (mine, _) in wanted.items()}
+    ranks = {c: q - 1 for c, (_, q) in wanted.items()}
+    sizes = d.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(columns.values())]).first()
+    n = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
+    _, found, _ = order_statistics(d, columns, lambda c, m: [ranks[c] / max(n[c] - 1, 1)] if m is None else [{ranks[c]}])
+    value = {c: found[c, r] for c, r in ranks.items()}
+    row = d.agg(*[F.count_if(v < F.lit(value[c])).alias(f"b{i}") for i, (c, v) in enumerate(columns.items())],
+                *[F.count_if(v == F.lit(value[c])).alias(f"t{i}") for i, (c, v) in enumerate(columns.items())]).first()
+    return {c: _Cut(value[c], ranks[c] + 1 - row[f"b{i}"], row[f"t{i}"]) for i, c in enumerate(columns)}
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
+
+
+def _equal_rows(rows: DataFrame, need: int, flag: str) -> DataFrame:
+    """Rows that are equal, the first ``need`` of them marked, written from their count in stretches."""
+    w = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)  # one row, unless digests collide
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_o", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    parts = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / STRETCH))).alias("_s"))
+    each = parts.select("*", F.explode(F.sequence(F.col("_s") * STRETCH, F.least(F.col("_n"), (F.col("_s") + 1) * STRETCH) - 1)).alias("_i"))
+    return each.select(*rows.columns, (F.col("_o") + F.col("_i") < F.lit(need)).alias(flag))
 
 
 def random_split(df: DataFrame, test_fraction: float, seed: int = 42, key: str = "id",

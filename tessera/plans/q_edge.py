@@ -107,6 +107,24 @@ def smp3_split_null_label(spark, sf):
     return S.hash_rank_split(d, q, "y", 42, "id", "is_test").select("id", "is_test")
 
 
+@register("smp3_split_repeated_ids", with_loans(""", t AS (SELECT CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS id, id % 2 AS y,
+  CASE WHEN id % 3 = 0 THEN grade ELSE sub_grade END AS g FROM loans),
+c AS (SELECT y, COUNT(*) AS n FROM t GROUP BY y), q AS (SELECT y, n, CAST(CEIL(0.4 * n) AS BIGINT) AS k FROM c),
+m AS (SELECT t.id, t.y, t.g, ROW_NUMBER() OVER (PARTITION BY t.y ORDER BY md5('42:' || CAST(t.id AS VARCHAR)), t.id,
+  md5('{"id":' || CAST(t.id AS VARCHAR) || ',"y":' || CAST(t.y AS VARCHAR) || ',"g":"' || t.g || '"}')) <= q.k AS is_test
+FROM t JOIN q ON t.y = q.y)
+SELECT id, y, g, is_test, COUNT(*) AS rows FROM m GROUP BY ALL"""))
+def smp3_split_repeated_ids(spark, sf):
+    """SMP3 where one id holds a third of the rows, most of them equal as a whole: sizes stay exact."""
+    hot = F.col("id") % 3 == 0
+    d = loans_df(spark, sf).select(F.when(hot, F.lit(7)).otherwise(F.col("id")).cast("long").alias("id"), (F.col("id") % 2).alias("y"),
+                                   F.when(hot, F.col("grade")).otherwise(F.col("sub_grade")).alias("g"))
+    q = d.groupBy("y").agg(F.count(F.lit(1)).alias("class_rows")).withColumn(
+        "test_rows", F.ceil(F.lit(0.4) * F.col("class_rows")).cast("bigint"))
+    s = S.hash_rank_split(d, q, "y", 42, "id", "is_test")
+    return s.groupBy("id", "y", "g", "is_test").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("dr4_empty_side", _KS_CHUNKS.replace("ref AS (SELECT * FROM ix", "ref AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS dti) FROM ix", 1)
           + _KS_SELECT)
 def dr4_empty_side(spark, sf):

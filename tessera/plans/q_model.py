@@ -66,7 +66,8 @@ def ml9_fit_and_score(spark, sf):
 def _split_rows(spark, sf):
     """Training rows, test rows, the number of training rows, and what releases the cached frame. The
     model keeps its constants, so scores can be computed after the release."""
-    d = ml_clean(spark, sf).repartition(ML.fit_partitions(spark, 1, 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = ml_clean(spark, sf)
+    d = raw.repartition(ML.fit_partitions(spark, raw.count(), len(raw.columns))).persist(StorageLevel.MEMORY_AND_DISK)
     sp = stratified_split(d, "target", 0.2, seed=42)
     train = sp.filter(~F.col("is_test"))
     return train, sp.filter(F.col("is_test")), train.count(), d.unpersist

@@ -167,11 +167,8 @@ def _smp5_sql():
 
 @register("smp5_split_percentiles", _smp5_sql())
 def smp5_split_percentiles(spark, sf):
-    from ..operators.profile import percentiles
+    """SMP5: percentiles of both sides of a split, in the passes of one table."""
+    from ..operators.profile import grouped_percentiles
     sp = S.random_split(prepared(loans_df(spark, sf)), 0.2, seed=42)
-    out = None
-    for side, flag in (("test", True), ("train", False)):
-        p = percentiles(sp.filter(F.col("is_test") == flag), ["loan_amnt", "rate_pct"], _SMP5_QS)
-        p = p.select(F.lit(side).alias("split"), "feature", "q", r6("value").alias("value"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    p = grouped_percentiles(sp, "is_test", [True, False], ["loan_amnt", "rate_pct"], _SMP5_QS)
+    return p.select(F.when(F.col("is_test"), "test").otherwise("train").alias("split"), "feature", "q", r6("value").alias("value"))

@@ -19,40 +19,56 @@ def _scratch():
     return tempfile.mkdtemp(prefix="tessera-test-", dir="/tmp")
 
 
-def newton_weighted_lr(x, y, w, lam):
-    """Minimise (1/sum w) sum w_i logloss_i + lam/2 |beta|^2 (intercept unpenalised)."""
+def newton_weighted_lr(x, y, w, c):
+    """Minimise c * sum w_i logloss_i + |beta|^2 / 2, the intercept (first) penalised as well."""
     n, d = x.shape
     xa = np.hstack([np.ones((n, 1)), x])
     beta = np.zeros(d + 1)
-    sw = w.sum()
-    pen = np.full(d + 1, lam)
-    pen[0] = 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-xa @ beta))
-        g = xa.T @ (w * (p - y)) / sw + pen * beta
-        h = (xa * (w * p * (1 - p))[:, None]).T @ xa / sw + np.diag(pen)
+        g = c * xa.T @ (w * (p - y)) + beta
+        h = c * (xa * (w * p * (1 - p))[:, None]).T @ xa + np.eye(d + 1)
         step = np.linalg.solve(h, g)
         beta -= step
-        if np.abs(step).max() < 1e-12:
+        if np.abs(step).max() < 1e-13:
             break
     return beta
 
 
-def test_lr_matches_newton_solve(spark):
+@pytest.mark.parametrize("cval", [1e-4, 0.1, 100.0])
+def test_lr_matches_newton_solve(spark, cval):
+    """Numbers and categories, a NULL category and missing numbers; the intercept is penalised."""
     rng = np.random.default_rng(0)
     n = 1500
     x = rng.normal(size=(n, 3))
-    y = (rng.uniform(size=n) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 0.2] - 1.0)))).astype(int)
-    rows = [(i, float(a), float(b), float(c), int(t)) for i, ((a, b, c), t) in enumerate(zip(x, y))]
-    df = spark.createDataFrame(rows, "id long, a double, b double, c double, target int")
-    cval = 0.1
-    model = ML.fit(df, c=cval, numeric=["a", "b", "c"], categorical=[], max_iter=200)
+    g = rng.integers(0, 4, n)
+    y = (rng.uniform(size=n) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 0.2] - 1.0 + 0.7 * (g == 1))))).astype(int)
+    names = ["r", "s", "t", None]
+    rows = [(i, float(a), None if i % 50 == 0 else float(b), float(e), names[k], int(t))
+            for i, ((a, b, e), k, t) in enumerate(zip(x, g, y))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, g string, target int")
+    model = ML.fit(df, c=cval, numeric=["a", "b", "c"], categorical=["g"])
     coef, icpt = ML.coefficients(model)
+    x[::50, 1] = np.median(np.delete(x[:, 1], np.s_[::50]))
     z = (x - x.mean(axis=0)) / x.std(axis=0)
+    hot = np.stack([g == 3, g == 0, g == 1, g == 2], 1).astype(float)  # Missing, r, s, t
     w = np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
-    beta = newton_weighted_lr(z, y, w, 1.0 / (cval * w.sum()))
-    assert icpt == pytest.approx(beta[0], abs=1e-4)
-    assert coef == pytest.approx(list(beta[1:]), abs=1e-4)
+    beta = newton_weighted_lr(np.hstack([z, hot]), y, w, cval)
+    assert icpt == pytest.approx(beta[0], abs=1e-6)
+    assert coef == pytest.approx(list(beta[1:]), abs=1e-6)
+    out = ML.score(model, df).orderBy("id").collect()
+    p = 1 / (1 + np.exp(-(np.hstack([z, hot]) @ beta[1:] + beta[0])))
+    assert [r["score"] for r in out] == pytest.approx(list(p), abs=1e-6)
+
+
+def test_separable_classes_converge(spark):
+    df = spark.createDataFrame([(i, float(i), int(i >= 50)) for i in range(100)], "id long, a double, target int")
+    model = ML.fit(df, c=1e6, numeric=["a"], categorical=[])
+    z = (np.arange(100) - 49.5) / np.arange(100).std()
+    beta = ML.coefficients(model)[0][0], ML.coefficients(model)[1]
+    p = 1 / (1 + np.exp(-(z * beta[0] + beta[1])))
+    y = (np.arange(100) >= 50).astype(float)
+    assert abs(1e6 * z @ (p - y) + beta[0]) < 1e-3 * 1e6 and abs(beta[0]) > 10
 
 
 def test_one_hot_unknown_and_null_are_zero(spark):
