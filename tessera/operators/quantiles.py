@@ -54,7 +54,8 @@ def order_statistics(df: DataFrame, columns: Mapping[str, Column], ranks_of, ext
     ``ranks_of(name, n)`` names the sets of ranks wanted of a column with ``n`` values, each set close together;
     with ``n`` None it names the share of the table at which each set lies. Returns
     ``({name: n}, {(name, rank): value}, row)``; ``row`` has the ``extra`` aggregates of ``df``, taken in the
-    first pass. Columns must be of an orderable numeric or date type without NaN."""
+    first pass. Columns must be of a numeric type without NaN, with values that a double holds exactly (the
+    sketch works on doubles; integers up to 2**53): a value of many rows then is an end of its bracket."""
     src = df.select("*", *[c.alias(f"_x{i}") for i, c in enumerate(columns.values())])
     at = {name: f"_x{i}" for i, name in enumerate(columns)}
     fractions = {name: sorted({f for q in ranks_of(name, None) for f in _around(q, ACCURACY)}) for name in columns}
@@ -77,7 +78,12 @@ def order_statistics(df: DataFrame, columns: Mapping[str, Column], ranks_of, ext
             lo, hi = sketch.get(low, row[f"{x}_lo"]), sketch.get(high, row[f"{x}_hi"])
             targets.append(_Target(name, tuple(ranks), min(lo, hi), max(lo, hi), row[f"{x}_lo"], row[f"{x}_hi"],
                                    6 * n / ACCURACY + MARGIN_ROWS))
+    seen = None
     while todo := [t for t in targets if t.open_ranks()]:
+        state = [(t.column, t.lo, t.hi, t.inside, t.expected, len(t.found)) for t in todo]
+        if state == seen:
+            raise ArithmeticError("brackets do not narrow: values are not exact as doubles")
+        seen = state
         _count(src, at, [t for t in todo if t.inside is None])
         todo = [t for t in todo if t.open_ranks()]
         _narrow(src, at, [t for t in todo if t.inside is not None])

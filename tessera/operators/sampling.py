@@ -35,6 +35,11 @@ def _h60(h: "F.Column") -> "F.Column":
     return F.conv(F.substr(h, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
 
 
+def _h52(h: Column) -> Column:
+    """The first 13 hex digits of a hex md5 as an integer that a double holds exactly."""
+    return F.conv(F.substr(h, F.lit(1), F.lit(13)), 16, 10).cast("bigint")
+
+
 #: Copies of one row that a task writes, at most.
 STRETCH = 10_000
 
@@ -49,23 +54,23 @@ def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: i
     one. When a threshold falls among the rows of one id, these are ordered by a digest of the whole
     row. When it falls among equal rows, which nothing tells apart, the marked and unmarked ones are
     written anew from their count. The split depends on the rows alone, not on where they stand."""
-    d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h60", _h60(F.col("_h")))
+    d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h52", _h52(F.col("_h")))
     in_class = {r[label] if label else 0: (F.col(label).eqNullSafe(F.lit(r[label])) if label else F.lit(True), int(r["test_rows"]))
                 for r in quotas.collect()}  # one row per class
     wanted = {c: (mine, q) for c, (mine, q) in in_class.items() if q > 0}
     if not wanted:
         return df.withColumn(flag, F.lit(False))
-    cut = _cuts(d, F.col("_h60"), wanted)
+    cut = _cuts(d, F.col("_h52"), wanted)
     mark, partial = F.lit(False), {}
     for c, (mine, _) in wanted.items():
-        mark = mark | (mine & (F.col("_h60") < F.lit(cut[c].value)))
+        mark = mark | (mine & (F.col("_h52") < F.lit(cut[c].value)))
         if cut[c].need == cut[c].ties:
-            mark = mark | (mine & (F.col("_h60") == F.lit(cut[c].value)))
+            mark = mark | (mine & (F.col("_h52") == F.lit(cut[c].value)))
         else:
-            partial[c] = mine & (F.col("_h60") == F.lit(cut[c].value))
+            partial[c] = mine & (F.col("_h52") == F.lit(cut[c].value))
     if not partial:
         return d.withColumn(flag, F.coalesce(mark, F.lit(False))).select(*df.columns, flag)
-    # rows of one id, or of the few ids that share the first 60 bits of the hash
+    # rows of one id, or of the few ids that share the first 52 bits of the hash
     tied = {c: d.filter(at).groupBy("_h", key).agg(F.count(F.lit(1)).alias("n")).orderBy("_h", key).collect() for c, at in partial.items()}
     split_ids = {}
     for c, at in partial.items():
@@ -77,15 +82,15 @@ def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: i
             elif need:
                 split_ids[c] = (one, need)
                 need = 0
-    d = d.withColumn("_d60", F.when(_any([one for one, _ in split_ids.values()]), _h60(F.md5(F.to_json(F.struct(*df.columns)).cast("binary")))))
+    d = d.withColumn("_d52", F.when(_any([one for one, _ in split_ids.values()]), _h52(F.md5(F.to_json(F.struct(*df.columns)).cast("binary")))))
     same = {}
-    for c, found in (_cuts(d, F.col("_d60"), split_ids) if split_ids else {}).items():
+    for c, found in (_cuts(d, F.col("_d52"), split_ids) if split_ids else {}).items():
         one = split_ids[c][0]
-        mark = mark | (one & (F.col("_d60") < F.lit(found.value)))
+        mark = mark | (one & (F.col("_d52") < F.lit(found.value)))
         if found.need == found.ties:
-            mark = mark | (one & (F.col("_d60") == F.lit(found.value)))
+            mark = mark | (one & (F.col("_d52") == F.lit(found.value)))
         else:
-            same[c] = (one & (F.col("_d60") == F.lit(found.value)), found.need)
+            same[c] = (one & (F.col("_d52") == F.lit(found.value)), found.need)
     out = d.withColumn(flag, F.coalesce(mark, F.lit(False)))
     if not same:
         return out.select(*df.columns, flag)
