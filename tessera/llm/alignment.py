@@ -509,55 +509,65 @@ def _looked_up(docs: DataFrame, id_col: str, text_col: str, paths: tuple[str, st
         keys, counts, row = _of(keys), _of(counts), TaskContext.get().partitionId() << 33
         arrow = to_arrow_schema(numbered(schema))
         of_pair = np.zeros((3, 0), np.int64)   # best or not, count, lost or not of al.pairs
-        of_chunk = np.zeros((3, 0), np.int64)  # the same, summed over a chunk's links
+        # figures of a chunk: A tokens, B tokens, groups, links, and the three of its links summed
+        of_chunk = np.zeros((0, 7), np.int64)
         epoch = al.epoch
 
         def look() -> None:
             """Figures of the pairs and chunks that are new."""
             nonlocal of_pair, of_chunk, epoch
             if epoch != al.epoch:
-                of_pair, of_chunk, epoch = of_pair[:, :0], of_chunk[:, :0], al.epoch
+                of_pair, of_chunk, epoch = of_pair[:, :0], of_chunk[:0], al.epoch
             codes = al.pairs[of_pair.shape[1]:]
             at = table.index(codes)
             known = at >= 0
             known[known] = keys[at[known]] == codes[known]
             count = np.where(known, counts[at] if len(counts) else 0, 0)
             of_pair = np.concatenate((of_pair, [known & (count == best[np.minimum(codes >> 32, len(best) - 1)]), count, ~known]), 1)
-            first = al.start[of_chunk.shape[1]:]
+            old = len(of_chunk)
+            first = al.start[old:]
             total = np.concatenate((np.zeros((3, 1), np.int64), np.cumsum(of_pair[:, al.codes[first[0]:]], 1)), 1)
-            of_chunk = np.concatenate((of_chunk, np.diff(total[:, first - first[0]])), 1)
+            new = np.stack((al.n_a[old:], al.n_b[old:], al.n_groups[old:], np.diff(first), *np.diff(total[:, first - first[0]])), 1)
+            of_chunk = np.concatenate((of_chunk, new))
 
         for b in batches:
-            ids, rows, sums, texts, rest, bad = b.column(0), [], np.zeros(6, np.int64), [], [], False
+            ids, sent, rows, chars = b.column(0), 0, [], 0
+            sums, texts, rest, bad = np.zeros(7, np.int64), [], [], False
+
+            def out():
+                cols = [ids.slice(sent, len(rows)), *map(list, zip(*rows)), list(range(row, row + len(rows)))]
+                return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
+                                                   for c, f in zip(cols, arrow)], schema=arrow)
+
             for run_of in _parts(b, 1, al.cut):
                 if al.full():
                     al.shrink()
                 some = [t for _, t, _ in run_of if t]
                 found = iter(al.numbers(some) if some else ())
                 look()
-                size = np.diff(al.start)
+                name = al.groups.__getitem__
                 for _, text, ends in run_of:
                     if text:
                         c = next(found)
                         bad = bad or bool(al.bad[c].any())
-                        own = of_chunk[:, c].sum(1)
-                        sums += [al.n_a[c].sum(), al.n_b[c].sum(), al.n_groups[c].sum(), size[c].sum(), own[0], own[1]]
-                        texts.append(";".join(map(al.groups.__getitem__, c.tolist())))
-                        if own[2]:
+                        own = of_chunk[c].sum(0)
+                        sums = sums + own
+                        texts.append(";".join(map(name, c.tolist())))
+                        if own[6]:
                             codes = al.links(c)
                             rest.extend(al.pairs[codes[of_pair[2, codes] > 0]].tolist())
                     if ends:
                         if bad:
                             sums, texts, rest = sums * 0, [], []
                         v = sums.tolist()
-                        rows.append((*v[:3], ";".join(texts), *v[3:], rest))
-                        sums, texts, rest, bad = np.zeros(6, np.int64), [], [], False
-            first = 0
-            while first < len(rows):
-                part = rows[first:first + 512]
-                cols = [ids.slice(first, len(part)), *map(list, zip(*part)), list(range(row, row + len(part)))]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
-                                                  for c, f in zip(cols, arrow)], schema=arrow)
-                row, first = row + len(part), first + len(part)
+                        rows.append((*v[:3], ";".join(texts), *v[3:6], rest))
+                        chars += len(rows[-1][3])
+                        sums, texts, rest, bad = np.zeros(7, np.int64), [], [], False
+                        if chars > 4 * BATCH_CHARS or len(rows) >= 2048:
+                            yield out()
+                            row, sent, rows, chars = row + len(rows), sent + len(rows), [], 0
+            if rows:
+                yield out()
+                row += len(rows)
 
     return map_arrow(src, run, schema)
