@@ -60,20 +60,23 @@ class BlankCachedEncoder:
     #: Pre-token pattern of the tokenizer file; fixed by that file.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 500_000):
         import re
 
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.split = regex.compile(self.PATTERN).findall
         self.whole = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\u0130-\U0010ffff]|<\\|").search
-        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # a character for each byte, as in byte-level vocabularies
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in shown]
+        self.of_byte = {b: 256 + i for i, b in enumerate(hidden)}
         self.young, self.old, self.keep = _Cache(self._made, 2 * keep), {}, keep
 
     def _model(self, p: str) -> bytes:
         """Ids of one pre-token."""
-        ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else self.to_bytes(p)[0][0])]
+        ids = [t.id for t in self.tok.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.of_byte))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _made(self, c: str) -> bytes:
