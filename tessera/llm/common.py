@@ -155,6 +155,27 @@ class ByteHasher:
         return out if lengths else out[:, 0]
 
 
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte ranges ``buf[start:end]`` (``buf`` is uint8), for telling words apart: eight bytes
+    at a time are mixed in by a bijection that is not linear, so no pattern of bytes collides by itself.
+    Ranges of over 64 bytes are hashed one by one."""
+    import xxhash
+    size = (end - start).astype(np.int64)
+    out = mix64(size.astype(_U) + _U(0x9E3779B97F4A7C15 * (2 * seed + 1) & 0xFFFFFFFFFFFFFFFF))
+    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
+    lanes = np.lib.stride_tricks.as_strided(padded[:8].view(_U), (max(1, len(buf)),), (1,), writeable=False)
+    keep = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
+    for lane in range(8):
+        some = np.flatnonzero((size > 8 * lane) & (size <= 64))
+        if not len(some):
+            continue
+        word = lanes[start[some] + 8 * lane] & keep[np.minimum(size[some] - 8 * lane, 8)]
+        out[some] = mix64((out[some] ^ word) * _U(0xD6E8FEB86659FD93) + _U(lane + 1))
+    for i in np.flatnonzero(size > 64).tolist():
+        out[i] = xxhash.xxh64_intdigest(buf[start[i]:end[i]].tobytes(), seed)
+    return out
+
+
 def word_spans(buf: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end offsets of the maximal runs of bytes whose table entry is true."""
     inside = is_word[buf]

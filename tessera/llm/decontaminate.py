@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ByteHasher, _q, byte_table, map_arrow, numbered, word_spans
+from .common import _q, byte_table, map_arrow, numbered, word_hashes, word_spans
 from .fmindex import FMIndex
 
 BLOCK_BYTES = 4 << 20
@@ -34,7 +34,6 @@ PART_BYTES = 1 << 20
 #: Bytes of words: digits, a-z and everything beyond ASCII (after A-Z are lower-cased).
 _WORD = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-_HASHER = ByteHasher(8)
 
 
 def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,7 +44,7 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     start, end = word_spans(buf, _WORD)
     doc = np.searchsorted(ends, start, side="right")
     shift = (ends - sizes)[doc]
-    return doc, start - shift, end - shift, _HASHER.ranges(buf, start, end)
+    return doc, start - shift, end - shift, word_hashes(buf, start, end, 8)
 
 
 class Phrases:

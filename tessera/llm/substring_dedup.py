@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_BLANK, ByteHasher, _q, mix64, rows_out, word_spans
+from .common import NOT_BLANK, _q, mix64, rows_out, word_hashes, word_spans
 from .fmindex import FMIndex
 
 WINDOW = 35
@@ -45,7 +45,7 @@ COUNTER_BYTES = 32 << 20   # of all text for each counter
 SHARD_BYTES = 2 << 20      # of all text for each shard
 HOT_CHUNKS = 64
 MAX_WINDOWS = 256          # of a segment; longer runs of one shard are cut between windows
-_WORDS, _ORDER = ByteHasher(2), 0x9E3779B97F4A7C15
+_ORDER = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
@@ -65,7 +65,7 @@ class Chunk:
     def __init__(self, texts: list[bytes]):
         buf = np.frombuffer(b"\n".join(texts), np.uint8)
         self.begin, self.end = word_spans(buf, NOT_BLANK)
-        self.words = _WORDS.ranges(buf, self.begin, self.end)
+        self.words = word_hashes(buf, self.begin, self.end, 2)
         self.buf = buf
         doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), self.begin, side="right")
         self.count = np.bincount(doc, minlength=len(texts))
@@ -231,9 +231,9 @@ def _segments(row: dict, answers: pa.Table, n: int, k: int, shards: int) -> list
     last = high + n - 2  # the last word
     weight = _multiplicity(row)[c.doc[low]]
     # equal segments of the chunk once: (first of the equal ones, their summed weight)
-    _WORDS.powers(len(c.words) + 1)
-    total = np.concatenate((np.zeros(1, _U), np.cumsum(mix64(c.words) * _WORDS.up[:len(c.words)])))
-    same = mix64((total[last + 1] - total[low]) * _WORDS.down[low]) ^ (last - low).astype(_U)
+    import xxhash
+    words = np.ascontiguousarray(c.words)
+    same = np.array([xxhash.xxh64_intdigest(words[i:j + 1]) for i, j in zip(low.tolist(), last.tolist())], _U)
     _, keep, where = np.unique(np.stack((same, shard.astype(_U))), axis=1, return_index=True, return_inverse=True)
     where = where.reshape(-1)
     weight = np.bincount(where, weight, len(keep)).astype(np.int64)
