@@ -129,10 +129,12 @@ def test_split_extreme_fractions_and_tiny_classes(spark):
     assert r.filter("is_test").count() == 20 and r.count() == 40
 
 
-def test_split_refuses_repeated_ids_at_the_split_point(spark):
+def test_split_of_equal_rows_is_exact(spark):
+    """Ten equal rows: nothing tells them apart, the sizes hold all the same."""
     df = spark.createDataFrame([(1, 0)] * 10, "id long, target int")
-    with pytest.raises(ValueError, match="repeat"):
-        S.random_split(df, 0.5)
+    out = S.stratified_split(df, "target", 0.3)
+    assert out.columns == ["id", "target", "is_test"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 0, False)] * 7 + [(1, 0, True)] * 3
 
 
 def test_null_labels_are_a_class(spark):
