@@ -239,16 +239,20 @@ def default_suite(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return shared.unionByName(missing_on_sample_check(df, order_by))
 
 
-def run_suite(spark: SparkSession, checks: Sequence[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
-    """DQ6 with SRC7: evaluate each check; a check whose plan or scan fails becomes a failed
-    row instead of stopping the suite. Report rows are tiny and are collected here."""
+def run_suite(spark: SparkSession, checks: Sequence[tuple]) -> DataFrame:
+    """DQ6 with SRC7: evaluate each entry ``(name, build)`` or ``(name, build, dependents)``. An entry whose plan
+    or scan fails becomes a failed row instead of stopping the suite, and so does every check named in
+    ``dependents``, whose figures come from that scan. Report rows are tiny and are collected here."""
     rows = []
-    for name, build in checks:
+    for name, build, *rest in checks:
         try:
             rows.extend(build().collect())
         except (PySparkException, OSError) as e:  # analysis, execution or I/O failure
             rows.append(Row(check_name=name, sub_check=None, passed=False, metrics=None,
                             details=f"{type(e).__name__}: {e}"))
+            rows += [Row(check_name=d, sub_check=None, passed=False, metrics=None,
+                         details=f"not evaluated: it needs the results of '{name}', which failed")
+                     for d in (rest[0] if rest else ())]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

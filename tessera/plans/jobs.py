@@ -26,12 +26,17 @@ from ..sources import registry as REG
 
 # --- E1 ------------------------------------------------------------------------------------------
 
+# The checks that read the shared scan.
+SCAN_DEPENDENTS = ("Loan Status Distribution", "Interest Rate Sanity")
+
+
 def validate_data(spark: SparkSession, df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """DQ6: the three-check suite, each check isolated so a failing scan becomes a failed row."""
+    """DQ6: the three-check suite, each check isolated. A failing shared scan gives a failed row for itself and one
+    for each of the two checks that read its results."""
     def shared():
         scan = C.status_rate_scan(df)
         return C._explode_rows(scan, [C.status_distribution_row(scan), C.rate_sanity_row()])
-    return C.run_suite(spark, [("Chunked Data Processing", shared),
+    return C.run_suite(spark, [("Chunked Data Processing", shared, SCAN_DEPENDENTS),
                                ("Missing Loan Amount", lambda: C.missing_on_sample_check(df, order_by))])
 
 
@@ -122,8 +127,10 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
         params.update(train_set_size=sizes.get("train", 0), test_set_actual_size=sizes.get("test", 0),
                       numeric_features_used=", ".join(numeric), categorical_features_used=", ".join(categorical),
                       training_status="success")
-        REG.log_run(spark, runs_path, run_id, {"test_accuracy": acc, "test_roc_auc": auc_row["roc_auc"]}, params)
-        REG.register_model(spark, registry_path, version_name, uri, run_id, numeric, categorical, schema, example)
+        REG.log_run(spark, runs_path, run_id, {"test_accuracy": acc, "test_roc_auc": auc_row["roc_auc"]}, params,
+                    commit=f"train-{run_id}")
+        REG.register_model(spark, registry_path, version_name, uri, run_id, numeric, categorical, schema, example,
+                           commit=f"train-{run_id}")
         lap("save_register")
         return {"run_id": run_id, "model_uri": uri, "accuracy": acc, "roc_auc": auc_row["roc_auc"],
                 "train_rows": sizes.get("train", 0), "test_rows": sizes.get("test", 0), "report": report,
@@ -131,8 +138,8 @@ def train_model(spark: SparkSession, df: DataFrame, registry_path: str, runs_pat
     except Exception as e:  # noqa: BLE001  (recorded, then reported to the caller)
         status = e.status if isinstance(e, TrainingStopped) else STOPPED_ERROR
         params.update(training_status=status, error_message=str(e))
-        REG.log_run(spark, runs_path, run_id, None, params)
-        REG.record_failure(spark, registry_path, version_name, str(e), run_id)
+        REG.log_run(spark, runs_path, run_id, None, params, commit=f"train-{run_id}")
+        REG.record_failure(spark, registry_path, version_name, str(e), run_id, commit=f"train-{run_id}")
         return {"run_id": run_id, "status": "failed", "training_status": status, "error": str(e)}
     finally:
         if d is not None:
@@ -163,12 +170,12 @@ def robustness_job(spark: SparkSession, df: DataFrame, order_by: Sequence[str],
     if not head.filter(F.col("loan_status").isin(ML.TRAINING_STATUSES)).limit(1).count():
         res = spark.createDataFrame([(0, 0, 0.0, None, ROBUSTNESS_EMPTY)],
                                     "rows long, changed long, change_pct double, passed boolean, status string")
-        REG.append_run_rows(R.robustness_record(res, m["run_id"]), runs_path)
+        REG.append_run_rows(R.robustness_record(res, m["run_id"]), runs_path, commit=f"robustness-{m['run_id']}")
         return res
     clean = ML.prepare(head, "binary", numeric=list(m["numeric_features"]),
                        categorical=list(m["categorical_features"]))
     res = R.robustness(clean, lambda d: ML.score(model, d, keep=[key]), key=key)
-    REG.append_run_rows(R.robustness_record(res, m["run_id"]), runs_path)
+    REG.append_run_rows(R.robustness_record(res, m["run_id"]), runs_path, commit=f"robustness-{m['run_id']}")
     return res
 
 

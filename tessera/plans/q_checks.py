@@ -3,12 +3,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import checks as C
+from ..session import checkpoint_dir
 from ..sources.loans import ORDER_KEY
+from ..sources.tables import read_csv_checked, read_table
 from .catalog import RATE_FRAC_SQL, RATE_PCT_SQL, loans_df, register, with_loans
+from .jobs import validate_data
 
 
 def flatten(report: DataFrame) -> DataFrame:
@@ -113,6 +119,39 @@ def dq6_suite_overall(spark, sf):
     return C.overall(C.default_suite(loans_df(spark, sf), ORDER_KEY))
 
 
+@register("src7_failed_scan", with_loans("""
+SELECT check_name, false AS passed, missing FROM (SELECT COUNT(*) FILTER (WHERE loan_status IS NULL) AS missing FROM loans) a
+  CROSS JOIN (VALUES ('Chunked Data Processing'), ('Loan Status Distribution'), ('Interest Rate Sanity')) v(check_name)
+UNION ALL SELECT check_name, passed, (SELECT COUNT(*) FILTER (WHERE loan_status IS NULL) FROM loans) FROM (""" + _DQ5_ROWS + ")"))
+def src7_failed_scan(spark, sf):
+    """SRC7: the shared scan fails (no rate column); it and the two checks that need it are failed rows, the
+    independent check still runs. ``missing`` counts the loans without a status, from the table that was scanned."""
+    d = loans_df(spark, sf)
+    report = validate_data(spark, d.drop("int_rate"), ORDER_KEY)
+    missing = d.select(F.count_if(F.col("loan_status").isNull())).scalar()
+    return report.select("check_name", "passed", missing.alias("missing"))
+
+
+@register("src1_csv_rejects", """SELECT CASE WHEN o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 THEN 'rejected' ELSE 'read' END AS part,
+  COUNT(*) AS rows, CAST(SUM(o_orderkey) AS BIGINT) AS keys,
+  MAX(CASE WHEN o_orderkey % 89 <> 0 AND o_orderkey % 97 <> 0 THEN o_totalprice END) AS most FROM orders GROUP BY 1""")
+def src1_csv_rejects(spark, sf):
+    """SRC1: orders written as CSV lines, of which those of two residues are broken (a price that is no number, a
+    missing field), read back with the reject channel."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    k = F.col("o_orderkey")
+    key, status, price = (F.coalesce(c.cast("string"), F.lit("")) for c in (k, F.col("o_orderstatus"), F.col("o_totalprice")))
+    line = (F.when(k % 97 == 0, F.concat_ws(",", key, status))
+            .when(k % 89 == 0, F.concat_ws(",", key, status, F.concat(F.lit("about "), price)))
+            .otherwise(F.concat_ws(",", key, status, price)))
+    read_table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    schema = T.StructType().add("key", T.LongType()).add("status", T.StringType()).add("price", T.DoubleType())
+    rows, rejects = read_csv_checked(spark, path, schema, header=False)
+    lost = rejects.select(F.split("line", ",")[0].cast("long").alias("key"), F.lit(None).cast("double").alias("price"))
+    both = rows.select(F.lit("read").alias("part"), "key", "price").unionByName(lost.withColumn("part", F.lit("rejected")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("key").alias("keys"), F.max("price").alias("most"))
+
+
 @register("dq8_min_records", with_loans("""SELECT 'Minimum Records' AS check_name, '' AS sub_check, COUNT(*) >= 1000 AS passed,
   'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM loans WHERE loan_status IN ('Fully Paid', 'Charged Off')
 UNION ALL SELECT 'Minimum Records', '', COUNT(*) >= 1000, 'minimum', 1000.0 FROM loans WHERE loan_status IN ('Fully Paid', 'Charged Off')"""))

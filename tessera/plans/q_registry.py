@@ -65,6 +65,14 @@ def reg2_latest_rows(spark, sf):
     return REG.latest(registry_frame(spark, sf)).select("model_version_name", "run_id", "model_uri", "status")
 
 
+@register("reg2_equal_times", _REG + "SELECT model_version_name, run_id, model_uri, status FROM latest")
+def reg2_equal_times(spark, sf):
+    """REG2: all rows carry one registration time, as from writers with a coarse clock; the commit number decides."""
+    reg = registry_frame(spark, sf).withColumn("seq", F.unix_timestamp("registered_at"))
+    tied = reg.withColumn("registered_at", F.timestamp_seconds(F.lit(0)))
+    return REG.latest(tied).select("model_version_name", "run_id", "model_uri", "status")
+
+
 @register("reg3_readiness", _REG + """SELECT model_version_name, CASE WHEN status = 'TRAINING_FAILED' THEN 'TRAINING_FAILED'
   WHEN model_uri IS NULL OR has_numeric = 0 THEN 'INCOMPLETE' ELSE 'READY' END AS readiness FROM latest""")
 def reg3_readiness(spark, sf):
@@ -100,6 +108,24 @@ def snk3_run_metrics(spark, sf):
     return REG.read_runs(spark, path).select("run_id", "key", r6("value").alias("value"), "text", "step")
 
 
+@register("snk3_retried_commit", """SELECT COUNT(*) AS rows, COUNT(DISTINCT o_orderkey) AS runs, MIN(o_totalprice) AS least,
+  MAX(o_totalprice) AS most FROM orders""")
+def snk3_retried_commit(spark, sf):
+    """SNK3: one metric row per order in two commits. The first commit is written twice, its first try with other
+    values; one copy of each is read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    k = F.col("o_orderkey")
+    m = read_table(spark, sf, "orders").select(
+        F.concat(F.lit("run"), k.cast("string")).alias("run_id"), F.lit("price").alias("key"),
+        F.col("o_totalprice").alias("value"), F.lit(None).cast("string").alias("text"), (k % 2 == 0).alias("even"))
+    even, odd = m.where("even"), m.where("not even")
+    REG.append_run_rows(even.withColumn("value", F.lit(-1.0)), path, commit="even")
+    REG.append_run_rows(odd, path, commit="odd")
+    REG.append_run_rows(even, path, commit="even")
+    return REG.read_runs(spark, path).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("run_id").alias("runs"),
+                                          F.min("value").alias("least"), F.max("value").alias("most"))
+
+
 @register("snk6_model_signature", with_loans("""SELECT 'input' AS part, CAST(ROW_NUMBER() OVER (ORDER BY issue_d, id) - 1 AS INTEGER) AS position,
   'id ' || CAST(id AS VARCHAR) AS name, grade AS type FROM (SELECT * FROM loans ORDER BY issue_d, id LIMIT 5)
 UNION ALL SELECT 'schema', p, n, t FROM (SELECT MIN(id) AS m FROM loans) CROSS JOIN

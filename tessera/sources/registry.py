@@ -1,14 +1,19 @@
 """Model registry and run-metric tables (REG1-REG5, SNK3, SNK5, SNK6).
 
-Both are append-only parquet tables: a write never rewrites other models' rows (a failed
-training appends a failure row instead of replacing the file), and the current state is a
-view: latest row per name by ``max_by`` (a partial aggregate, no sort of the table).
+Both are parquet tables of commits: a write fills a folder ``commit=<name>`` of its own and never
+rewrites another commit's rows (a failed training adds a failure row instead of replacing the file). A
+writer that names its commit (say, after its run) may be retried: the second write replaces the first, so the
+table holds one copy. The current state is a view: the last row per name by ``max_by`` (a partial
+aggregate, no sort of the table). What is last follows ``seq``, a number drawn when a commit is written and
+higher than any in the table; equal numbers (writers at the same moment, tables without the column) go on
+with the time, then the run, then the row's other values, so the view never depends on row order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -30,6 +35,7 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("output_schema", T.StringType(), True),
     T.StructField("input_example", T.StringType(), True),
     T.StructField("registered_at", T.TimestampType(), False),
+    T.StructField("seq", T.LongType(), True),
 ])
 
 RUN_METRICS_SCHEMA = T.StructType([
@@ -52,45 +58,58 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def append_registry(spark: SparkSession, path: str, rows: Sequence[dict]) -> None:
-    """REG2 / REG4: append registry rows (missing fields are NULL)."""
+def _commit(df: DataFrame, path: str, commit: str | None) -> None:
+    """Write one commit. A name that was used before replaces that commit's rows."""
+    name = commit or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        raise ValueError(f"commit name {name!r}: letters, digits, '_', '.' and '-' only")
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/commit={name}")
+
+
+def append_registry(spark: SparkSession, path: str, rows: Sequence[dict], commit: str | None = None) -> None:
+    """REG2 / REG4: add registry rows (missing fields are NULL) as one commit, numbered on from the
+    table's highest ``seq`` in the order given."""
+    top = read_registry(spark, path).agg(F.max("seq")).first()[0] or 0
     full = []
-    for r in rows:
+    for i, r in enumerate(rows, 1):
         d = {f.name: r.get(f.name) for f in REGISTRY_SCHEMA.fields}
         d["registered_at"] = d["registered_at"] or _now()
+        d["seq"] = top + i
         full.append(Row(**d))
-    spark.createDataFrame(full, REGISTRY_SCHEMA).write.mode("append").parquet(path)
+    _commit(spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1), path, commit)
 
 
 def register_model(spark: SparkSession, path: str, version_name: str, model_uri: str, run_id: str,
                    numeric: Sequence[str], categorical: Sequence[str], input_schema: str | None = None,
-                   input_example: str | None = None, model_name: str = MODEL_NAME) -> None:
+                   input_example: str | None = None, model_name: str = MODEL_NAME, commit: str | None = None) -> None:
     append_registry(spark, path, [dict(model_version_name=version_name, model_uri=model_uri, run_id=run_id,
                                        model_name=model_name, numeric_features=list(numeric),
                                        categorical_features=list(categorical), status="REGISTERED",
                                        input_schema=input_schema, output_schema=OUTPUT_SCHEMA.json(),
-                                       input_example=input_example)])
+                                       input_example=input_example)], commit)
 
 
-def record_failure(spark: SparkSession, path: str, version_name: str, error: str, run_id: str | None = None) -> None:
+def record_failure(spark: SparkSession, path: str, version_name: str, error: str, run_id: str | None = None,
+                   commit: str | None = None) -> None:
     """REG4: a failed training adds a TRAINING_FAILED row for that name only."""
     append_registry(spark, path, [dict(model_version_name=version_name, run_id=run_id, status="TRAINING_FAILED",
-                                       error=error)])
+                                       error=error)], commit)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """REG1: the registry table; a missing table reads as empty; a corrupt file raises when read."""
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+        return spark.read.schema(REGISTRY_SCHEMA).parquet(path).select(*REGISTRY_SCHEMA.fieldNames())
     except AnalysisException:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
 def latest(registry: DataFrame) -> DataFrame:
-    """REG2 view: the most recent row per model version name (last write wins)."""
-    cols = [c for c in registry.columns]
-    return (registry.groupBy("model_version_name")
-            .agg(F.max_by(F.struct(*cols), "registered_at").alias("r")).select("r.*"))
+    """REG2 view: the row written last per model version name, by ``seq``, then time, run and the other values."""
+    first = [c for c in ("seq", "registered_at", "run_id") if c in registry.columns]
+    order = F.struct(*first, *[c for c in registry.columns if c not in first])
+    return (registry.groupBy("model_version_name").agg(F.max(order).alias("r"))
+            .select(*[F.col(f"r.{c}").alias(c) for c in registry.columns]))
 
 
 def validate(latest_rows: DataFrame) -> DataFrame:
@@ -114,27 +133,27 @@ def versions(registry: DataFrame) -> DataFrame:
 
 
 def log_run(spark: SparkSession, path: str, run_id: str, metrics: dict[str, float] | None = None,
-            params: dict[str, object] | None = None, step: int = 0) -> None:
-    """SNK3: append run metrics (numeric) and parameters (text) as long key/value rows."""
+            params: dict[str, object] | None = None, step: int = 0, commit: str | None = None) -> None:
+    """SNK3: add run metrics (numeric) and parameters (text) as long key/value rows, one commit."""
     ts = _now()
     rows = [Row(run_id=run_id, key=k, value=float(v) if v is not None else None, text=None, step=step, ts=ts)
             for k, v in (metrics or {}).items()]
     rows += [Row(run_id=run_id, key=k, value=None, text=str(v), step=step, ts=ts) for k, v in (params or {}).items()]
     if rows:
-        spark.createDataFrame(rows, RUN_METRICS_SCHEMA).write.mode("append").parquet(path)
+        _commit(spark.createDataFrame(rows, RUN_METRICS_SCHEMA).coalesce(1), path, commit)
 
 
-def append_run_rows(df: DataFrame, path: str, step: int = 0) -> None:
+def append_run_rows(df: DataFrame, path: str, step: int = 0, commit: str | None = None) -> None:
     """SNK3 for metric rows computed by a job ``(run_id, key, value, text)``: written by the
-    executors, nothing passes through the driver."""
-    df.select("run_id", "key", F.col("value").cast("double"), F.col("text").cast("string"),
-              F.lit(step).alias("step"), F.current_timestamp().cast("timestamp").alias("ts")) \
-        .write.mode("append").parquet(path)
+    executors, nothing passes through the driver. A job that names its commit leaves one copy when it is retried."""
+    out = df.select("run_id", "key", F.col("value").cast("double"), F.col("text").cast("string"),
+              F.lit(step).alias("step"), F.current_timestamp().cast("timestamp").alias("ts"))
+    _commit(out, path, commit)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(RUN_METRICS_SCHEMA).parquet(path)
+        return spark.read.schema(RUN_METRICS_SCHEMA).parquet(path).select(*RUN_METRICS_SCHEMA.fieldNames())
     except AnalysisException:
         return spark.createDataFrame([], RUN_METRICS_SCHEMA)
 

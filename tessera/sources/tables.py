@@ -55,6 +55,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = LOAN_CSV_SCH
                        .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType = LOAN_CSV_SCHEMA,
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """SRC1 with a reject channel: ``(rows, rejects)``. ``rows`` are the lines that parse in all their columns, NaN as
+    NULL; ``rejects`` has the column ``line`` with every other line as it stands: a value of the wrong type, or
+    too few or too many fields. Empty fields are NULL and no fault; empty lines do not count. Every line is in
+    one of the two, whichever columns are read later: all columns are parsed, as a pruned scan would let a line
+    pass whose fault lies in a column not asked for."""
+    line = "_reject_line"
+    full = T.StructType([*schema.fields, T.StructField(line, T.StringType())])
+    parsed = (spark.read.schema(full).option("header", header).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", line).option("columnPruning", "false").csv(path))
+    # always true, and keeps every column in the scan: Spark converts only the columns a query asks for
+    asked = parsed.where(F.xxhash64(*[F.col(f"`{c}`") for c in schema.fieldNames()]) >= F.lit(-(1 << 63)))
+    rows = asked.where(F.col(line).isNull()).drop(line)
+    return nan_to_null(rows), asked.where(F.col(line).isNotNull()).select(F.col(line).alias("line"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Ingest rule: every double NaN becomes NULL so that the library sees one null kind."""
     if not any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in df.schema.fields):

@@ -4,14 +4,19 @@ ST1: the chunked status/rate accumulators of the validator become a streaming ag
 (state = one row per status), drained with ``trigger(availableNow=True)``.
 ST2: a drift monitor: per tumbling event-time window, value histograms (state = windows x bins,
 bounded by the watermark) compared with a static reference histogram by a binned K-S
-statistic. Sinks are ``foreachBatch`` writers into parquet tables; the checkpoint lives under
-the shared ``spark.checkpoint.dir``.
+statistic. Sinks are ``foreachBatch`` writers into parquet tables.
+
+Streams resume: offsets and state live in ``spark.checkpoint.dir`` under the job's name (default: a name made
+from the output path), so the next call reads only what has arrived since. Sinks are idempotent by batch: a
+batch that is run again after a failure replaces its own rows. Whoever deletes an output must give the next
+job another name, or the rows drained before are not there.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +25,38 @@ from ..operators.histogram import bin_index
 from ..session import checkpoint_dir
 
 
-def _ckpt(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:8]}"
+def job_folder(spark: SparkSession, kind: str, out_path: str, job: str | None) -> str:
+    """Folder of a job's offsets and state. The setting itself is used: the session's own checkpoint
+    folder below it has a random name."""
+    private = checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or private
+    return f"{base.rstrip('/')}/stream-{kind}-{job or hashlib.sha256(out_path.encode()).hexdigest()[:32]}"
+
+
+def _drain(agg: DataFrame, mode: str, write, folder: str) -> dict[str, int]:
+    """Run a stream over all that is available. Returns the rows read by this call and the late groups: rows of the
+    partial aggregation that came after their window was closed."""
+    q = (agg.writeStream.outputMode(mode).foreachBatch(write)
+         .option("checkpointLocation", folder).trigger(availableNow=True).start())
+    seen = {}
+    done = False
+    while not done:
+        done = q.awaitTermination(1)
+        seen |= {p.batchId: p for p in q.recentProgress}
+    return {"rows_read": sum(p.numInputRows for p in seen.values()),
+            "late_groups": sum(s.numRowsDroppedByWatermark for p in seen.values() for s in p.stateOperators)}
+
+
+def _batch_writer(out_path: str, change=lambda batch: batch):
+    """Writes each batch to a folder of its own, which a second run of the batch replaces. The batch is kept while
+    it is written: ``change`` may read it more than once, and each reading would run the stream's state again."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            change(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+    return write
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -47,23 +82,19 @@ def quality_accumulators(stream: DataFrame, status_col: str, value_col: str | Co
         F.count_if(v.isNull()).alias("null_values"))
 
 
-def drain_complete(agg: DataFrame, out_path: str, name: str = "st1") -> None:
-    """Run a complete-mode aggregation over everything available and keep the last snapshot
+def drain_complete(agg: DataFrame, out_path: str, job: str | None = None) -> dict[str, int]:
+    """Run a complete-mode aggregation over everything that is new and keep the last snapshot
     (each batch overwrites the table with the full state, so a retried batch is harmless)."""
-    spark = agg.sparkSession
-
-    def write(batch: DataFrame, _epoch: int) -> None:
+    def write(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _drain(agg, "complete", write, job_folder(agg.sparkSession, "st1", out_path, job))
 
 
 def incremental_quality(spark: SparkSession, source: str, schema: T.StructType, status_col: str,
-                        value_col: str, out_path: str) -> DataFrame:
-    """ST1 end to end: stream the source, drain, return the accumulated table."""
-    drain_complete(quality_accumulators(read_stream(spark, source, schema), status_col, value_col), out_path)
+                        value_col: str, out_path: str, job: str | None = None) -> DataFrame:
+    """ST1 end to end: stream what is new in the source, drain, return the accumulated table."""
+    drain_complete(quality_accumulators(read_stream(spark, source, schema), status_col, value_col), out_path, job)
     return spark.read.parquet(out_path)
 
 
@@ -92,18 +123,10 @@ def window_day(window_start: str = "window_start") -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
 
 
-def drain_updates(agg: DataFrame, out_path: str, name: str = "st2") -> None:
-    """Update-mode drain: every micro-batch appends the changed (key, count) rows with its
-    batch id; the newest row per key is the final count (``latest_updates``). A retried batch
-    appends the same rows under the same id again, which leaves that result unchanged."""
-    spark = agg.sparkSession
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(out_path)
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
-    q.awaitTermination()
+def drain_updates(agg: DataFrame, out_path: str, job: str | None = None) -> dict[str, int]:
+    """Update-mode drain: every micro-batch adds the changed (key, count) rows under its
+    batch id; the newest row per key is the final count (``latest_updates``)."""
+    return _drain(agg, "update", _batch_writer(out_path), job_folder(agg.sparkSession, "st2", out_path, job))
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str], value: str = "count") -> DataFrame:
@@ -149,3 +172,26 @@ def windowed_drift(spark: SparkSession, source: str, schema: T.StructType, ts_co
     drain_updates(agg, out_path)
     counts = latest_updates(spark, out_path, ["window_start", "bin"])
     return binned_ks(counts, reference_histogram(reference, value_col, lo, hi, bins), bins)
+
+
+CLOSED_SCHEMA = T.StructType().add("window_start", T.TimestampType()).add("rows", T.LongType()).add("ks_binned", T.DoubleType())
+
+
+def closed_window_drift(spark: SparkSession, source: str, schema: T.StructType, ts_col: str, value_col: str,
+                        reference: DataFrame, lo: float, hi: float, bins: int, out_path: str, window: str = "1 day",
+                        watermark: str = "1 day", max_files: int | None = None,
+                        job: str | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """ST2 in append mode: a window is compared with the reference once, in the batch in which the watermark passes
+    its end, and then leaves the state; its row is final. Windows still open stay in the state for the next call. Rows
+    that come after their window was closed change nothing; they are reported as ``late_groups``, the number of
+    (window, bin) groups they form per task of a batch (at most the number of late rows, 0 only without any).
+    Returns the table of all windows closed so far by this job and the figures of this call."""
+    ref = reference_histogram(reference, value_col, lo, hi, bins)
+    agg = window_bin_counts(read_stream(spark, source, schema, max_files), ts_col, value_col, lo, hi, bins, window, watermark)
+    figures = _drain(agg, "append", _batch_writer(out_path, lambda batch: binned_ks(batch, ref, bins)),
+                     job_folder(spark, "st2-closed", out_path, job))
+    try:
+        closed = spark.read.schema(CLOSED_SCHEMA).parquet(out_path).select(*CLOSED_SCHEMA.fieldNames())
+    except AnalysisException:  # nothing has ever been drained
+        closed = spark.createDataFrame([], CLOSED_SCHEMA)
+    return closed, figures
