@@ -123,7 +123,7 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, max_pairs: int = 40_000, l2: float =
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5, fold_out: int = 0,
                 id_col: str = "doc_id", text_col: str = "text", max_rows: int = 10_000) -> QualityModel:
-    """A model with the weights of at most about ``max_rows`` labelled texts outside the held-out fold, whose
+    """A model with the weights of at most ``max_rows`` labelled texts outside the held-out fold, whose
     feature rows (a few hundred bytes each) are gathered on the driver, and the cutoff and slope of all."""
     sample = labelled_sample(docs, labels, label_col, folds, fold_out, max_rows, id_col, text_col)
 

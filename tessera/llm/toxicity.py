@@ -162,7 +162,7 @@ def fit_linear(rows: list[tuple], y: np.ndarray, twins: list[tuple], n: int, l2:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4, fold_out: int = 2,
                  id_col: str = "doc_id", text_col: str = "text", max_rows: int = 10_000, max_features: int = 2_000,
                  groups=IDENTITY_TERMS, twin_weight: float = 1.0) -> ToxicityModel:
-    """A model from at most about ``max_rows`` labelled texts outside the held-out fold. Without any
+    """A model from at most ``max_rows`` labelled texts outside the held-out fold. Without any
     label of one class, the model has no features and its bias alone."""
     checkpoint_dir(docs.sparkSession)
     sample = labelled_sample(docs, labels, label_col, folds, fold_out, max_rows, id_col, text_col).checkpoint()

@@ -5,7 +5,9 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
+from tessera.llm import labels as L
 from tessera.llm import quality as Q
 from tessera.llm import toxicity as X
 
@@ -101,6 +103,22 @@ def test_quality_threshold_is_of_all_labelled_rows(spark):
     assert m.slope == pytest.approx(3 / s.std(), rel=1e-6)
 
 
+def test_sample_is_bounded_in_rows(spark):
+    """One id on most rows: the sample holds it once, with the same text whatever the row order."""
+    many = spark.range(200_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    others = spark.range(100, 900).select(F.col("id").alias("doc_id"), F.concat(F.lit("other "), "id").alias("text"))
+    docs = many.unionByName(others).unionByName(spark.createDataFrame([(8, None), (None, "x")], "doc_id long, text string"))
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    whole = L.labelled_sample(docs, labels, "toxic", 4, 2, 10_000)
+    rows = whole.collect()
+    assert len(rows) == len({r.id for r in rows}) == docs.select("doc_id").distinct().where(
+        (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2) & (F.col("doc_id") != 8)).count()
+    small = {r.id: r.text for r in L.labelled_sample(docs, labels, "toxic", 4, 2, 50).collect()}
+    again = {r.id: r.text for r in L.labelled_sample(docs.repartition(3), labels.repartition(5), "toxic", 4, 2, 50).collect()}
+    assert small == again and 40 <= len(small) <= 50
+    assert L.labelled_sample(docs, labels.where("false"), "toxic", 4, 2, 50).count() == 0
+
+
 def test_pairs_rank_by_the_telling_feature():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, Q.N_FEATURES))
