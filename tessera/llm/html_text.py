@@ -5,14 +5,19 @@ parts are left out, and the rest is laid out as text: block elements on lines of
 blank line where a page shows a margin, list items with their marks and indents, table cells in
 columns of equal width, preformatted text as it stands, and other white space collapsed. Elements may
 be open to any depth: places of open tags are indexed, and the tree is rendered with a stack of its own.
+
+Time follows the length of the page whatever it holds: the markup is read once from left to right, where
+a construct without an end takes the rest of the page with it, as in a browser, and text is copied once for
+each table around it, up to ``TABLE_DEPTH``. Blanks that only align are bounded (``WIDE``, ``INDENT``).
 """
 
 from __future__ import annotations
 
+import html
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,8 +45,15 @@ _CELLS = frozenset(("table", "td", "th"))
 #: End tags that reach out of a cell.
 _REACH = _GROUPS | {"table", "tr", "body"}
 _SCOPE = frozenset("table td th caption button object template".split())
-_NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
+#: Elements whose content is text up to their end tag; character references count in the second kind.
+RAW = frozenset("iframe noembed noframes script style xmp".split())
+RAW_REFERENCES = frozenset(("textarea", "title"))
+TABLE_DEPTH = 16    # tables nested deeper show their cells as blocks, one below the other
+WIDE = 1000         # a cell that would start further right follows its neighbour after two blanks
+CELL = 200          # wider cells do not widen their column
+INDENT = 400        # deeper lists are not moved further right
+COLUMNS, ROWS = 100, 1000  # that one cell may span
 
 
 class Node:
@@ -51,13 +63,113 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
-class _Builder(HTMLParser):
+_NAME = re.compile(r"[^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(\s*=\s*)?")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_TAG_END = re.compile(r"[\s/]*>")
+_COMMENT_END = re.compile(r"--!?>")
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW | RAW_REFERENCES}
+_ZEROS, _HUGE = re.compile("&#0+(?=[0-9])"), re.compile("&#[1-9][0-9]{7,};?")
+
+
+def _unescape(text: str) -> str:
+    """Character references replaced; numbers of any length (beyond Unicode: U+FFFD)."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _HUGE.sub("\ufffd", _ZEROS.sub("&#", text))
+    return html.unescape(text)
+
+
+def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
+    """The attributes of a tag from the end of its name on (the first of a name counts), and the place after
+    the tag; -1 if the page ends within it."""
+    found: dict[str, str] = {}
+    while True:
+        if end := _TAG_END.match(page, at):
+            return found, end.end()
+        m = _ATTRIBUTE.match(page, at)
+        if not m:
+            return found, -1
+        at, value = m.end(), ""
+        if m[2]:
+            quote = page[at:at + 1]
+            if quote in ("'", '"') and quote:
+                end = page.find(quote, at + 1)
+                if end < 0:
+                    return found, -1
+                value, at = page[at + 1:end], end + 1
+            else:
+                word = _UNQUOTED.match(page, at)
+                value, at = word[0], word.end()
+        found.setdefault(m[1].lower(), _unescape(value))
+
+
+class _Builder:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
         self.places: dict[str, list[int]] = defaultdict(list)  # of each tag above the root, outermost first
 
+    def feed(self, page: str) -> None:
+        at, text = 0, []  # text: runs that no tag parts
+        while at < len(page):
+            lt = page.find("<", at)
+            if lt < 0:
+                text.append(page[at:])
+                break
+            text.append(page[at:lt])
+            sign = page[lt + 1:lt + 2]
+            closing = sign == "/"
+            letter = page[lt + 2:lt + 3] if closing else sign
+            if letter.isascii() and letter.isalpha():
+                self._flush(text)
+                name = _NAME.match(page, lt + 1 + closing)
+                tag = name[0].lower()
+                attrs, at = _attributes(page, name.end())
+                if at < 0:
+                    break
+                if closing:
+                    self.handle_endtag(tag)
+                else:
+                    at = self._start(tag, attrs, page, at)
+            elif page.startswith("<!--", lt):
+                self._flush(text)
+                if short := re.compile("-?>").match(page, lt + 4):
+                    at = short.end()
+                else:
+                    end = _COMMENT_END.search(page, lt + 4)
+                    at = end.end() if end else len(page)
+            elif sign in ("!", "?") and sign or closing and letter:
+                self._flush(text)
+                at = page.find(">", lt) + 1 or len(page)
+            else:
+                text.append("<")
+                at = lt + 1
+        self._flush(text)
+
+    def _flush(self, text: list[str]) -> None:
+        data = _unescape("".join(text))
+        text.clear()
+        if data:
+            self.handle_data(data)
+
+    def _start(self, tag: str, attrs: dict[str, str], page: str, at: int) -> int:
+        """Open an element; the content of raw elements is read here. Returns where the markup goes on."""
+        self.handle_starttag(tag, attrs)
+        if tag == "plaintext":
+            self.handle_data(page[at:])
+            return len(page)
+        if tag not in _CLOSE:
+            return at
+        end = _CLOSE[tag].search(page, at)
+        data = page[at:end.start() if end else len(page)]
+        if tag in RAW_REFERENCES:
+            data = _unescape(data)
+        if data:
+            self.handle_data(data)
+        return end.start() if end else len(page)
+
     def _last(self, tags) -> int:
         """The place of the innermost open element of ``tags``, 0 if there is none."""
         return max((at[-1] for t in tags if (at := self.places.get(t))), default=0)
@@ -74,7 +186,6 @@ class _Builder(HTMLParser):
             self._cut(i)
 
     def handle_starttag(self, tag, attrs):
-        attrs = {k: v or "" for k, v in reversed(attrs)}
         if tag == "html":
             self.root.attrs = attrs | self.root.attrs
             return
@@ -98,12 +209,9 @@ class _Builder(HTMLParser):
         self.places[node.tag].append(len(self.open))
         self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # a slash closes nothing in HTML
-
     def handle_endtag(self, tag):
         if tag == "br":
-            self.handle_starttag("br", [])
+            self.handle_starttag("br", {})
             return
         i = self._last((tag,))
         if tag == "p" and not i:
@@ -117,33 +225,60 @@ class _Builder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def visible(node: Node) -> bool:
+def _style(node: Node) -> dict[str, str]:
+    """``display`` and ``visibility`` as the element's own style sets them."""
+    found, firm = {}, set()
+    for part in node.attrs.get("style", "").lower().split(";"):
+        name, _, value = part.partition(":")
+        name, (value, mark, _) = name.strip(), value.partition("!")
+        if name in ("display", "visibility") and value.strip() and (mark or name not in firm):
+            found[name] = value.strip()
+            if mark:
+                firm.add(name)
+    return found
+
+
+def shown(node: Node) -> bool:
+    """Whether the element takes part in the layout; what is below an element that does not, neither does."""
     a = node.attrs
-    return not (node.tag in HIDDEN and not (node.tag == "dialog" and "open" in a) or "hidden" in a
-                or node.tag == "input" and a.get("type", "").lower() == "hidden"
-                or "style" in a and _NO_DISPLAY.search(a["style"]))
+    display = _style(node).get("display") if "style" in a else None
+    return not (node.tag in HIDDEN and not (node.tag == "dialog" and "open" in a) or display == "none"
+                or "hidden" in a and not display or node.tag == "input" and a.get("type", "").lower() == "hidden")
+
+
+def _seen(node: Node, seen: bool) -> bool:
+    """Whether the element's own text shows: ``visibility`` is inherited, and any descendant may turn it back."""
+    value = _style(node).get("visibility") if "style" in node.attrs else None
+    return {"visible": True, "initial": True, "hidden": False, "collapse": False}.get(value, seen)
 
 
 class _Layout:
-    """Lines of text; ``margin`` is the number of line ends due before the next text."""
+    """Lines of text; ``due`` is the number of line ends due before the next text."""
 
     def __init__(self):
-        self.lines: list[str] = [""]
+        self.lines: list[str] = []     # finished
+        self.line: list[str] = []      # pieces of the last line
         self.due = 0        # 1: a new line, 2: after a blank line
         self.gap = False    # a collapsed blank is due
-        self.indent = ""
+        self.depth = 0      # of the indent
         self.mark = ""      # of the list item that starts here
 
     def block(self, spaced: bool) -> None:
         self.due = max(self.due, 2 if spaced else 1)
         self.gap = False
 
+    def _end(self) -> None:
+        self.lines.append("".join(self.line))
+        self.line = []
+
     def _begin(self) -> None:
-        if self.due and (len(self.lines) > 1 or self.lines[0]):
-            self.lines += [""] * self.due
+        if self.due and (self.lines or self.line):
+            self._end()
+            self.lines += [""] * (self.due - 1)
         self.due = 0
-        if not self.lines[-1] and (self.indent or self.mark):
-            self.lines[-1] = self.indent[:len(self.indent) - len(self.mark)] + self.mark if self.mark else self.indent
+        if not self.line and (self.depth or self.mark):
+            indent = min(self.depth, INDENT)
+            self.line.append(" " * (indent - len(self.mark)) + self.mark)
             self.mark = ""
             self.gap = False
 
@@ -153,119 +288,161 @@ class _Layout:
             if i:
                 self.gap = True
             if word:
-                fresh = self.due or not self.lines[-1]
+                fresh = self.due or not self.line
                 self._begin()
                 if self.gap and not fresh:
-                    self.lines[-1] += " "
+                    self.line.append(" ")
                 self.gap = False
-                self.lines[-1] += word
+                self.line.append(word)
 
     def raw(self, data: str) -> None:
         for i, line in enumerate(data.split("\n")):
             if i:
-                self.lines.append("")
+                self._end()
             if line:
                 self._begin()
-                self.lines[-1] += line
+                self.line.append(line)
 
     def br(self) -> None:
         self._begin()
-        self.lines.append("")
+        self._end()
         self.gap = False
 
     def done(self) -> str:
+        self._end()
         return "\n".join(x.rstrip(" \t") for x in self.lines).strip("\n")
 
 
-def _rows(table: Node) -> list[Node]:
-    out = []
+def _rows(table: Node, seen: bool) -> list[tuple[Node, int, bool]]:
+    """(row, number of its row group, whether text in it shows)."""
+    out, group = [], 0
     for c in table.children:
-        if isinstance(c, Node) and visible(c):
+        if isinstance(c, Node) and shown(c):
             if c.tag == "tr":
-                out.append(c)
+                out.append((c, group, _seen(c, seen)))
             elif c.tag in _GROUPS:
-                out += [r for r in c.children if isinstance(r, Node) and r.tag == "tr" and visible(r)]
+                group += 1
+                within = _seen(c, seen)
+                out += [(r, group, _seen(r, within)) for r in c.children if isinstance(r, Node) and r.tag == "tr" and shown(r)]
+                group += 1
     return out
 
 
-def _span(cell: Node) -> int:
-    n = cell.attrs.get("colspan", "").strip()
-    return min(100, max(1, int(n))) if n.isascii() and n.isdigit() else 1
+def _span(cell: Node, name: str, most: int) -> int:
+    n = cell.attrs.get(name, "").strip()
+    if name == "rowspan" and n == "0":  # to the end of the row group
+        return most
+    return min(most, max(1, int(n[:9]))) if n.isascii() and n.isdigit() else 1
 
 
-def _table(table: Node, out: _Layout) -> Iterator[Iterator]:
-    """Captions and stray content as blocks, then the cells in columns of equal width (steps as in ``_render``)."""
-    rows = _rows(table)
-    inside = {id(r) for r in rows}
+def _table(table: Node, out: _Layout, seen: bool, depth: int) -> Iterator[Iterator]:
+    """Captions and stray content as blocks, then the cells in columns of equal width (steps as in ``_render``).
+    A cell of several rows or columns keeps its places free in each; its text stands in the first."""
+    rows = _rows(table, seen)
+    inside = {id(r) for r, _, _ in rows}
     for c in table.children:
         if isinstance(c, str):
-            out.text(c)
+            if seen:
+                out.text(c)
         elif c.tag not in _GROUPS and id(c) not in inside:
-            yield _render(c, out, False)
-        elif c.tag in _GROUPS and visible(c):
+            yield _render(c, out, False, seen, depth)
+        elif c.tag in _GROUPS and shown(c):
+            within = _seen(c, seen)
             for x in c.children:
                 if isinstance(x, str):
-                    out.text(x)
+                    if within:
+                        out.text(x)
                 elif x.tag != "tr":
-                    yield _render(x, out, False)
-    grid, widths = [], []
-    for r in rows:
+                    yield _render(x, out, False, within, depth)
+    if depth > TABLE_DEPTH:
+        for r, _, within in rows:
+            for c in r.children:
+                out.block(False)
+                if isinstance(c, Node):
+                    yield _render(c, out, False, within, depth)
+                elif within:
+                    out.text(c)
+                out.block(False)
+        return
+    grid, widths, broad = [], {}, []
+    until: dict[int, tuple[int, int]] = {}  # first column of a cell: the first row and column that it leaves free
+    last = None
+    for number, (r, group, within) in enumerate(rows):
+        if group != last:
+            until, last = {}, group
         cells, column = [], 0
         for c in r.children:
             if isinstance(c, str):
-                if c.strip():
-                    cells.append((column, 1, [" ".join(c.split())]))
-                    column += 1
-            elif visible(c):
+                if not within or not c.strip():
+                    continue
+                lines, span, high = [" ".join(c.split())], 1, 1
+            elif not shown(c):
+                continue
+            else:
                 cell = _Layout()
-                yield _render(c, cell, False)
+                yield _render(c, cell, False, within, depth)
                 lines = cell.done().split("\n")
-                span = _span(c) if c.tag in ("td", "th") else 1
-                cells.append((column, span, lines))
-                column += span
-        for at, span, lines in cells:
-            widths += [0] * (at + span - len(widths))
-            if span == 1:
-                widths[at] = max(widths[at], max(map(len, lines)))
+                span, high = (_span(c, "colspan", COLUMNS), _span(c, "rowspan", ROWS)) if c.tag in ("td", "th") else (1, 1)
+            while (held := until.get(column)) and held[0] > number:
+                column = held[1]
+            cells.append((column, lines))
+            width = max(map(len, lines))
+            widths[column] = max(widths.get(column, 0), width if span == 1 and width <= CELL else 0)
+            if 1 < span and width <= CELL:
+                broad.append((column, column + span, width))
+            if high > 1:
+                until[column] = number + high, column + span
+            column += span
         grid.append(cells)
+    order = sorted(widths)  # the columns in which a cell starts
+    for low, high, width in broad:  # what a broad cell needs beyond its columns widens the last of them
+        under = order[bisect_left(order, low):bisect_left(order, high)]
+        widths[under[-1]] += max(0, width - sum(widths[c] + 2 for c in under) + 2)
+    starts, at = {}, 0
+    for column in order:
+        starts[column] = at if at <= WIDE else 0
+        at += widths[column] + 2
     for cells in grid:
-        height = max((len(x) for _, _, x in cells), default=0)
         text = []
-        for k in range(height):
-            line = ""
-            for at, span, lines in cells:
-                start = sum(widths[:at]) + 2 * at
-                line = line.ljust(start) if len(line) <= start else line + "  "
-                line += lines[k] if k < len(lines) else ""
-            text.append(line.rstrip())
+        for k in range(max((len(x) for _, x in cells), default=0)):
+            line, length = [], 0
+            for column, lines in cells:
+                piece = lines[k] if k < len(lines) else ""
+                if not piece:
+                    continue
+                blanks = max(starts[column] - length, 2 if line else 0)
+                line += (" " * blanks, piece)
+                length += blanks + len(piece)
+            text.append("".join(line).rstrip())
         if any(text):
             out.block(False)
             out.raw("\n".join(text))
             out.block(False)
 
 
-def _render(node: Node, out: _Layout, pre: bool) -> Iterator[Iterator]:
+def _render(node: Node, out: _Layout, pre: bool, seen: bool = True, depth: int = 0) -> Iterator[Iterator]:
     """Lay a node out; yields the steps of its descendants, each to be finished before this one goes on."""
-    if not visible(node):
+    if not shown(node):
         return
     tag = node.tag
+    seen = _seen(node, seen)
     if tag == "br":
         out.br()
         return
     if tag == "table":
         out.block(True)
-        yield _table(node, out)
+        yield _table(node, out, seen, depth + 1)
         out.block(True)
         return
     if tag in ("td", "th"):
         out.gap = True
-    kept = out.indent
-    nested = tag in ("ul", "ol", "menu", "dl") and bool(out.indent or out.mark)
+    kept = out.depth
+    nested = tag in ("ul", "ol", "menu", "dl") and bool(out.depth or out.mark)
     if tag in BLOCK:
         out.block(tag in SPACED and not nested)
     if tag == "dd":
-        out.indent += "    "
-    pre = pre or tag in ("pre", "textarea", "listing")
+        out.depth += 4
+    pre = pre or tag in ("pre", "textarea", "listing", "plaintext", "xmp")
     number = None
     if tag == "ol":
         start = node.attrs.get("start", "").strip()
@@ -275,22 +452,23 @@ def _render(node: Node, out: _Layout, pre: bool) -> Iterator[Iterator]:
         children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
     for c in children:
         if isinstance(c, str):
-            out.raw(c) if pre else out.text(c)
-        elif tag in ("ul", "ol", "menu") and c.tag == "li" and visible(c):
+            if seen:
+                out.raw(c) if pre else out.text(c)
+        elif tag in ("ul", "ol", "menu") and c.tag == "li" and shown(c):
             mark = "- "
             if number is not None:
                 value = c.attrs.get("value", "").strip()
                 number = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else number
                 mark = f"{number}. "
                 number += 1
-            held = out.indent
+            held = out.depth
             out.block(False)
-            out.indent, out.mark = held + " " * len(mark), mark
-            yield _render(c, out, pre)
-            out.indent, out.mark = held, ""
+            out.depth, out.mark = held + len(mark), mark if _seen(c, seen) else ""
+            yield _render(c, out, pre, seen, depth)
+            out.depth, out.mark = held, ""
         else:
-            yield _render(c, out, pre)
-    out.indent = kept
+            yield _render(c, out, pre, seen, depth)
+    out.depth = kept
     if tag in BLOCK:
         out.block(tag in SPACED and not nested)
     elif tag in ("td", "th"):
@@ -309,11 +487,10 @@ def render_node(node: Node) -> str:
     return out.done()
 
 
-def page_text(html: str) -> str:
+def page_text(page: str) -> str:
     """The visible text of one page."""
     builder = _Builder()
-    builder.feed(html)
-    builder.close()
+    builder.feed(page)
     return render_node(builder.root)
 
 
@@ -322,7 +499,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     Null markup gives null, empty markup an empty text, text without tags itself with white space
     collapsed. Unclosed and stray tags are repaired as far as a browser would show their text, at any
-    depth; the text of nested lists grows with their indents. Null ids and repeated rows stay
+    depth; a tag, comment or quoted value that never ends hides the rest of the page. Null ids and repeated rows stay
     rows of their own; pages are read whole; an empty table gives no rows; other columns are ignored.
     """
     def start():

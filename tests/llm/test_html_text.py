@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -24,6 +25,17 @@ CASES = [
     ("a<!-- b -->c &amp; &lt;d&gt; &copy;", "ac & <d> ©"), ("<dl><dt>a<dd>b<dt>c<dd>d</dl>", "a\n    b\nc\n    d"),
     ("<td>a<td>b", "a b"), ("</p>a</div>b</span>", "ab"), ("<h1>a</h1><p>b</p><hr>c", "a\n\nb\n\nc"),
     ("<ul><li><p>a</p><p>b</p></li></ul>", "- a\n\n  b"), ("<template>a</template><noscript>b</noscript>c", "c"),
+    ("<div style='visibility:hidden'>no<span style='visibility:visible'>yes</span>no</div>", "yes"),
+    ("<div style='display:none'>no<span style='display:block;visibility:visible'>no</span></div>a", "a"),
+    ("<p style='display:none;display:block'>a<p style='display:none!important;display:block'>b<p hidden style='display:block'>c", "a\n\nc"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+    ("<textarea>one<b>x</b>\n two &amp; three</textarea>", "one<b>x</b>\n two & three"), ("<title><p>t</title>a", "a"),
+    ("<iframe><p>x</iframe>a<noscript>b</noscript><xmp><b>c</xmp>d", "a<b>cd"), ("<script>a</scripty>b</SCRIPT >c", "c"),
+    ("<table><tr><td rowspan=2>A<td>B<td>C<tr><td>D<td>E</table>", "A  B  C\n   D  E"),
+    ("<table><tr><td>A<td rowspan=3 colspan=2>B<td>C<tr><td>D<td>E<tr><td>F<td>G</table>", "A  B  C\nD     E\nF     G"),
+    ("<table><tbody><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<!-->a<!--->b<!--x--!>c<!-- > -->d<!x>e<?y?>f</ g>h</>i<1<j", "abcdefhi<1"), ("a < b <3 c", "a < b <3 c"),
+    ("<p title='a>b' x=\"c>\" y=d/e>f", "f"), ("a<b title='", "a"), ("&#" + "0" * 5000 + "65;&#" + "9" * 5000 + ";", "A\ufffd"),
     ("<p>a<table><tr><td>b</table>c", "a\n\nb\n\nc"), ("<select><option>a<option>b</select>", "a\nb"),
 ]
 
@@ -61,6 +73,53 @@ def test_an_end_tag_closes_its_own_element_at_any_depth():
     assert page_text("<pre>" + "<i>" * 300 + "<div> a  b</div>  c</pre>d  e") == " a  b\n  c\n\nd e"
 
 
+HOSTILE = {
+    "tags": "<a " * 333_000, "quotes": '<a x="' * 170_000, "comments": "<!--" * 250_000, "ends": "</a " * 250_000, "signs": "<" * 10**6,
+    "tables": "<table>" * 5000 + "<td>a", "cells": "<table><tr><td>x<td>" * 50_000, "lists": "<ul><li>x" * 100_000,
+    "number": "&#" + "9" * 10**6, "line": "word " * 200_000, "style": "<b style='" + "a;" * 500_000 + "'>x",
+    "spans": "<table><tr>" + "<td rowspan=9999 colspan=99>x" * 20_000 + "<tr><td>y" * 40_000,
+    "blanks": "<a " + "x" + " " * 10**6, "wide": "<table><tr><td>" + "w" * 400_000 + "<td>b" + "<tr><td><td>x" * 40_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_a_hostile_page_of_a_megabyte_takes_seconds_and_bounded_space(name):
+    start = time.process_time()
+    text = page_text(HOSTILE[name])
+    assert time.process_time() - start < 20
+    assert len(text) < 50 * len(HOSTILE[name])
+
+
+def test_tables_nested_deeper_than_the_layout_keep_their_text():
+    for depth in (3, 16, 17, 40):
+        page = "".join(f"<table><tr><td>a{i}<td>b{i}<td hidden>no<td>" for i in range(depth)) + "<p>end" + "</table>z" * depth
+        assert Counter(page_text(page).split()) == Counter([f"{c}{i}" for i in range(depth) for c in "ab"] + ["end"] + ["z"] * depth)
+
+
+def test_visibility_against_a_plain_rule():
+    """Random trees: a word shows if nothing above it is out of the layout and the nearest set visibility is not hidden."""
+    import random
+    rng = random.Random(5)
+    for trial in range(200):
+        want, page = [], []
+
+        def grow(depth, out, seen):
+            for _ in range(rng.randint(1, 3)):
+                style, gone, sight = rng.choice([("", False, None), ("hidden", True, None), ("style='display:none'", True, None),
+                                                 ("style='visibility:hidden'", False, False), ("style=visibility:visible", False, True)])
+                tag = rng.choice(["div", "span", "ul", "section", "b"])
+                inner_out, inner_seen = out or gone, seen if sight is None else sight
+                word = f"w{len(page)}"
+                page.append(f"<{tag} {style}>{word} ")
+                if not inner_out and inner_seen:
+                    want.append(word)
+                if depth < 4:
+                    grow(depth + 1, inner_out, inner_seen)
+                page.append(f"</{tag}>")
+        grow(0, False, True)
+        assert page_text("".join(page)).split() == want
+
+
 def test_every_visible_word_of_the_pages(spark, sf001):
     pages = spark.read.parquet(f"{sf001}/pages.parquet")
     raw = {r.page_id: r.html for r in pages.select("page_id", "html").collect()}
