@@ -8,11 +8,12 @@ its anchor: the least hash among its word ``k``-grams, leftmost on ties. Equal w
 anchors, and the windows of one anchor are consecutive, so they travel as one segment of a few dozen
 words to the shard their anchor's hash names:
 
-1. Texts are laid in chunks of bounded size, equal texts of a chunk once. Chunks count their distinct
+1. Texts are laid in chunks of bounded size, equal texts of a chunk once; copies count towards the size. Chunks count their distinct
    anchors; only anchors that stand in two places or more can hold a repeated window.
 2. An anchor found in more than ``hot_chunks`` chunks (a common line or passage) is refined: its
    windows are counted each by the hash of all their words, so that what merely stands next to a
-   common passage does not follow it into one shard.
+   common passage does not follow it into one shard: windows of few chunks go to the shard of
+   their own hash, only those that are common themselves stay with the anchor.
 3. The segments of the remaining anchors go to their shards, equal segments of a chunk once. A shard
    builds an FM-index over its distinct segments and streams them through it, from their last word
    to their first: backward search over wavelet ranks extends the match word by word, and beyond
@@ -40,7 +41,8 @@ from .fmindex import FMIndex
 
 WINDOW = 35
 GRAM = 8
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 2 << 20      # of distinct text
+CHUNK_ROWS = 16 << 20      # of the text of all rows of a chunk, copies included, and 64 bytes a row
 COUNTER_BYTES = 32 << 20   # of all text for each counter
 SHARD_BYTES = 2 << 20      # of all text for each shard
 HOT_CHUNKS = 64
@@ -109,26 +111,31 @@ class Chunk:
         return g[at[edge]], starts[edge], np.append(starts[edge[1:] - 1], starts[-1]) + 1
 
 
+def _chunks(rows) -> Iterator[tuple[list, list[int], list[bytes]]]:
+    """(ids, number of each row's text, distinct texts) of the chunks of ``rows`` of (id, text)."""
+    size = whole = 0
+    ids, index, texts = [], [], {}
+    for i, t in rows:
+        if ids and (whole + len(t) > CHUNK_ROWS or t not in texts and size + len(t) > CHUNK_BYTES):
+            yield ids, index, list(texts)
+            size = whole = 0
+            ids, index, texts = [], [], {}
+        if t not in texts:
+            texts[t] = len(texts)
+            size += len(t) + 64
+        whole += len(t) + 64
+        ids.append(i)
+        index.append(texts[t])
+    if ids:
+        yield ids, index, list(texts)
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     base = TaskContext.get().partitionId() << 32
-
-    def rows():
-        number, size, ids, index, texts = 0, 0, [], [], {}
-        for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())):
-                t = t.as_py() or b""
-                if t not in texts:
-                    if size + len(t) > CHUNK_BYTES and size:
-                        yield base + number, ids, index, [len(x) for x in texts], _zip(b"".join(texts))
-                        number, size, ids, index, texts = number + 1, 0, [], [], {}
-                    texts[t] = len(texts)
-                    size += len(t) + 64
-                ids.append(i)
-                index.append(texts[t])
-        if ids:
-            yield base + number, ids, index, [len(x) for x in texts], _zip(b"".join(texts))
-    yield from rows_out(schema, rows(), 1)
+    rows = ((i, t.as_py() or b"") for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())))
+    yield from rows_out(schema, ((base + number, ids, index, [len(x) for x in texts], _zip(b"".join(texts)))
+                                 for number, (ids, index, texts) in enumerate(_chunks(rows))), 1)
 
 
 def _texts(row: dict) -> list[bytes]:
@@ -213,8 +220,10 @@ def _segments(row: dict, answers: pa.Table, n: int, k: int, shards: int) -> list
     hot = np.isin(h, _told(answers, 1))
     if hot.any():
         at, of = _spread(first[hot], end[hot])
-        use = np.isin(c.sums(n)[at], _told(answers, 2))
-        shard = np.concatenate((shard, _key(h, shards)[hot][of[use]]))
+        own = c.sums(n)[at]
+        alone = np.isin(own, _told(answers, 2))
+        use = alone | np.isin(own, _told(answers, 3))
+        shard = np.concatenate((shard, np.where(alone, _key(own, shards), _key(h, shards)[hot][of])[use]))
         low, high = np.concatenate((low, at[use])), np.concatenate((high, at[use] + 1))
         order = np.argsort(low, kind="stable")
         shard, low, high = shard[order], low[order], high[order]
@@ -341,7 +350,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     all occurrences of a repeated sequence go, overlapping ones of one text included. Null and empty
     texts have no words; texts of fewer than ``n`` words keep all. Null ids and repeated rows stay
     rows of their own (a repeated row repeats every window). An empty table gives no rows; other
-    columns are ignored. Memory per task follows one chunk, counter or shard.
+    columns are ignored. Memory per task follows one chunk (all its rows, copies included), counter or shard.
     """
     k = min(k, n)
     src = docs.select(_q(id_col).alias("id"), _q(text_col).alias("text"))
@@ -401,7 +410,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     one = chunks.mapInArrow(count_anchors, _COUNT).groupBy("key").applyInArrow(_repeated((0, 1), hot_chunks), _ANSWER)
     two = (chunks.groupBy("chunk").cogroup(one.where("kind = 1").groupBy("chunk")).applyInArrow(count_windows, _COUNT)
-           .groupBy("key").applyInArrow(_repeated((2, 2), 0), _ANSWER))
+           .groupBy("key").applyInArrow(_repeated((2, 3), hot_chunks), _ANSWER))
     found = (chunks.groupBy("chunk").cogroup(one.unionByName(two).groupBy("chunk")).applyInArrow(cut, _SEGMENT)
              .groupBy("shard").applyInArrow(_search(n), _RANGE))
     return chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(remove, out_schema)

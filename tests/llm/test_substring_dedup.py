@@ -57,6 +57,43 @@ def test_edge_cases(spark):
     assert S.remove_repeats(df.where("false")).count() == 0
 
 
+def test_copies_of_one_partition_make_bounded_chunks():
+    text = b"x" * 2000
+    made = list(S._chunks(((i, text) for i in range(200_000))))
+    assert [i for ids, _, _ in made for i in ids] == list(range(200_000))
+    for ids, index, texts in made:
+        assert texts == [text] and set(index) == {0} and len(ids) * len(text) <= S.CHUNK_ROWS
+    assert max(len(ids) for ids, _, _ in S._chunks(((None, b"") for _ in range(600_000)))) * 64 <= S.CHUNK_ROWS + 64
+    mixed = [(i, b"y" * (i % 7 * 400_000)) for i in range(40)]
+    for ids, index, texts in S._chunks(mixed):
+        assert [mixed[i][1] for i in ids] == [texts[k] for k in index]
+        assert len(texts) == 1 or sum(map(len, texts)) <= S.CHUNK_BYTES
+
+
+def test_a_common_line_does_not_gather_its_contexts(spark, monkeypatch):
+    """A footer in every document, documents in pairs: right results, and segments spread over the shards."""
+    for name, value in (("CHUNK_BYTES", 600), ("SHARD_BYTES", 2000), ("COUNTER_BYTES", 5000)):
+        monkeypatch.setattr(S, name, value)
+    footer = " ".join(f"f{i}" for i in range(8))
+    rows = [(2 * i + j, " ".join(f"a{i}x{k}" for k in range(12)) + " " + footer + f" end{i}") for i in range(60) for j in (0, 1)]
+    rows += [(1000, "u " + footer + " v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(S.remove_repeats(df, n=10, k=4, hot_chunks=2)) == brute(rows, 10)
+    chunk = S.Chunk([t.encode() for _, t in rows])
+    h, first, end = chunk.anchors(10, 4)
+    common = np.flatnonzero(np.bincount(np.unique(h, return_inverse=True)[1]) > 2)
+    hot = np.isin(h, np.unique(h)[common])
+    assert hot.any()
+    row = {"chunk": 1, "index": list(range(len(rows))), "lengths": [len(t.encode()) for _, t in rows],
+           "blob": S._zip(b"".join(t.encode() for _, t in rows))}
+    at, _ = S._spread(first[hot], end[hot])
+    own = np.unique(chunk.sums(10)[at])
+    answers = S._table([{"chunk": 1, "kind": 1, "hashes": h[hot].tobytes()}, {"chunk": 1, "kind": 2, "hashes": own.tobytes()}], S._ANSWER)
+    together = S._table([{"chunk": 1, "kind": 1, "hashes": h[hot].tobytes()}, {"chunk": 1, "kind": 3, "hashes": own.tobytes()}], S._ANSWER)
+    spread = S._segments(row, answers, 10, 4, 50)
+    assert len({r["shard"] for r in spread}) > 40 > len({r["shard"] for r in S._segments(row, together, 10, 4, 50)})
+
+
 def test_match_statistics():
     rng = np.random.default_rng(7)
     segments = [rng.integers(1, 4, rng.integers(6, 30)) for _ in range(30)]
