@@ -5,14 +5,20 @@ hashes. For each template, windows of the template's length, an eighth of it apa
 signature of ``BANDS`` bands of ``ROWS`` minima; a template is retrieved when a window shares a
 band with it, and reported when the document holds at least ``CONTAINMENT`` of its shingles.
 
-Band settings: a copy that holds 0.8 of a template lies in some window that is off by at most a
-sixteenth; its Jaccard similarity with the template is then 0.6 or more, and 20 bands of 2 minima
-collide with probability 1 - (1 - 0.6**2)**20, which is over 0.9998.
+Band settings: a copy in one place that holds 0.8 of a template lies in some window that is off by at most
+a sixteenth; its Jaccard similarity with the template is then 0.6 or more, and 20 bands of 2 minima
+collide with probability 1 - (1 - 0.6**2)**20, which is over 0.9998. A notice in distant parts fills no
+window. A text without a colliding window is therefore counted as a whole, and the template retrieved from
+the least number of its shingles on that a report needs: retrieval loses nothing.
 
 Two exact shortcuts keep the work small. A text that is reported holds at least ``k`` of a template's
 shingles, counted in whole numbers; each template has a few long words (needles) that touch all but
-fewer than ``k`` of them, and texts without any of them are not windowed. The templates are a parameter of bounded
-size (``MAX_TEMPLATES``), so their signatures are constants of the plan.
+fewer than ``k`` of them. Texts without any needle, or without any shingle of the template, are not windowed.
+The templates are a parameter of bounded size (``MAX_TEMPLATES``), so their signatures are constants of the plan.
+
+Sister notices (two versions of one licence) share most of their shingles, so one of them alone would
+report both. A template is left out where a sister has the higher containment and the text holds no
+shingle that the template has and the sister lacks; the template of highest containment always stays.
 """
 
 from __future__ import annotations
@@ -54,12 +60,17 @@ def _windows(hashes: str, m: int) -> str:
     return f"flatten(transform(transform({starts}, i -> slice({hashes}, i + 1, {m})), x -> {_bands('x')}))"
 
 
+def least_count(n: int) -> int:
+    """The least number of a template's ``n`` shingles that makes a report."""
+    return next((k for k in range(n + 1) if n and k / n >= CONTAINMENT), 0)
+
+
 def needles(text: str) -> list[str]:
     """Words, longest first, that leave fewer of the template's distinct shingles untouched than a reported
     document holds: every reported document has one of them."""
     words = re.findall("[a-z0-9]+", text.lower())
     grams = {tuple(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
-    least = next((k for k in range(len(grams) + 1) if grams and k / len(grams) >= CONTAINMENT), 0)
+    least = least_count(len(grams))
     out, left = [], set(grams)
     for w in sorted(set(words), key=lambda w: (-len(w), w)):
         if len(left) < least or not left:
@@ -86,7 +97,7 @@ def _longs(values: list[int]) -> str:
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id and ``licenses``, an array of (id, containment) of the templates
-    found, by id.
+    found, by id; of sister notices those that the text tells apart (see above), on ties all.
 
     Words are runs of a-z and 0-9 after lower-casing. Null, empty and short texts have no shingles and
     no licences; templates of fewer than five words are left out; null ids and repeated rows stay rows
@@ -105,16 +116,29 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
     cases = []
     for i, ns, shingles, bands in found:
         has = " or ".join(f"has[{every.index(n)}] is not null" for n in ns)
-        share = f"size(array_intersect(sh, {_longs(shingles)})) / {len(shingles)}D"
-        retrieved = f"arrays_overlap({_windows('sh', len(shingles))}, {_longs(bands)})"
-        cases.append(f"case when size(sh) > 0 and ({has}) then case when {retrieved} then "
-                     f"named_struct('id', '{i}', 'containment', {share}) end end".replace("\\", "\\\\"))
-    return shingled.select(F.col("id").alias(id_col), F.expr(
-        f"filter(array({', '.join(cases)}), x -> x is not null and x.containment >= {CONTAINMENT}D)").alias("licenses"))
+        own = _longs(shingles)
+        hits = f"size(array_intersect(sh, {own}))"
+        retrieved = f"arrays_overlap({_windows('sh', len(shingles))}, {_longs(bands)}) or {hits} >= {least_count(len(shingles))}"
+        lone = [f"case when not arrays_overlap(sh, {_longs(sorted(set(shingles) - set(other)))}) then '{j}' end"
+                for j, _, other, _ in found if _sister(shingles, other)]
+        lone = f"array({', '.join(lone)})" if lone else "cast(array() as array<string>)"
+        cases.append(f"case when size(sh) > 0 and ({has}) and arrays_overlap(sh, {own}) then case when {retrieved} then "
+                     f"named_struct('id', '{i}', 'containment', {hits} / {len(shingles)}D, 'lone', {lone}) end end".replace("\\", "\\\\"))
+    scanned = shingled.select("id", F.expr(
+        f"filter(array({', '.join(cases)}), x -> x is not null and x.containment >= {CONTAINMENT}D)").alias("held"))
+    return scanned.select(F.col("id").alias(id_col), F.expr(
+        "transform(filter(held, x -> not exists(held, y -> y.containment > x.containment and coalesce(array_contains(x.lone, y.id), false))),"
+        " x -> named_struct('id', x.id, 'containment', x.containment))").alias("licenses"))
+
+
+def _sister(shingles: list[int], other: list[int]) -> bool:
+    """Whether a text of the other template alone would report this one, without holding all of it."""
+    shared = len(set(shingles) & set(other))
+    return least_count(len(shingles)) <= shared < len(shingles)
 
 
 def oracle_sql(templates=TEMPLATES) -> str:
-    """The same answer in DuckDB SQL: containment of every template's shingles in every document."""
+    """The same answer in DuckDB SQL: containment of every template's shingles in every document, less sisters."""
     quote = lambda s: s.replace("'", "''")
     values = ", ".join(f"('{quote(i)}', '{quote(t)}')" for i, t in templates)
     split = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda x: x <> '')"
@@ -125,7 +149,16 @@ WITH t AS (SELECT id, unnest(g) AS gram, len(g) AS n FROM (SELECT id, {grams} AS
        SELECT id, {split.format('text')} AS w FROM (VALUES {values}) AS v(id, text)))),
 d AS (SELECT doc_id, unnest({grams}) AS gram FROM (SELECT doc_id, {split.format('text')} AS w FROM documents)),
 hits AS (SELECT doc_id, id, count(*) / any_value(n) AS containment FROM d JOIN t USING (gram) GROUP BY doc_id, id),
-good AS (SELECT doc_id, count(*) AS n_licenses, string_agg(id, ',' ORDER BY id) AS licenses FROM hits
-       WHERE containment >= {CONTAINMENT} GROUP BY doc_id)
+held AS (SELECT * FROM hits WHERE containment >= {CONTAINMENT}),
+sisters AS (SELECT a.id, b.id AS other FROM t a JOIN t b USING (gram) WHERE a.id <> b.id GROUP BY a.id, b.id
+       HAVING count(*) / any_value(a.n) >= {CONTAINMENT} AND count(*) < any_value(a.n)),
+apart AS (SELECT s.id, s.other, t.gram FROM sisters s JOIN t ON t.id = s.id
+       WHERE NOT EXISTS (FROM t o WHERE o.id = s.other AND o.gram = t.gram)),
+told AS (SELECT DISTINCT doc_id, id, other FROM d JOIN apart USING (gram)),
+gone AS (SELECT x.doc_id, x.id FROM held x JOIN sisters s ON s.id = x.id
+       JOIN held y ON y.doc_id = x.doc_id AND y.id = s.other AND y.containment > x.containment
+       WHERE NOT EXISTS (FROM told WHERE told.doc_id = x.doc_id AND told.id = x.id AND told.other = s.other)),
+good AS (SELECT doc_id, count(*) AS n_licenses, string_agg(id, ',' ORDER BY id) AS licenses FROM held
+       WHERE NOT EXISTS (FROM gone WHERE gone.doc_id = held.doc_id AND gone.id = held.id) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses
 FROM documents LEFT JOIN good USING (doc_id)"""

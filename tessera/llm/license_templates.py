@@ -1,6 +1,11 @@
 """Licence notices to look for: (id, text). The public wording of each notice."""
 
 TEMPLATES = (
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                 "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+                 "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+                 "the GNU Affero General Public License for more details."),
     ("apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at "
@@ -13,9 +18,24 @@ TEMPLATES = (
             "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
             "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
             "materials provided with the distribution."),
+    ("bsd-3-clause-name", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                          "promote products derived from this software without specific prior written permission."),
+    ("bsl-1.0-line", "Distributed under the Boost Software License, Version 1.0."),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by-nc-4.0-line", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nc-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc-sa-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+                        "License."),
     ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc0-1.0", "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and "
+                "related or neighboring rights to this work."),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+                "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+                "GNU General Public License for more details."),
     ("gpl-3.0-line", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
@@ -24,6 +44,16 @@ TEMPLATES = (
                 "GNU General Public License for more details."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+                 "your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT "
+                 "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+                 "the GNU Lesser General Public License for more details."),
+    ("lgpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                 "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+                 "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+                 "the GNU Lesser General Public License for more details."),
     ("mit-line", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
@@ -33,4 +63,11 @@ TEMPLATES = (
             "substantial portions of the Software."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
                 "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                  "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+                  "for any purpose, commercial or non-commercial, and by any means."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+             "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+             "following restrictions:"),
 )

@@ -15,8 +15,13 @@ def grams(text):
 
 
 def brute(text):
-    have = grams(text)
-    return {i for i, t in TEMPLATES if len(grams(t) & have) / len(grams(t)) >= CONTAINMENT}
+    have, known = grams(text), {i: grams(t) for i, t in TEMPLATES}
+    held = {i: len(g & have) / len(g) for i, g in known.items() if len(g & have) / len(g) >= CONTAINMENT}
+
+    def shadowed(i):
+        return any(held[j] > held[i] and len(known[i] & known[j]) / len(known[i]) >= CONTAINMENT and known[i] - known[j]
+                   and not have & (known[i] - known[j]) for j in held if j != i)
+    return {i for i in held if not shadowed(i)}
 
 
 def test_planted_notices(spark):
@@ -40,6 +45,40 @@ def test_planted_notices(spark):
     assert got == want and sum(map(len, want.values())) > 6 * len(TEMPLATES) * 0.8
 
 
+def scan(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: {x.id for x in r.licenses} for r in scan_licenses(df).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_notices_in_distant_parts(spark):
+    """Parts that share four words at each cut, hundreds of other words between them: no shingle is lost, no window holds them."""
+    texts, want = [], []
+    for i, t in TEMPLATES:
+        words = re.findall("[a-z0-9]+", t.lower())
+        for parts in range(2, 9):
+            size = -(-len(words) // parts)
+            if size >= 2:
+                cut = [" ".join(words[max(0, k - 4):k + size]) for k in range(0, len(words), size)]
+                texts.append((" . " + " ".join(f"noise{k}" for k in range(300)) + " . ").join(cut))
+                want.append(i)
+    got = scan(spark, texts)
+    assert got == [brute(t) for t in texts]
+    assert all(i in g for i, g in zip(want, got))
+
+
+def test_sister_licences_are_told_apart(spark):
+    known = dict(TEMPLATES)
+    gnu = ["agpl-3.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0"]
+    texts = [known[i] for i in gnu] + [known["gpl-2.0"] + " also " + known["gpl-3.0"], known["gpl-3.0"].replace("version 3", "some version"),
+             known["gpl-2.0"] + " also " + known["gpl-3.0"].replace("redistribute", "share")]
+    got = scan(spark, texts)
+    assert got == [brute(t) for t in texts]
+    assert got[:5] == [{i} for i in gnu] and got[5] == got[7] == {"gpl-2.0", "gpl-3.0"} and got[6] & set(gnu)
+    alone = scan(spark, [t for _, t in TEMPLATES])
+    assert all(i in g for (i, _), g in zip(TEMPLATES, alone))
+
+
 def test_needles_cover_over_a_fifth():
     for _, t in TEMPLATES:
         g = grams(t)
