@@ -4,6 +4,7 @@ import base64
 import json
 import random
 import re
+import time
 
 from pyspark.sql import Row
 
@@ -98,9 +99,51 @@ def test_armour_after_a_lone_begin_line_and_in_strings():
                  json.dumps(json.dumps({"k": pem})), json.dumps({"k": pem}).replace("/", "\\/")):
         assert len(spans(made)) == 1 and spans(made)[0].startswith(begin) and spans(made)[0].endswith(end)
         assert b64[:64] not in S.redacted(made)
-    body = base64.b64encode(rng.randbytes(64)).decode()
-    locked = f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n{body}\n{end}"
-    assert spans(locked) == [locked] and len(spans(json.dumps({"k": locked}))) == 1
+
+
+def test_encrypted_armour_needs_its_cipher_header_and_whole_blocks():
+    rng = random.Random(5)
+    spans = lambda t: [t[a:b] for k, a, b in S.find_spans(t) if k == "pem"]
+
+    def locked(kind, cipher, size, head="Proc-Type: 4,ENCRYPTED\nDEK-Info: "):
+        b64 = base64.b64encode(rng.randbytes(size)).decode()
+        body = "\n".join(b64[i:i + 64] for i in range(0, len(b64), 64))
+        return f"-----BEGIN {kind} PRIVATE KEY-----\n{head}{cipher}\n\n{body}\n-----END {kind} PRIVATE KEY-----"
+    aes, des = "AES-128-CBC," + "0A" * 16, "DES-EDE3-CBC," + "1f" * 8
+    for good in (locked("RSA", aes, 608), locked("RSA", des, 616), locked("EC", des, 120), locked("DSA", aes, 448)):
+        assert spans(good) == [good] and len(spans(json.dumps({"k": good}))) == 1
+    for bad in (locked("RSA", aes, 616), locked("RSA", "AES-128-CBC,00", 608), locked("RSA", aes, 16), locked("EC", des, 32),
+                locked("RSA", des + "00", 616), locked("RSA", aes, 608, "Comment: ENCRYPTED\nDEK: "), locked("EC", des, 121)):
+        assert not spans(bad)
+
+
+def test_keys_wrapped_in_lines_and_parted_by_colons():
+    rng = random.Random(6)
+    key, file = rsa(rng), ssh(rng)
+    added = lambda t: [(k, t[a:b]) for k, a, b in S.find_spans(t) if k not in S.KINDS[:3]]
+    b64, hexed = base64.b64encode(key).decode(), key.hex()
+    for run, name in ((b64, "der"), (hexed, "der"), (hexed.upper(), "der"), (base64.b64encode(file).decode(), "ssh")):
+        for width in (32, 60, 64, 76):
+            for end in ("\n", "\r\n", "\n    ", "\\n"):
+                lines = end.join(run[i:i + width] for i in range(0, len(run), width))
+                assert added(f"key: {lines}\n\nafter it") == [(name, lines)], (name, width, end)
+        assert added(f"{lines}\n") and not added(lines.replace(run[100:104], "....")) and not added(lines[:-8])
+    colons = ":".join(hexed[i:i + 2] for i in range(0, len(hexed), 2))
+    broken = ":\n    ".join(colons[i:i + 44] for i in range(0, len(colons) + 1, 45))
+    assert added(f"x {colons} y") == [("der", colons)] and added(f"x\n    {broken}\n") == [("der", broken)]
+    assert not added(colons[:-3]) and not added(colons + ":00")
+    two = "\n".join(b64[i:i + 64] for i in range(0, len(b64), 64))
+    assert added(f"{two}\n\n{two}") == [("der", two)] * 2
+    assert not added("\n".join(base64.b64encode(b"\x30\x82\x01\x00" + rng.randbytes(400)).decode()[i:i + 64] for i in range(0, 540, 64)))
+
+
+def test_lines_that_all_begin_like_a_key_take_linear_time():
+    line = base64.b64encode(b"\x30\x83\x05\x00\x00" + b"\x02" * 43).decode()
+    start = time.process_time()
+    S.find_spans("\n".join([line] * 20_000))
+    S.find_spans("30:" * 300_000)
+    S.find_spans("\n".join(["30830500" * 8] * 20_000))
+    assert time.process_time() - start < 20
 
 
 def test_rows(spark):
