@@ -247,8 +247,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                text_col: str = "text", **fit) -> DataFrame:
-    """The documents that score below the threshold, with all their columns."""
+    """The documents that score below the threshold, with all their columns. Labels from which no feature
+    can be learnt (none at all, or of one class) tell no document from another: then all stay."""
     model = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col, **fit)
+    if not len(model.buckets):
+        return docs
     name = "__score"
     while name in docs.columns:
         name += "_"

@@ -59,6 +59,8 @@ def test_edge_cases(spark, score, label):
         assert score(docs.where("false"), labels).count() == 0
     kept = X.drop_toxic(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert kept.columns == docs.columns
+    for few in ([], [(1, 1), (2, 1)], [(1, 0)]):  # nothing to learn from: nothing is rejected
+        assert X.drop_toxic(docs, spark.createDataFrame(few, "doc_id long, toxic int")).count() == len(ROWS)
 
 
 def test_counterfactual_penalty_frees_neutral_mentions(spark):
