@@ -34,26 +34,38 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.3. Null and empty texts have a score like any other (the model's
+    intercept), null ids are scored but never learnt from, repeated rows go or stay together, an empty
+    table stays empty, and labels that teach nothing reject nothing; all columns stay."""
     ship_package(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the smallest id (null ids last), on ties the least row hash, of equal rows
+    one. Null, empty and blank texts share one fingerprint and so are one group; all columns stay."""
     ship_package(spark)
     return keep_one_per_group(docs, shingle=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of benchmark windows. Texts without a hit, nulls and empty ones among them, stay
+    as they are; a document of hit words only goes; repeated rows stay rows; all columns stay, and
+    ``n_chars``, where there is one, follows the text."""
     ship_package(spark)
     return _sized(cut_spans(docs, table(spark, sf_dir, "benchmark"), n=10))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with ``[SECRET]`` for each run of secret spans. Null and empty texts, null ids and repeated rows
+    stay; all columns stay, and ``n_chars``, where there is one, follows the text."""
     ship_package(spark)
     return _sized(redact_secrets(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece. A null or empty text is its closing id alone, each repeated row is packed, null ids
+    too; an empty table gives no rows; columns other than id and text are not carried along."""
     ship_package(spark)
     return pack_documents(docs)
 
@@ -65,12 +77,20 @@ STAGES = [("toxicity", toxicity), ("simhash near-dedup", near_dedup), ("benchmar
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; stage results are written below the shared checkpoint folder."""
+    """All stages over the documents. Stage results are written below the shared checkpoint folder; each is
+    deleted once the next one is written, so only the last remains, which the result reads."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if i:
+            _delete(spark, f"{folder}/{i - 1}")
     return docs
