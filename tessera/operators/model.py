@@ -4,7 +4,7 @@ The fitted pipeline is a ``PipelineModel`` of native stages: a ``SQLTransformer`
 the fitted imputation/scaling constants (exact training medians, mean and population std),
 ``StringIndexer`` + ``OneHotEncoder`` (unknown and NULL levels -> all-zero vector),
 ``VectorAssembler`` and a ``LogisticRegressionModel``. The balanced class weights ``n / (k * n_c)``
-are a broadcast join of the per-class counts (one row per class).
+come from the per-class counts (one row per class), taken once.
 
 The coefficients minimise ``C * sum(weights * logistic loss) + (|coefficients|^2 + intercept^2) / 2``, the
 intercept penalised like any coefficient, by Newton's method (iteratively reweighted least squares): a
@@ -26,7 +26,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Matrices, Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import binary_target, parse_emp_length, percent_lenient, percent_strict
@@ -60,18 +60,34 @@ def prepare(df: DataFrame, scope: str = "binary", numeric: Sequence[str] = NUMER
         repl["revol_util"] = percent_lenient("revol_util")
     d = d.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in d.columns], *extra)
     if scope == "binary":
-        d = d.dropna(how="any", subset=[c for c in numeric if c in d.columns] + ["target"])
+        needed = [c for c in numeric if c in d.columns]
+        parsed = [c for c in needed if c in repl or c not in have]
+        d = _drop_missing(d, [*parsed, "target"], [c for c in needed if c not in parsed])
         d = d.fillna(MISSING_LEVEL, subset=[c for c in categorical if c in d.columns])
     return d
 
 
-def with_class_weights(df: DataFrame, label: str = "target", name: str = "class_weight") -> DataFrame:
-    """ML7: balanced weights ``n / (k * n_c)`` joined by class (k classes; broadcast)."""
+def _drop_missing(d: DataFrame, parsed: Sequence[str], plain: Sequence[str]) -> DataFrame:
+    """``dropna`` over ``parsed`` and ``plain`` columns, a condition for each plain one (no NULL, and no NaN, which is
+    above infinity). One condition over all of them is too much generated code for the JVM to compile and
+    can only run after the last join; as they are, Spark moves each down to the table it reads. The parsed columns
+    stay together and come first: text is parsed on one side of the joins, and bad text raises in any row."""
+    kinds, out = dict(d.dtypes), F.lit(True)
+    for c in plain:
+        out = out & (F.col(c) <= F.lit(float("inf")) if kinds[c] in ("double", "float") else F.col(c).isNotNull())
+    return d.dropna(how="any", subset=list(parsed)).filter(out)
+
+
+def class_weights(df: DataFrame, label: str = "target", name: str = "class_weight") -> DataFrame:
+    """ML7: balanced weights ``n / (k * n_c)`` (one row per class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    from pyspark.sql import Window
     w = Window.partitionBy()
-    table = counts.select(label, (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(name))
-    return df.join(F.broadcast(table), label)
+    return counts.select(label, (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(name))
+
+
+def with_class_weights(df: DataFrame, label: str = "target", name: str = "class_weight") -> DataFrame:
+    """ML7: the weights joined by class (broadcast)."""
+    return df.join(F.broadcast(class_weights(df, label, name)), label)
 
 
 def fitted_constants(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float, float, float]]:
@@ -200,37 +216,43 @@ def fit_partitions(spark, rows: int, columns: int) -> int:
 
 @contextmanager
 def _training(train: DataFrame, numeric, categorical, label: str, rows: int | None, cached: bool):
-    """(weighted frame, constants, categorical features, row count) of one training set. The frame is
+    """(frame, weight by class, constants, categorical features, row count) of one training set. The frame is
     persisted here unless the caller says that ``train`` is cached (MEMORY_AND_DISK; lost blocks
-    are recomputed from the deterministic lineage)."""
+    are recomputed from the deterministic lineage). The classes are counted once, so that the passes
+    over the frame do not count them again."""
     numeric = [x for x in numeric if x in train.columns]
     categorical = [x for x in categorical if x in train.columns]
     cols = list(dict.fromkeys([label, *numeric, *categorical]))
     n = rows if rows is not None else train.count()
-    frame = with_class_weights(train.select(*cols), label)
+    frame = train.select(*cols)
     if not cached:
         frame = frame.repartition(fit_partitions(train.sparkSession, n, len(cols))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield frame, fitted_constants(frame, numeric), categorical, n
+        weights = {r[label]: r["class_weight"] for r in class_weights(frame, label).collect() if r[label] is not None}
+        known = frame.filter(F.col(label).isNotNull())
+        yield known, weights, fitted_constants(known, numeric), categorical, n
     finally:
         if not cached:
             frame.unpersist()
 
 
 @contextmanager
-def _ready(frame: DataFrame, consts, cats: Sequence[str], label: str):
-    """(fitted stages, persisted number and index columns, number of number columns, levels of each category)."""
+def _ready(frame: DataFrame, weights: dict, consts, cats: Sequence[str], label: str):
+    """(fitted stages, rows of persisted number and index columns, number of number columns, levels of each
+    category). Indices are cached as integers, which the cache compresses, and a weight follows from its label."""
     head = build_pipeline(consts, cats).fit(frame)
     levels = [len(x) for x in head.stages[1].labelsArray] if cats else []
     flat = frame
     for stage in head.stages[:2 if cats else 1]:
         flat = stage.transform(flat)
-    rows = flat.select(*[F.col(f"{x}__z") for x in consts], *[F.col(f"{x}__i") for x in cats], F.col(label).cast("double").alias(label),
-                       F.col("class_weight").cast("double").alias("class_weight")).persist(StorageLevel.MEMORY_AND_DISK)
+    features = [*[f"{x}__z" for x in consts], *[f"{x}__i" for x in cats]]
+    kept = flat.select(*[F.col(f"{x}__z") for x in consts], *[F.col(f"{x}__i").cast("int").alias(f"{x}__i") for x in cats],
+                       F.col(label)).persist(StorageLevel.MEMORY_AND_DISK)
+    weight = F.coalesce(F.lit(None).cast("double"), *[F.when(F.col(label) == F.lit(v), F.lit(float(w))) for v, w in weights.items()])
     try:
-        yield head.stages, rows, len(consts), levels
+        yield head.stages, kept.select(*features, F.col(label).cast("double").alias(label), weight.alias("class_weight")), len(consts), levels
     finally:
-        rows.unpersist()
+        kept.unpersist()
 
 
 def fit(train: DataFrame, c: float = 1.0, numeric: Sequence[str] = NUMERIC,
@@ -254,8 +276,8 @@ def sweep(train: DataFrame, cs: Sequence[float], numeric: Sequence[str] = NUMERI
     """ML10: one model per regularisation strength; the persisted training frame, its constants, the
     indexers and the encoders are made once, only Newton's method runs per strength, from the last minimum."""
     out, beta = {}, None
-    with _training(train, numeric, categorical, label, rows, cached) as (frame, consts, cats, n):
-        with _ready(frame, consts, cats, label) as (stages, ready, numbers, levels):
+    with _training(train, numeric, categorical, label, rows, cached) as (frame, weights, consts, cats, n):
+        with _ready(frame, weights, consts, cats, label) as (stages, ready, numbers, levels):
             for c in cs:
                 beta = newton(ready, c, numbers, levels, beta, max_iter)
                 out[c] = PipelineModel([*stages, _logistic_stage(train.sparkSession, beta, c, float(n), label)])

@@ -44,8 +44,14 @@ def _h52(h: Column) -> Column:
 STRETCH = 10_000
 
 
+def split_hash(seed: int, key: str = "id") -> Column:
+    """What a split orders the rows by. A caller that caches the rows can keep it as a column of theirs
+    (``hashed``), so that the passes of the split and the reads of its flag compute no digests."""
+    return _h52(hash_key(seed, key))
+
+
 def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: int, key: str,
-                    flag: str) -> DataFrame:
+                    flag: str, hashed: str | None = None) -> DataFrame:
     """Mark, in every class, exactly the ``test_rows`` rows that come first in seeded-hash order
     (``quotas``: one row per class with ``class_rows`` and ``test_rows``; a NULL label is a class).
 
@@ -53,8 +59,9 @@ def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: i
     table is not shuffled and a class or an id that holds most of the rows costs the same as a small
     one. When a threshold falls among the rows of one id, these are ordered by a digest of the whole
     row. When it falls among equal rows, which nothing tells apart, the marked and unmarked ones are
-    written anew from their count. The split depends on the rows alone, not on where they stand."""
-    d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h52", _h52(F.col("_h")))
+    written anew from their count. The split depends on the rows alone, not on where they stand.
+    ``hashed`` names a column of ``df`` that holds ``split_hash(seed, key)``."""
+    d = df.withColumn("_h", hash_key(seed, key)).withColumn("_h52", F.col(hashed) if hashed else _h52(F.col("_h")))
     in_class = {r[label] if label else 0: (F.col(label).eqNullSafe(F.lit(r[label])) if label else F.lit(True), int(r["test_rows"]))
                 for r in quotas.collect()}  # one row per class
     wanted = {c: (mine, q) for c, (mine, q) in in_class.items() if q > 0}
@@ -82,7 +89,7 @@ def hash_rank_split(df: DataFrame, quotas: DataFrame, label: str | None, seed: i
             elif need:
                 split_ids[c] = (one, need)
                 need = 0
-    d = d.withColumn("_d52", F.when(_any([one for one, _ in split_ids.values()]), _h52(F.md5(F.to_json(F.struct(*df.columns)).cast("binary")))))
+    d = d.withColumn("_d52", F.when(_any([one for one, _ in split_ids.values()]), _h52(F.md5(F.to_json(F.struct(*[c for c in df.columns if c != hashed])).cast("binary")))))
     same = {}
     for c, found in (_cuts(d, F.col("_d52"), split_ids) if split_ids else {}).items():
         one = split_ids[c][0]
@@ -167,11 +174,11 @@ def stratified_quotas(df: DataFrame, label: str, test_fraction: float) -> DataFr
 
 
 def stratified_split(df: DataFrame, label: str, test_fraction: float, seed: int = 42,
-                     key: str = "id", flag: str = "is_test") -> DataFrame:
+                     key: str = "id", flag: str = "is_test", hashed: str | None = None) -> DataFrame:
     """SMP3: stratified split with exact sizes; within each class the test rows are the first
     ``test_rows`` in seeded-hash order (``hash_rank_split``: no shuffle of the table)."""
     quotas = stratified_quotas(df, label, test_fraction)
-    return hash_rank_split(df, quotas, label, seed, key, flag)
+    return hash_rank_split(df, quotas, label, seed, key, flag, hashed)
 
 
 def assign_arm(df: DataFrame, n_arms: int, key: str = "id", name: str = "arm") -> DataFrame:

@@ -11,7 +11,8 @@ from ..functions.misc import join_names, linspace, split_names, status_text
 from ..operators import metrics as M
 from ..operators import model as ML
 from ..operators.checks import default_suite
-from ..operators.sampling import stratified_split
+from ..operators.sampling import split_hash, stratified_quotas, stratified_split
+from ..session import checkpoint_dir
 from ..sources.loans import ORDER_KEY
 from ..sources.sinks import report_document
 from .catalog import loans_df, r6, register, sql_prep, with_loans
@@ -55,22 +56,24 @@ def ml1_ml2_fitted_constants(spark, sf):
 
 @register("ml9_fit_and_score")
 def ml9_fit_and_score(spark, sf):
-    """ML1-ML9: stratified split, pipeline fit (C = 1.0), scores of the test rows."""
+    """ML1-ML9: stratified split, pipeline fit (C = 1.0), scores of the test rows. The scores, four columns of
+    the test rows, are written to ``spark.checkpoint.dir`` while the loans are cached."""
     train, test, n, release = _split_rows(spark, sf)
     try:
-        return ML.score(ML.fit(train, 1.0, rows=n, cached=True), test)
+        checkpoint_dir(spark)
+        return ML.score(ML.fit(train, 1.0, rows=n, cached=True), test).checkpoint(eager=True)
     finally:
         release()
 
 
 def _split_rows(spark, sf):
-    """Training rows, test rows, the number of training rows, and what releases the cached frame. The
-    model keeps its constants, so scores can be computed after the release."""
-    raw = ml_clean(spark, sf)
-    d = raw.repartition(ML.fit_partitions(spark, raw.count(), len(raw.columns))).persist(StorageLevel.MEMORY_AND_DISK)
-    sp = stratified_split(d, "target", 0.2, seed=42)
-    train = sp.filter(~F.col("is_test"))
-    return train, sp.filter(F.col("is_test")), train.count(), d.unpersist
+    """Training rows, test rows, the number of training rows, and what releases the cached frame. The loans
+    are derived once: the first pass fills the cache, in the partitions that the join leaves (sized by
+    adaptive execution), and everything else is to be read before the release."""
+    d = ml_clean(spark, sf).withColumn("_hash", split_hash(42)).persist(StorageLevel.MEMORY_AND_DISK)
+    n = sum(r["train_rows"] for r in stratified_quotas(d, "target", 0.2).collect())  # one row per class
+    sp = stratified_split(d, "target", 0.2, seed=42, hashed="_hash").drop("_hash")
+    return sp.filter(~F.col("is_test")), sp.filter(F.col("is_test")), n, d.unpersist
 
 
 @register("ml10_regularisation_sweep")
