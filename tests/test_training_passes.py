@@ -90,3 +90,26 @@ def test_missing_features_are_dropped_below_the_join(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan and "LeftOuter" not in plan
     assert [r["id"] for r in df.collect()] == [1]
+
+
+def test_sweep_derives_the_loans_and_scores_once(spark, rows, monkeypatch):
+    df, seen = counted(spark, rows)
+    monkeypatch.setattr(Q, "loans_df", lambda *_: df)
+    scored = []
+    score = ML.score
+
+    def counting(*args, **kw):
+        out, n = counted(spark, score(*args, **kw))
+        scored.append(n)
+        return out
+
+    monkeypatch.setattr(ML, "score", counting)
+    got = Q.ml10_regularisation_sweep(spark, None).collect()
+    assert seen.value == 600 and [r["regularization_c"] for r in got] == [1.0, 0.1]
+    assert [n.value for n in scored] == [r["rows"] for r in got]
+    sp = S.stratified_split(ML.prepare(rows, "binary"), "target", 0.2, seed=42)
+    for r in got:
+        s = score(ML.fit(sp.filter(~F.col("is_test")), r["regularization_c"]), sp.filter("is_test")).collect()
+        assert r["rows"] == len(s) and r["accuracy"] == pytest.approx(sum(x["target"] == x["prediction"] for x in s) / len(s))
+        pairs = [(p["score"] > n["score"]) + 0.5 * (p["score"] == n["score"]) for p in s for n in s if p["target"] == 1 and n["target"] == 0]
+        assert r["roc_auc"] == pytest.approx(sum(pairs) / len(pairs), abs=1e-6)
