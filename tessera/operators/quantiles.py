@@ -113,18 +113,19 @@ def _count(src: DataFrame, at: Mapping[str, str], targets: list[_Target]) -> Non
     row = src.agg(*aggs).first()
     for i, t in enumerate(targets):
         before, first, inside, last = (row[f"{p}{i}"] for p in "abcd")
-        if t.lo == t.hi:
+        lo, hi = t.lo, t.hi  # what was counted; a rank outside opens the target's bracket for the next pass
+        if lo == hi:
             last = 0
         for r in t.open_ranks():
             if r < before:
                 t.lo = t.least
             elif r < before + first:
-                t.found[r] = t.lo
+                t.found[r] = lo
             elif r < before + first + inside:
                 if t.expected <= INSIDE:
                     t.found[r] = row[f"v{i}"][r - before - first]
             elif r < before + first + inside + last:
-                t.found[r] = t.hi
+                t.found[r] = hi
             else:
                 t.hi = t.most
         left = t.open_ranks()

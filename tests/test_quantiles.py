@@ -93,3 +93,11 @@ def test_split_where_one_id_holds_a_third(spark, share):
             sorted(map(tuple, src[0].groupBy("id", "y", "v").count().collect()))
     r = S.random_split(spark.range(0, 500).select(F.lit(None).cast("long").alias("id")), 0.3)
     assert r.filter("is_test").count() == 150 and r.count() == 500
+
+
+@pytest.mark.parametrize("q", [0.001, 0.5, 0.999])
+def test_a_rank_at_an_end_beside_one_outside(spark, q):
+    """The sketch gives one value as both ends; one wanted rank is that value, the other lies before or after it."""
+    for n in (1498, 1499, 1500, 1501):
+        found, _ = Q.exact_percentiles(spark.range(n).select((F.col("id") * 2.0 + 10.0).alias("x")), {"x": F.col("x")}, [q])
+        assert found["x", q] == pytest.approx(10.0 + 2.0 * q * (n - 1), abs=1e-9)
